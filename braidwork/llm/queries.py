@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing, repetition, tokenfiles, urlfilter
+from . import mixing, packing, ppm, repetition, sigtree, telephony, tokenfiles, urlfilter
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +26,19 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_token_files(tokenfiles.write_token_files(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), 0))
 
 
+def op4_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.jaccard_components(documents(spark, sf_dir), 5, 75)
+
+
+def op5_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payloads = documents(spark, sf_dir).select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("payload"))
+    return telephony.read_audio(telephony.store_audio(payloads, telephony.MULAW, 8000), 16000)
+
+
+def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.ppm_scores(documents(spark, sf_dir), 7, 2)
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return urlfilter.judge_urls(pages, urlfilter.rule_table(spark, urlfilter.RULES), "allow")
@@ -70,7 +84,10 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM h LEFT
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op8_url_rules, op9_repetition_rules]
+    found = [
+        op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op4_jaccard_groups, op5_telephony_media,
+        op7_ppm_scores, op8_url_rules, op9_repetition_rules,
+    ]
     return {f.__name__: f for f in found}
 
 
