@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, ppm, repetition, sigtree, telephony, tokenfiles, urlfilter
+from . import mixing, packing, ppm, repetition, sigtree, spans, telephony, tokenfiles, urlfilter
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -35,6 +35,11 @@ def op5_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.read_audio(telephony.store_audio(payloads, telephony.MULAW, 8000), 16000)
 
 
+def op6_automaton_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spans.remove_repeated_spans(documents(spark, sf_dir).select("doc_id", "text"), 13)
+    return found.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.sha2("__kept", 256).alias("kept_sha256"))
+
+
 def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.ppm_scores(documents(spark, sf_dir), 7, 2)
 
@@ -86,7 +91,7 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM h LEFT
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op4_jaccard_groups, op5_telephony_media,
-        op7_ppm_scores, op8_url_rules, op9_repetition_rules,
+        op6_automaton_spans, op7_ppm_scores, op8_url_rules, op9_repetition_rules,
     ]
     return {f.__name__: f for f in found}
 
