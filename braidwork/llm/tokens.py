@@ -1,26 +1,28 @@
 """Token ids of whole texts by the tokenizers library, inside Arrow batches.
 
-Most of a corpus is the same few words over and over, so a worker remembers the ids of each stretch from one space
-to the next. A cut before a single space (or a single line break) between two non-space characters never lies inside
-a pre-token of a byte-level BPE whose pre-tokens start with at most one space, so the stretches' ids, joined, are the
-ids of the whole text. A text with any other white space is encoded as a whole.
+Most of a corpus is the same few words over and over, so a worker remembers the ids of words, alone and behind a
+space. A cut before a single space, around a single line break or between a letter and a comma or full stop, each
+between two characters that are no white space, never lies inside a pre-token of a byte-level BPE whose pre-tokens
+start with at most one space; so the words' ids, joined, are the ids of the whole text. A text with any other white
+space is encoded as a whole.
 """
 
 from __future__ import annotations
 
-import re
+from array import array
+from sys import byteorder
 
-import numpy as np
+#: Words in a generation; a worker remembers two, and what it meets again moves to the newer one.
+GENERATION = 400_000
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
-#: Stretches in a generation; a worker remembers two, and what it meets again moves to the newer one.
-GENERATION = 300_000
-#: White space other than one space or one line break between two other characters.
-_PLAIN = re.compile(r"\S+(?:[ \n]\S+)*")
-_TOKENIZERS: dict[tuple[str, bool], Ids] = {}
 
+class _NotPlain(Exception):
+    """White space where the cut would not be safe."""
 
-class Ids(dict):
-    """stretch -> its ids as little-endian unsigned 32-bit integers."""
+
+class Encoder:
+    """Ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, special_as_text: bool):
         import os
@@ -30,39 +32,54 @@ class Ids(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.older: dict[str, bytes] = {}
+        self.alone, self.spaced = _Words(self, ""), _Words(self, " ")
+        self.line_break = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, stretch: str) -> bytes:
-        if len(self) >= GENERATION:
-            self.older = dict(self)
-            self.clear()
-        found = self[stretch] = self.older.get(stretch) or self.whole(stretch)
-        return found
+        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not _PLAIN.fullmatch(text):
+        try:
+            return self.line_break.join([self._line(x) for x in text.split("\n")])
+        except _NotPlain:
             return self.whole(text)
-        first, *others = text.split(" ")
-        stretches = [first, *[" " + x for x in others]]
-        if "\n" in text:
-            stretches = [y for x in stretches for y in (_lines(x) if "\n" in x else (x,))]
-        return b"".join(map(self.__getitem__, stretches))
+
+    def _line(self, line: str) -> bytes:
+        first, *others = line.split(" ")
+        return self.alone[first] + b"".join(map(self.spaced.__getitem__, others))
 
 
-def _lines(stretch: str) -> list[str]:
-    """A line break is a pre-token of its own, and what follows it starts without a space."""
-    first, *others = stretch.split("\n")
-    return [first, *[y for x in others for y in ("\n", x)]]
+class _Words(dict):
+    """word -> its ids behind ``before``."""
+
+    def __init__(self, encoder: Encoder, before: str):
+        self.encoder, self.before = encoder, before
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= GENERATION:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(word)
+        if found is None:
+            if word.split() != [word]:
+                raise _NotPlain
+            if word[-1] in ",." and word[-2:-1].isalpha():
+                found = self[word[:-1]] + self.encoder.alone[word[-1]]
+            else:
+                found = self.encoder.whole(self.before + word)
+        self[word] = found
+        return found
 
 
-def encoder(path: str, special_as_text: bool = True) -> Ids:
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
     """The worker's encoder for the tokenizer file at ``path``."""
     key = (path, special_as_text)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = Ids(path, special_as_text)
-    return _TOKENIZERS[key]
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, special_as_text)
+    return _ENCODERS[key]
