@@ -2,7 +2,7 @@
 
 Each document gets a hash-random key. Within its source documents stand in the order of that key; the order is cut
 into key ranges ("slots"), whose sums give every range its offset, so that prefix sums of word counts need no task
-that holds a whole source. A source's budget is taken in that order: whole epochs first, then the head of one more
+that holds a whole source; there are as many ranges as shuffle partitions. A source's budget is taken in that order: whole epochs first, then the head of one more
 epoch, the last document of which is cut at the exact word.
 
 Targets: the mix has ``share`` times all words; a source gets its part by weight but never more than ``most_epochs``
@@ -20,10 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words, stored
-
-#: Hex digits of the key that name a slot; 4 give 65,536 ranges per source.
-SLOT_DIGITS = 4
+from .common import WORD, n_words, shuffle_parts, stored
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most_epochs: float) -> DataFrame:
@@ -47,8 +44,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
         .withColumn("all_weight", F.sum("weight").over(everything))
         .withColumn("level", (F.col("words") - F.col("full_before")) / (F.col("all_weight") - F.col("weight_before")))
     )
-    # the level holds from the first source that it doesn't fill
-    level = F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
+    # behind the first source that it does not fill, the level only falls
+    level = F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
     target = F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap")))
     return ranked.select("source", "source_size", target.alias("target"))
 
@@ -61,10 +58,9 @@ def mix_sources(
     ``taken`` = ``epochs`` whole uses plus ``last_words`` words of one more use.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = stored(
-        docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key")).withColumn("slot", F.substring("key", 1, SLOT_DIGITS)),
-        "mix-sizes",
-    )
+    slot = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * shuffle_parts(docs.sparkSession) / F.lit(1 << 32)).cast("int")
+    keyed = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"))
+    keyed = stored(keyed.withColumn("slot", slot), "mix-sizes")
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     slots = keyed.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")), weights, share, most_epochs)

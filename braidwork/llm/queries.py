@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, ppm, repetition, sigtree, spans, telephony, tokenfiles, urlfilter
+from . import licences, mixing, packing, ppm, repetition, sigtree, spans, telephony, tokenfiles, urlfilter
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -54,6 +54,10 @@ def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_report(documents(spark, sf_dir)).select(*names)
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(documents(spark, sf_dir), 0.5)
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -64,7 +68,7 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) %
 r AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / weight AS ratio, (sum(source_size) OVER ()) * 1.5::DOUBLE AS words, sum(weight) OVER () AS all_weight FROM w),
 v AS (SELECT *, (words - coalesce(sum(cap) OVER o, 0)) / (all_weight - coalesce(sum(weight) OVER o, 0)) AS lvl FROM r
       WINDOW o AS (ORDER BY ratio, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, least(cap, coalesce(min(CASE WHEN lvl <= ratio THEN lvl END) OVER () * weight, cap)) AS target FROM v),
+t AS (SELECT source, source_size, least(cap, coalesce(max(CASE WHEN lvl <= ratio THEN lvl END) OVER () * weight, cap)) AS target FROM v),
 p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
              CASE WHEN t.source_size > 0 THEN floor(floor(t.target) / t.source_size) ELSE 0 END AS epochs
@@ -91,7 +95,7 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM h LEFT
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op4_jaccard_groups, op5_telephony_media,
-        op6_automaton_spans, op7_ppm_scores, op8_url_rules, op9_repetition_rules,
+        op6_automaton_spans, op7_ppm_scores, op8_url_rules, op9_repetition_rules, op10_licence_scan,
     ]
     return {f.__name__: f for f in found}
 
