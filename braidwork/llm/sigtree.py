@@ -317,3 +317,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     grouped = stored(rows.join(found, "class", "left").withColumn("group", F.coalesce("found", "class")).select("doc_id", "n", "group"), "grouped")
     smallest = grouped.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("smallest"))
     return grouped.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` (a stored table; all columns) without those that link, directly or not, with a kept one.
+
+    Of a component the row with the smallest doc_id stays (null ids last, then the first in the table). Texts without
+    a word link with nothing and stay.
+    """
+    row = F.monotonically_increasing_id()
+    ids = docs.select(F.col("doc_id").alias("own"), row.alias("doc_id"), "text")
+    groups = jaccard_components(ids.select("doc_id", "text"), size, percent).select("doc_id", "component_id")
+    member = stored(groups.join(ids.select("doc_id", "own"), "doc_id"), "groups")
+    first = member.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), F.col("own"), F.col("doc_id"))).alias("first"))
+    gone = member.join(first, "component_id").where(F.col("doc_id") != F.col("first.doc_id")).select(F.col("doc_id").alias("__row"))
+    return docs.withColumn("__row", row).join(stored(gone, "gone"), "__row", "left_anti").select(*docs.columns)
