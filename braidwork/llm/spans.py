@@ -39,9 +39,11 @@ from .common import shuffle_parts
 from .wordkernel import U64
 
 WINDOW, GRAM = 13, 5
-BLOCKS_PER_PARTITION, SHARDS_PER_PARTITION = 4, 16
+BLOCKS_PER_PARTITION = GROUPS_PER_PARTITION = 2
+#: Reference shards of a group; a task builds one automaton after the other.
+SHARDS = 16
 NO_ID = np.iinfo(np.int64).max
-_HELD = 1 << 20
+_HELD = 1 << 19
 
 
 class Contexts:
@@ -166,7 +168,7 @@ class Automaton:
 def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text and any others) plus __n_words, __n_removed and __kept, the kept words joined by a space."""
     parts, columns = shuffle_parts(docs.sparkSession), docs.columns
-    blocks, shards = BLOCKS_PER_PARTITION * parts, SHARDS_PER_PARTITION * parts
+    blocks, groups = BLOCKS_PER_PARTITION * parts, GROUPS_PER_PARTITION * parts
     dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(parts, "__block")
     id_at, text_at, block_at = (dealt.columns.index(c) for c in ("doc_id", "text", "__block"))
 
@@ -175,7 +177,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
 
         def out() -> pa.RecordBatch:
             anchor, doc, block = (np.concatenate(x) for x in zip(*held, strict=True))
-            bucket = (wk.mix64(anchor) % U64(blocks)).astype(np.int64) * blocks + block
+            bucket = (wk.mix64(anchor) % U64(parts)).astype(np.int64) * blocks + block
             o = np.lexsort((doc, anchor, bucket))
             anchor, doc, bucket = anchor[o], doc[o], bucket[o]
             again = (anchor[1:] == anchor[:-1]) & (bucket[1:] == bucket[:-1])
@@ -214,7 +216,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         return pa.table({"block": pa.array(block[first], pa.int32()), "anchors": pa.array([np.unique(anchor[a:b]).tobytes() for a, b in zip(first, last, strict=True)], pa.binary())})
 
     def contexts(key: tuple[pa.Scalar, ...], texts: pa.Table, found: pa.Table) -> pa.Table:
-        names = {"shard": pa.int32(), "block": pa.int32(), "keys": pa.binary(), "docs": pa.binary(), "sizes": pa.binary(), "words": pa.binary()}
+        names = {"group": pa.int32(), "block": pa.int32(), **{c: pa.binary() for c in ("keys", "shards", "docs", "sizes", "words")}}
         wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in found["anchors"].to_pylist()]]))
         gathered: list[tuple[np.ndarray, ...]] = []
         for batch in texts.to_batches() if len(wanted) else []:
@@ -234,33 +236,37 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         keys, anchor, doc, size, words = (np.concatenate(x) for x in zip(*gathered, strict=True))
         del gathered
         start = np.cumsum(size) - size
-        shard = (wk.mix64(anchor ^ U64(0x5DEECE66D)) % U64(shards)).astype(np.int32)
+        shard = (wk.mix64(anchor ^ U64(0x5DEECE66D)) % U64(groups * SHARDS)).astype(np.int32)
         o = np.lexsort((doc, keys, shard))
         o = o[np.concatenate(([True], (keys[o][1:] != keys[o][:-1]) | (shard[o][1:] != shard[o][:-1])))]
         place = np.repeat(start[o] - (np.cumsum(size[o]) - size[o]), size[o]) + np.arange(int(size[o].sum()))
         keys, doc, size, shard, words = keys[o], doc[o], size[o], shard[o], words[place]
         edges = np.concatenate(([0], np.cumsum(size)))
-        first, last = _runs(shard)
+        first, last = _runs(shard // SHARDS)
         cut = lambda x: [x[a:b].tobytes() for a, b in zip(first, last, strict=True)]
-        columns = [shard[first], np.full(len(first), key[0].as_py(), np.int32), cut(keys), cut(doc), cut(size.astype(np.uint16)), [words[edges[a] : edges[b]].tobytes() for a, b in zip(first, last, strict=True)]]
+        columns = [(shard // SHARDS)[first], np.full(len(first), key[0].as_py(), np.int32), cut(keys), cut((shard % SHARDS).astype(np.uint8)), cut(doc), cut(size.astype(np.uint16)), [words[edges[a] : edges[b]].tobytes() for a, b in zip(first, last, strict=True)]]
         return pa.table({c: pa.array(x, k) for x, (c, k) in zip(columns, names.items(), strict=True)})
 
     def judge(table: pa.Table) -> pa.Table:
         column = lambda c, kind: [np.frombuffer(x, kind) for x in table[c].to_pylist()]
         lists = column("keys", np.uint64)
-        keys, docs_, size, words = np.concatenate(lists), *(np.concatenate(column(c, k)) for c, k in (("docs", np.int64), ("sizes", np.uint16), ("words", np.uint32)))
+        kinds = (("shards", np.uint8), ("docs", np.int64), ("sizes", np.uint16), ("words", np.uint32))
+        keys, (shard, docs_, size, words) = np.concatenate(lists), (np.concatenate(column(c, k)) for c, k in kinds)
         block = np.repeat(table["block"].to_numpy(), [len(x) for x in lists])
         edges = np.concatenate(([0], np.cumsum(size.astype(np.int64))))
         o = np.lexsort((docs_, keys))
         first, last = _runs(keys[o])
         distinct = o[first]
-        automaton = Automaton()
-        sequences = [words[edges[i] : edges[i + 1]].tolist() for i in distinct.tolist()]
-        by_document = np.argsort(docs_[distinct], kind="stable").tolist()
-        for i in by_document:
-            automaton.add(sequences[i], int(docs_[distinct[i]]))
-        automaton.finish()
-        least = [automaton.least_documents(s, window) for s in sequences]
+        least: list[list[int]] = [[]] * len(distinct)
+        for one in np.unique(shard[distinct]).tolist():
+            own = np.flatnonzero(shard[distinct] == one)
+            sequences = {i: words[edges[distinct[i]] : edges[distinct[i] + 1]].tolist() for i in own.tolist()}
+            automaton = Automaton()
+            for i in own[np.argsort(docs_[distinct[own]], kind="stable")].tolist():
+                automaton.add(sequences[i], int(docs_[distinct[i]]))
+            automaton.finish()
+            for i, sequence in sequences.items():
+                least[i] = automaton.least_documents(sequence, window)
         # where all windows of a context have one answer, one number says it
         least = [x[:1] if min(x) == max(x) else x for x in least]
         counts = np.array([len(x) for x in least], np.uint16)
@@ -322,8 +328,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
     sent = dealt.mapInArrow(anchors, "bucket int, block int, anchors binary")
     returned = sent.groupBy("bucket").applyInArrow(shared, "block int, anchors binary")
     texts = dealt.groupBy("__block")
-    sent = texts.cogroup(returned.groupBy("block")).applyInArrow(contexts, "shard int, block int, keys binary, docs binary, sizes binary, words binary")
-    answers = sent.groupBy("shard").applyInArrow(judge, "block int, keys binary, counts binary, least binary")
+    sent = texts.cogroup(returned.groupBy("block")).applyInArrow(contexts, "group int, block int, keys binary, shards binary, docs binary, sizes binary, words binary")
+    answers = sent.groupBy("group").applyInArrow(judge, "block int, keys binary, counts binary, least binary")
     return texts.cogroup(answers.groupBy("block")).applyInArrow(clean, schema)
 
 
