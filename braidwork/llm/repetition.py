@@ -7,7 +7,7 @@ stands twice counts once. Row by row, no shuffle.
 Defined cases: a null or empty text has no words, so all counts are 0 and the base rule (fewer than 50 words)
 rejects it; repeated rows are judged one by one and alike; null ids pass through; extra columns, whatever their
 names, are carried by ``keep_good`` and ignored by ``repetition_report``; an empty table gives an empty result.
-A very long text is hashed in steps of about 1 MB, so memory follows its number of words only.
+A very long text is hashed in steps of about 0.5 MB, so memory follows its number of words only.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Text bytes that one vectorised step looks at; bounds the memory of a task whatever the texts' lengths.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240611))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -137,7 +137,7 @@ def _part(data: np.ndarray, offsets: np.ndarray, first: int, lower: bool) -> Wor
     return Words(first, len(offsets) - 1, data, offsets, start, end, value, row, bounds)
 
 
-def parts(texts: pa.Array, lower: bool = False, most: int = 2 * STEP_BYTES) -> Iterator[Words]:
+def parts(texts: pa.Array, lower: bool = False, most: int = STEP_BYTES) -> Iterator[Words]:
     """The words of a column in parts of whole rows with about ``most`` bytes; a longer row is a part of its own."""
     data, offsets = buffers(texts)
     n, row = len(offsets) - 1, 0
