@@ -4,7 +4,7 @@ Most of a corpus is the same few words over and over, so a worker remembers the
 space. A cut before a single space, around a single line break or between a letter and a comma or full stop, each
 between two characters that are no white space, never lies inside a pre-token of a byte-level BPE whose pre-tokens
 start with at most one space; so the words' ids, joined, are the ids of the whole text. A text with any other white
-space is encoded as a whole.
+space is encoded as a whole. A word of letters alone is one pre-token, so the library's BPE model takes it directly.
 """
 
 from __future__ import annotations
@@ -13,10 +13,28 @@ from array import array
 from sys import byteorder
 
 #: Words in a generation; a worker remembers two, and what it meets again moves to the newer one.
-GENERATION = 400_000
+GENERATION = 200_000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+class _Letters(dict):
+    """Character -> how the tokenizer's byte-level alphabet writes it."""
+
+    def __init__(self, alphabet) -> None:
+        self.alphabet = alphabet
+
+    def __missing__(self, code: int) -> str:
+        found = self[code] = "".join(x for x, _ in self.alphabet.pre_tokenize_str(chr(code)))
+        return found
+
+
 class _NotPlain(Exception):
     """White space where the cut would not be safe."""
 
@@ -34,12 +52,15 @@ class Encoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.alone, self.spaced = _Words(self, ""), _Words(self, " ")
         self.line_break = self.whole("\n")
+        self.model, self.letters = self.tokenizer.model, _Letters(self.tokenizer.pre_tokenizer)
 
     def whole(self, text: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, before: str, word: str) -> bytes:
+        if not word.isalpha():
+            return self.whole(before + word)
+        return _packed([x.id for x in self.model.tokenize((before + word).translate(self.letters))])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -72,7 +93,7 @@ class _Words(dict):
             if word[-1] in ",." and word[-2:-1].isalpha():
                 found = self[word[:-1]] + self.encoder.alone[word[-1]]
             else:
-                found = self.encoder.whole(self.before + word)
+                found = self.encoder.word(self.before, word)
         self[word] = found
         return found
 
