@@ -51,7 +51,8 @@ class World:
         rows = self.spark.read.parquet(self.options.results).where(F.col("run") == self.last.run) if self._has_rows() else None
         if rows is not None and self.keys is not None:
             rows = crypto.with_keys(rows, self.keys)
-            rows = rows.withColumn("human_value", crypto.decrypt("human_value", F.col("dek"))) if False else rows.withColumn("human_value", crypto.decrypt(F.col("human_value"), F.col("dek"))).withColumn("ai_value", crypto.decrypt(F.col("ai_value"), F.col("dek")))
+            for name in ("human_value", "ai_value"):
+                rows = rows.withColumn(name, crypto.decrypt(F.col(name), F.col("dek")))
         return [] if rows is None else rows.collect()
 
     def _has_rows(self):
