@@ -50,16 +50,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most_epochs: float = 2.0, seed: str = "mix"
-) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken, epochs, last_words.
-
-    ``taken`` = ``epochs`` whole uses plus ``last_words`` words of one more use.
-    """
+def _mix(rows: DataFrame, weights: Sequence[float], share: float, most_epochs: float, seed: str) -> DataFrame:
+    """rows(doc_id, source, text and any ids) -> all but the text, plus size, source_size, target, taken, epochs, last_words."""
+    ids = [c for c in rows.columns if c != "text"]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    slot = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * shuffle_parts(docs.sparkSession) / F.lit(1 << 32)).cast("int")
-    keyed = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"))
+    slot = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * shuffle_parts(rows.sparkSession) / F.lit(1 << 32)).cast("int")
+    keyed = rows.select(*ids, n_words(F.col("text")).alias("size"), key.alias("key"))
     keyed = stored(keyed.withColumn("slot", slot), "mix-sizes")
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     slots = keyed.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
@@ -67,7 +63,8 @@ def mix_sources(
     ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slots.withColumn("slot_start", F.coalesce(F.sum("slot_size").over(ahead), F.lit(0)))
     offsets = offsets.join(targets, same(offsets, targets)).select(offsets["source"].alias("o_source"), offsets["slot"].alias("o_slot"), "slot_start", "source_size", "target")
-    within = Window.partitionBy("source", "slot").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = ["key", "doc_id", "size", *[c for c in ids if c not in ("doc_id", "source")]]
+    within = Window.partitionBy("source", "slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("inner_start", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(offsets, placed["source"].eqNullSafe(offsets["o_source"]) & (placed["slot"] == offsets["o_slot"]))
     budget = F.floor(F.col("target"))
@@ -78,29 +75,33 @@ def mix_sources(
         placed.withColumn("epochs", epochs)
         .withColumn("last_words", last)
         .withColumn("taken", F.col("epochs") * F.col("size") + F.col("last_words"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "epochs", "last_words")
+        .select(*ids, "size", "source_size", "target", "taken", "epochs", "last_words")
     )
 
 
+def mix_sources(
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most_epochs: float = 2.0, seed: str = "mix"
+) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken, epochs, last_words.
+
+    ``taken`` = ``epochs`` whole uses plus ``last_words`` words of one more use.
+    """
+    return _mix(docs.select("doc_id", "source", "text"), weights, share, most_epochs, seed)
+
+
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most_epochs: float = 2.0, seed: str = "mix") -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, repeated by epoch; a cut use has its first words only.
 
-    Rows with one and the same id are told apart by their size and by their place among equals.
+    ``docs`` has to be a stored table: its rows are told apart by their place in it. Texts are shuffled once, to meet
+    what is taken of them. Rows without a word are not part of a mix and stay as they are.
     """
-    ids = ["doc_id", "source", "size"]
-    plan = mix_sources(docs, weights, share, most_epochs, seed).select(*ids, "epochs", "last_words")
-    nth = F.row_number().over(Window.partitionBy(*ids).orderBy("epochs", "last_words"))
-    plan = plan.where((F.col("epochs") > 0) | (F.col("last_words") > 0) | (F.col("size") == 0)).withColumn("nth", nth)
-    plan = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in plan.columns])
-    own = docs.withColumn("__mix_words", n_words(F.col("text")))
-    own = own.withColumn("__mix_own", F.row_number().over(Window.partitionBy("doc_id", "source", "__mix_words").orderBy(F.crc32(F.coalesce("text", F.lit(""))))))
-    joined = own.join(
-        plan,
-        own["doc_id"].eqNullSafe(plan["__mix_doc_id"]) & own["source"].eqNullSafe(plan["__mix_source"]) & (own["__mix_words"] == plan["__mix_size"]) & (own["__mix_own"] == plan["__mix_nth"]),
-    )
-    whole = F.array_repeat(F.lit(-1), F.greatest(F.col("__mix_epochs"), F.when(F.col("__mix_size") == 0, 1).otherwise(0)).cast("int"))
-    part = F.when(F.col("__mix_last_words") == F.col("__mix_size"), F.lit(-1)).otherwise(F.col("__mix_last_words"))
-    uses = F.when(F.col("__mix_last_words") > 0, F.concat(whole, F.array(part.cast("int")))).otherwise(whole)
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    plan = _mix(numbered.select("doc_id", "source", "text", "__row"), weights, share, most_epochs, seed)
+    plan = plan.where((F.col("taken") > 0) | (F.col("size") == 0))
+    last = F.when(F.col("last_words") == F.col("size"), -1).otherwise(F.col("last_words").cast("int"))
+    whole = F.array_repeat(F.lit(-1), F.when(F.col("size") == 0, 1).otherwise(F.col("epochs")).cast("int"))
+    uses = F.when(F.col("last_words") > 0, F.concat(whole, F.array(last))).otherwise(whole)
+    taken = plan.select("__row", uses.alias("__uses"))
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    text = F.when(F.col("__mix_use") < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__mix_use"), F.lit(0))), " "))
-    return joined.withColumn("__mix_use", F.explode(uses)).withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("__use") < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__use"), F.lit(0))), " "))
+    return numbered.join(taken, "__row").withColumn("__use", F.explode("__uses")).withColumn("text", text).select(*docs.columns)
