@@ -1,10 +1,11 @@
 """N-gram Jaccard join with signature trees, exact for the threshold.
 
-1. Texts with the same set of shingles form a class; only classes go on. A fixed table of 65,536 counters estimates
-   how common a shingle is.
-2. A class emits its rarest shingles, so many that two sets over the threshold must share one of them; any order that
-   all classes share is exact, the rare-first one keeps the meetings few. Classes that meet, of sizes that allow the
-   threshold, are candidates; candidate components are the blocks.
+1. Texts with the same set of shingles form a class; only classes go on. A fixed table of a million counters
+   estimates how common a shingle is.
+2. A class emits its rarest shingles, so many that two sets over the threshold must share three of them; any order
+   that all classes share is exact, the rare-first one keeps the meetings few. Classes that meet three times at
+   shingles of few classes, or once at a shingle of more, of sizes and at places that allow the threshold, are
+   candidates; candidate components are the blocks.
 3. In a block the sets hang in a tree whose nodes hold the OR of their bitmaps, their range of sizes and how many
    shingles share bits. A walk over node pairs drops those whose sizes or whose largest possible overlap rule a link
    out, and those that are connected already; what is left is intersected exactly.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,22 @@ from . import wordkernel as wk
 from .common import shuffle_parts, stored
 from .graph import components
 
-SLOTS = 1 << 16
-_LOW48 = np.uint64((1 << 48) - 1)
+#: Counters of how common shingles are, by the first bits of their hash, and how many of them travel together.
+SLOT_BITS, SLICE = 20, 1 << 14
+SLOTS = 1 << SLOT_BITS
+_SHIFT = np.uint64(64 - SLOT_BITS)
+_LOW = np.uint64((1 << (64 - SLOT_BITS)) - 1)
+#: Tables of counters that are added up in one task.
+_FAN_IN = 256
 #: Entries of a bucket, about; the buckets' number follows the input.
 BUCKET_ENTRIES = 400_000
 #: Shingles of a chunk of a candidate component, about.
 BLOCK_SHINGLES = 4_000_000
 BITS, LEAF, FAN = 1024, 16, 8
+_MOST = (1 << 20) - 1
+#: Shingles in common that any two different sets over the threshold have among their emitted ones (with a threshold
+#: of 0.67 or more; a lower one is refused), and the most classes of a shingle whose meetings are counted by pair.
+MEETINGS, FEW = 3, 24
 
 
 def shingle_sets(p: wk.Words, size: int) -> Iterator[np.ndarray]:
@@ -65,29 +76,48 @@ def set_class(s: np.ndarray) -> int:
 
 
 def _profile(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, class of every row, and in further rows (slot, many) how many sets hold a shingle of the slot."""
+    """doc_id, n, class of every row; and in further rows a task's counters: how many sets hold a shingle of a slot."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        many = np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "n", "class", "slot", "many"]
+        many = np.zeros(SLOTS, np.int32)
+        names = ["doc_id", "n", "class", "slice", "task", "many"]
         for batch in batches:
             for p in wk.parts(batch.column(1), lower=True):
-                ns, classes = [], []
+                ns, classes, slots = [], [], [np.zeros(0, np.uint64)]
                 for s in shingle_sets(p, size):
                     ns.append(len(s))
                     classes.append(set_class(s) if len(s) else None)
-                    many += np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=SLOTS) if len(s) > 4096 else 0
-                    if 0 < len(s) <= 4096:
-                        slots, times = np.unique(s >> np.uint64(48), return_counts=True)
-                        many[slots.astype(np.int64)] += times
-                none = pa.nulls(p.rows, pa.int32()), pa.nulls(p.rows, pa.int64())
+                    slots.append(s >> _SHIFT)
+                slots, times = np.unique(np.concatenate(slots), return_counts=True)
+                many[slots.astype(np.int64)] += times.astype(np.int32)
+                none = pa.nulls(p.rows, pa.int32()), pa.nulls(p.rows, pa.int32()), pa.nulls(p.rows, pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(p.first, p.rows), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), *none], names=names)
-        slots = np.flatnonzero(many)
-        if len(slots):
-            none = [pa.nulls(len(slots), pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([*none, pa.array(slots.astype(np.int32)), pa.array(many[slots])], names=names)
+        slices = [i for i in range(SLOTS // SLICE) if many[i * SLICE : (i + 1) * SLICE].any()]
+        if slices:
+            none = [pa.nulls(len(slices), pa.int64())] * 3
+            task = pa.array(np.full(len(slices), TaskContext.get().partitionId(), np.int32))
+            packed = pa.array([many[i * SLICE : (i + 1) * SLICE].astype(np.int64).tobytes() for i in slices], pa.binary())
+            yield pa.RecordBatch.from_arrays([*none, pa.array(slices, pa.int32()), task, packed], names=names)
 
-    return docs.mapInArrow(profile, "doc_id long, n long, class long, slot int, many long")
+    return docs.mapInArrow(profile, "doc_id long, n long, class long, slice int, task int, many binary")
+
+
+def _rank(counters: DataFrame) -> np.ndarray:
+    """The slots' places from the rarest to the most common one; tables are added up in groups of bounded size."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x, np.int64) for x in table["many"].to_pylist()], axis=0)
+        return pa.table({"slice": table["slice"][:1], "many": pa.array([total.tobytes()], pa.binary())})
+
+    own = counters.select("slice", F.floor(F.col("task") / _FAN_IN).alias("group"), "many")
+    own = own.groupBy("slice", "group").applyInArrow(add, "slice int, many binary")
+    found = own.groupBy("slice").applyInArrow(add, "slice int, many binary").toArrow()
+    many = np.zeros(SLOTS, np.int64)
+    for i, packed in zip(found["slice"].to_pylist(), found["many"].to_pylist(), strict=True):
+        many[i * SLICE : (i + 1) * SLICE] = np.frombuffer(packed, np.int64)
+    rank = np.empty(SLOTS, np.uint64)
+    rank[np.argsort(many, kind="stable")] = np.arange(SLOTS, dtype=np.uint64)
+    return rank
 
 
 def _prefixes(docs: DataFrame, rank: np.ndarray, size: int, percent: int, buckets: int) -> DataFrame:
@@ -104,12 +134,13 @@ def _prefixes(docs: DataFrame, rank: np.ndarray, size: int, percent: int, bucket
             k = np.concatenate(keys)
             of = np.array(owners, np.int64)
             owner = np.repeat(np.arange(len(of)), of[:, 2])
+            place = np.arange(len(k)) - np.repeat(np.cumsum(of[:, 2]) - of[:, 2], of[:, 2])
             bucket = (wk.mix64(k) % np.uint64(buckets)).astype(np.int32)
             o = np.argsort(bucket, kind="stable")
-            k, owner, bucket = k[o], owner[o], bucket[o]
+            k, owner, bucket, place = k[o], owner[o], bucket[o], place[o]
             first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             last = np.append(first[1:], len(k))
-            classes, sizes = of[owner, 0], of[owner, 1].astype(np.int32)
+            classes, sizes = of[owner, 0], pack_size(of[owner, 1], place)
             packed = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(bucket[first]), packed(k), packed(classes), packed(sizes)], names=["bucket", "shingles", "classes", "sizes"])
 
@@ -119,12 +150,12 @@ def _prefixes(docs: DataFrame, rank: np.ndarray, size: int, percent: int, bucket
                     if not len(s) or (name := set_class(s)) in met:
                         continue
                     met.add(name)
-                    key = (order[(s >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (s & _LOW48)
-                    take = len(s) + percent * -len(s) // 100 + 1
-                    keys.append(np.partition(key, take - 1)[:take] if take < len(key) else key)
-                    owners.append((name, len(s), len(keys[-1])))
-                    held += len(keys[-1])
-                if held >= 1 << 20:
+                    key = (order[(s >> _SHIFT).astype(np.int64)] << _SHIFT) | (s & _LOW)
+                    take = min(len(s), len(s) + percent * -len(s) // 100 + MEETINGS)
+                    keys.append(np.sort(key)[:take])
+                    owners.append((name, len(s), take))
+                    held += take
+                if held >= 1 << 19:
                     yield out()
                     keys, owners, held = [], [], 0
         if keys:
@@ -133,23 +164,57 @@ def _prefixes(docs: DataFrame, rank: np.ndarray, size: int, percent: int, bucket
     return docs.select("text").mapInArrow(emit, "bucket int, shingles binary, classes binary, sizes binary")
 
 
+def pack_size(n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A set's size (20 bits, larger ones as the largest number) and how far into its order a shingle stands (4096ths)."""
+    return (np.minimum(n, _MOST).astype(np.uint32) << np.uint32(12)) | (place * 4096 // n).astype(np.uint32)
+
+
+def unpack_size(packed: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The size, and the largest size of another set that can link if this shingle is one of the first in common.
+
+    Of the set only the shingles from this one on, and fewer than MEETINGS before it, can be common, so their number
+    limits the overlap; it has to be percent / (100 + percent) of both sizes.
+    """
+    n = (packed >> np.uint32(12)).astype(np.int64)
+    left = n - ((packed & np.uint32(4095)).astype(np.int64) * n >> 12) + MEETINGS - 1
+    reach = ((100 + percent) * left - percent * n) // percent
+    return n, np.where(n >= _MOST, np.iinfo(np.int64).max, reach)
+
+
 def _meetings(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes that meet at a shingle, chained by size where the sizes allow a link."""
+    """(a, b): candidates for a link, or at least a chain of candidates between any two that link."""
 
     def meet(table: pa.Table) -> pa.Table:
         join = lambda c, kind: np.frombuffer(b"".join(table[c].to_pylist()), kind)
-        key, name, n = join("shingles", np.uint64), join("classes", np.int64), join("sizes", np.int32).astype(np.int64)
+        key, name, packed = join("shingles", np.uint64), join("classes", np.int64), join("sizes", np.uint32)
         o = np.argsort(key, kind="stable")
         same = key[o][1:] == key[o][:-1]
         some = o[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-        some = some[np.lexsort((name[some], n[some], key[some]))]
-        key, name, n = key[some], name[some], n[some]
-        # between two sizes that allow a link, every next size does, so neighbours by size connect them all
-        near = (key[1:] == key[:-1]) & (name[1:] != name[:-1]) & (100 * n[:-1] >= percent * n[1:])
-        pairs = np.unique(np.stack((np.minimum(name[:-1], name[1:])[near], np.maximum(name[:-1], name[1:])[near])), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
-
-    return entries.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+        some = some[np.lexsort((name[some], packed[some], key[some]))]
+        key, name, (n, reach) = key[some], name[some], unpack_size(packed[some], percent)
+        once = np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]))) if len(key) else np.zeros(0, bool)
+        key, name, n, reach = key[once], name[once], n[once], reach[once]
+        edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
+        few = np.repeat(np.diff(edge) <= FEW, np.diff(edge))
+        a, b, times = [], [], []
+        # each class with the next ones by size; between two sizes that allow a link every size does, so of many
+        # classes neighbours connect all, with the weight of all meetings
+        for step in range(1, FEW):
+            near = (key[step:] == key[:-step]) & (100 * n[:-step] >= percent * n[step:])
+            counted = near & few[step:] & (n[step:] <= reach[:-step]) & (n[:-step] <= reach[step:])
+            pick = np.flatnonzero(counted | (near & ~few[step:])) if step == 1 else np.flatnonzero(counted)
+            a.append(np.minimum(name[pick], name[pick + step]))
+            b.append(np.maximum(name[pick], name[pick + step]))
+            times.append(np.where(few[pick], 1, MEETINGS))
+        a, b, times = np.concatenate(a), np.concatenate(b), np.concatenate(times)
+        o = np.lexsort((b, a))
+        a, b, times = a[o], b[o], times[o]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
+        total = np.add.reduceat(times, first) if len(first) else times
+        return pa.table({"a": a[first], "b": b[first], "times": total.astype(np.int64)})
+
+    met = entries.groupBy("bucket").applyInArrow(meet, "a long, b long, times long")
+    return met.groupBy("a", "b").agg(F.sum("times").alias("times")).where(F.col("times") >= MEETINGS).select("a", "b")
 
 
 def tree_links(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> np.ndarray:
@@ -259,15 +324,13 @@ def _block_links(rows: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    if 3 * percent < 200:
+        raise ValueError("the threshold has to be 67 percent or more")
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = stored(_profile(own, size), "shingle-profile")
-    rows = profile.where(F.col("slot").isNull()).select("doc_id", "n", "class")
-    slots = profile.where(F.col("slot").isNotNull()).groupBy("slot").agg(F.sum("many").alias("many")).toArrow()
-    many = np.zeros(SLOTS, np.int64)
-    many[slots["slot"].to_numpy()] = slots["many"].to_numpy()
-    rank = np.empty(SLOTS, np.uint64)
-    rank[np.argsort(many, kind="stable")] = np.arange(SLOTS, dtype=np.uint64)
+    rows = profile.where(F.col("slice").isNull()).select("doc_id", "n", "class")
+    rank = _rank(profile.where(F.col("slice").isNotNull()))
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(shuffle_parts(spark), -(-total * (100 - percent) // (100 * BUCKET_ENTRIES)))
     meetings = _meetings(_prefixes(own, rank, size, percent, buckets), percent)
@@ -290,8 +353,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
                 part = batch.slice(p.first, p.rows).take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["class", "root", "chunks", "shingles"])
 
-    texts = own.join(named, own["doc_id"].eqNullSafe(named["first_id"])).select("text", "wanted", "root", "chunks")
-    sets = stored(texts.mapInArrow(read, "class long, root long, chunks int, shingles binary"), "candidate-sets")
+    # one plan at every size: the candidates grow with the input, so they are not broadcast while they happen to be few
+    texts = own.join(named.hint("merge"), own["doc_id"].eqNullSafe(named["first_id"])).select("text", "wanted", "root", "chunks")
+    sets = texts.mapInArrow(read, "class long, root long, chunks int, shingles binary")
     chunk = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     # a whole component, or chunk by chunk together with the first chunk
     others = F.when(F.col("chunks") == 1, F.array(F.pmod(F.xxhash64("root"), F.lit(blocks)))).otherwise(
