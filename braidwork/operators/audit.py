@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidwork.functions import payload as P
 from braidwork.functions.times import as_timestamp
 from braidwork.operators.relational import numbered_batches
 
@@ -80,3 +81,53 @@ def guarded(batch: DataFrame, allowed: Sequence[str], most: int, scanned_at: Col
     if facts.n > most or facts.foreign or facts.scanned < facts.limit:
         raise ValueError(f"the batch breaks a rule: {facts.n} documents, {facts.foreign} of other groups, scanned {facts.scanned}")
     return batch
+
+
+def approved_batch(spark: SparkSession, approved: DataFrame, batch_id: str) -> DataFrame:
+    """The documents of one approved batch, by a parameter and never by text put into SQL."""
+    return spark.sql("SELECT path, collection_group FROM {approved} WHERE batch_id = :batch", args={"batch": batch_id}, approved=approved)
+
+
+def sampled_old_share(df: DataFrame, id_column: str, at: str, cutoff: Column, size: int = 300) -> DataFrame:
+    """Share of old documents in a sample: the first ``size`` by name."""
+    sample = df.orderBy(id_column).limit(size)
+    old = F.count_if(F.col(at) < cutoff)
+    return sample.agg(F.count(F.lit(1)).alias("sampled"), old.alias("older"), F.try_divide(old, F.count(F.lit(1))).alias("share"))
+
+
+def oldest(df: DataFrame, at: str, *ties: str) -> DataFrame:
+    """The one oldest row; null times come last."""
+    return df.orderBy(F.col(at).asc_nulls_last(), *ties).limit(1)
+
+
+def date_fields(documents: DataFrame, id_column: str, payload: str) -> DataFrame:
+    """Per field path of JSON documents: how many values are timestamps, the oldest and the newest."""
+    fields = documents.select(id_column, F.inline(P.flattened(F.col(payload), {}))).withColumn("at", as_timestamp(F.col("value")))
+    return fields.where(F.col("at").isNotNull()).groupBy("field").agg(F.count(F.lit(1)).alias("n_dated"), F.min("at").alias("oldest"), F.max("at").alias("newest"))
+
+
+def document_bytes(path: Column, fields: Column) -> Column:
+    """Estimated stored size: 16 bytes and one more than each part of the path, and 32 bytes a document, besides its fields
+    (an array of struct(name, value)), each name and text value one byte longer than its UTF-8."""
+    name = F.aggregate(F.split(path, "/"), F.lit(16), lambda acc, x: acc + F.octet_length(x) + 1)
+    return name + 32 + F.aggregate(fields, F.lit(0), lambda acc, f: acc + F.octet_length(f["name"]) + 1 + F.coalesce(F.octet_length(f["value"]) + 1, F.lit(1)))
+
+
+def completeness(expected: DataFrame, scanned: DataFrame, group: str, number: str) -> DataFrame:
+    """Per group the documents expected and scanned, and whether all of them were."""
+    found = scanned.groupBy(group).agg(F.count(F.lit(1)).alias("scanned"))
+    joined = expected.join(found, group, "left").withColumn("scanned", F.coalesce("scanned", F.lit(0)))
+    return joined.withColumn("complete", F.col("scanned") >= F.col(number))
+
+
+def reconciled(batch: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Documents of a batch without exactly one outcome; none if every one was deleted, skipped or failed once."""
+    counts = outcomes.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return batch.select("path").join(counts, "path", "left").where(F.coalesce("n", F.lit(0)) != 1).select("path")
+
+
+def must_be_none(df: DataFrame, what: str) -> None:
+    """A check after a migration."""
+    n = df.count()
+    if n:
+        raise ValueError(f"{n} rows {what}")

@@ -469,6 +469,50 @@ def savings(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", *audit.savings(share, F.lit(380.0), F.lit(380.0), F.lit(5000.0)))
 
 
+@query("SELECT 'p/' || doc_id AS path, source AS collection_group FROM documents WHERE lang = 'en'")
+def approved_batch(spark, sf_dir):
+    approved = table(spark, sf_dir, "documents").select(F.concat(F.lit("p/"), _text("doc_id")).alias("path"), F.col("source").alias("collection_group"), F.col("lang").alias("batch_id"))
+    return audit.approved_batch(spark, approved, "en")
+
+
+@query("SELECT count(*) AS sampled, count(*) FILTER (ts < TIMESTAMP '2024-01-01 12:00:00') AS older, count(*) FILTER (ts < TIMESTAMP '2024-01-01 12:00:00')::DOUBLE / count(*) AS share FROM (SELECT * FROM events ORDER BY event_id LIMIT 300)")
+def sampled_old_share(spark, sf_dir):
+    return audit.sampled_old_share(table(spark, sf_dir, "events"), "event_id", "ts", F.lit(datetime(2024, 1, 1, 12)).cast("timestamp_ntz"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1")
+def oldest_row(spark, sf_dir):
+    return audit.oldest(table(spark, sf_dir, "orders"), "o_orderdate", "o_orderkey").select("o_orderkey", "o_orderdate")
+
+
+@query("SELECT 'seen' AS field, count(*) AS n_dated, min(ts) AS oldest, max(ts) AS newest FROM events UNION ALL SELECT 'in.due', count(*), min(ts), max(ts) FROM events WHERE event_id % 2 = 0")
+def date_fields(spark, sf_dir):
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    tree = F.to_json(F.struct(F.col("event_type").alias("kind"), at.alias("seen"), F.struct(F.when(F.col("event_id") % 2 == 0, at).otherwise("none").alias("due")).alias("in")))
+    found = audit.date_fields(table(spark, sf_dir, "events").select("event_id", tree.alias("payload")), "event_id", "payload")
+    return found.withColumn("oldest", F.col("oldest").cast("timestamp_ntz")).withColumn("newest", F.col("newest").cast("timestamp_ntz"))
+
+
+@query("SELECT doc_id, (16 + strlen('corpus') + 1 + strlen(doc_id::VARCHAR) + 1 + 32 + 5 + strlen(text) + 1 + 5 + strlen(lang) + 1)::INT AS bytes FROM documents")
+def document_bytes(spark, sf_dir):
+    fields = F.array(F.struct(F.lit("text").alias("name"), F.col("text").alias("value")), F.struct(F.lit("lang").alias("name"), F.col("lang").alias("value")))
+    return table(spark, sf_dir, "documents").select("doc_id", audit.document_bytes(F.concat(F.lit("corpus/"), _text("doc_id")), fields).alias("bytes"))
+
+
+@query("SELECT n_nationkey, n_nationkey::BIGINT * 3 AS wanted, count(c_custkey) AS scanned, count(c_custkey) >= n_nationkey::BIGINT * 3 AS complete FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def scan_completeness(spark, sf_dir):
+    expected = table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey").cast("long") * 3).alias("wanted"))
+    return audit.completeness(expected, table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey")), "n_nationkey", "wanted")
+
+
+@query("SELECT 'd/' || doc_id AS path FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 AND doc_id % 5 <> 0")
+def unreconciled(spark, sf_dir):
+    """Documents that a purge log has twice (multiples of 5) or not at all (other multiples of 7)."""
+    batch = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("d/"), _text("doc_id")).alias("path"))
+    log = batch.where("doc_id % 7 <> 0 or doc_id % 5 = 0").unionByName(batch.where("doc_id % 5 = 0"))
+    return audit.reconciled(batch, log)
+
+
 # scalar functions
 
 
