@@ -13,7 +13,7 @@ from array import array
 from sys import byteorder
 
 #: Words in a generation; a worker remembers two, and what it meets again moves to the newer one.
-GENERATION = 200_000
+GENERATION = 350_000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -52,16 +52,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.alone, self.spaced = _Words(self, ""), _Words(self, " ")
         self.line_break = self.whole("\n")
-        self.model, self.letters = self.tokenizer.model, _Letters(self.tokenizer.pre_tokenizer)
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def word(self, before: str, word: str) -> bytes:
-        if not word.isalpha():
-            return self.whole(before + word)
-        return _packed([x.id for x in self.model.tokenize((before + word).translate(self.letters))])
-
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -80,20 +74,25 @@ class _Words(dict):
 
     def __init__(self, encoder: Encoder, before: str):
         self.encoder, self.before = encoder, before
+        self.model, self.letters = encoder.tokenizer.model, _Letters(encoder.tokenizer.pre_tokenizer)
+        self.start = before.translate(self.letters)
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= GENERATION:
-            self.older = dict(self)
-            self.clear()
         found = self.older.get(word)
         if found is None:
-            if word.split() != [word]:
-                raise _NotPlain
-            if word[-1] in ",." and word[-2:-1].isalpha():
+            if word.isalpha():  # one pre-token
+                letters = word if word.isascii() else word.translate(self.letters)
+                found = _packed([x.id for x in self.model.tokenize(self.start + letters)])
+            elif word[-1:] in ",." and word[-2:-1].isalpha():
                 found = self[word[:-1]] + self.encoder.alone[word[-1]]
+            elif word.split() != [word]:
+                raise _NotPlain
             else:
-                found = self.encoder.word(self.before, word)
+                found = self.encoder.whole(self.before + word)
+        if len(self) >= GENERATION:
+            self.older = dict(self)
+            self.clear()
         self[word] = found
         return found
 
