@@ -78,6 +78,55 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a AS x, b AS y FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM (SELECT id AS doc_id, min(root) AS component_id FROM r GROUP BY id) LEFT JOIN n USING (doc_id)
+"""
+
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+f AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM win JOIN f USING (g) WHERE m < doc_id),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT x.doc_id, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY x.pos) FILTER (c.pos IS NULL) AS kept FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.pos = c.pos GROUP BY x.doc_id) k ON k.doc_id = w.doc_id
+"""
+
+OP9_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+win AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS g FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (3), (5), (6), (7), (8), (9), (10)) t(k) WHERE len(ws) >= k)),
+rep AS (SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, g) AS n, row_number() OVER (PARTITION BY doc_id, k, g ORDER BY i) AS nth FROM win),
+cov AS (SELECT DISTINCT doc_id, k, unnest(range(i, i + k)) AS pos FROM rep WHERE CASE WHEN k = 3 THEN n > 1 ELSE nth > 1 END),
+per AS (SELECT doc_id, k, count(*) AS covered, sum(length(word)) AS chars FROM cov JOIN x USING (doc_id, pos) GROUP BY doc_id, k),
+grams AS (
+  SELECT doc_id, max(covered) FILTER (k = 3) AS n_repeat_words, max(chars) FILTER (k = 5) AS c5, max(chars) FILTER (k = 6) AS c6, max(chars) FILTER (k = 7) AS c7, max(chars) FILTER (k = 8) AS c8,
+         max(chars) FILTER (k = 9) AS c9, max(chars) FILTER (k = 10) AS c10 FROM per GROUP BY doc_id),
+ln AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS nth FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS line_chars FROM ln WHERE nth > 1 GROUP BY doc_id),
+b AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(line_chars, 0) AS line_chars,
+         coalesce(c5, 0) AS c5, coalesce(c6, 0) AS c6, coalesce(c7, 0) AS c7, coalesce(c8, 0) AS c8, coalesce(c9, 0) AS c9, coalesce(c10, 0) AS c10
+  FROM w LEFT JOIN grams USING (doc_id) LEFT JOIN dup USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, greatest(word_chars, 1)::DOUBLE AS whole FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND line_chars / whole <= 0.30::DOUBLE AND n_symbols <= 0.10::DOUBLE * n_words AND c5 / whole <= 0.15::DOUBLE AND c6 / whole <= 0.14::DOUBLE AND c7 / whole <= 0.13::DOUBLE
+         AND c8 / whole <= 0.12::DOUBLE AND c9 / whole <= 0.11::DOUBLE AND c10 / whole <= 0.10::DOUBLE AS kept
+FROM v
+"""
+
 OP8_SQL = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -101,4 +150,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": OP1_SQL, "op8_url_rules": OP8_SQL}
+    return {"op1_source_mix": OP1_SQL, "op4_jaccard_groups": OP4_SQL, "op6_automaton_spans": OP6_SQL, "op8_url_rules": OP8_SQL, "op9_repetition_rules": OP9_SQL}
