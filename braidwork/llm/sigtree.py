@@ -379,7 +379,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
         links = stored(links.union(more), "links")
     found = components(links).select(F.col("node").alias("class"), F.col("root").alias("found"))
     grouped = stored(rows.join(found, "class", "left").withColumn("group", F.coalesce("found", "class")).select("doc_id", "n", "group"), "grouped")
-    smallest = grouped.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("smallest"))
+    # stored, so that the join has a shuffle of its own, whose hot groups adaptive execution can split
+    smallest = stored(grouped.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("smallest")), "smallest")
     return grouped.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
 
 
@@ -393,6 +394,6 @@ def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     ids = docs.select(F.col("doc_id").alias("own"), row.alias("doc_id"), "text")
     groups = jaccard_components(ids.select("doc_id", "text"), size, percent).select("doc_id", "component_id")
     member = stored(groups.join(ids.select("doc_id", "own"), "doc_id"), "groups")
-    first = member.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), F.col("own"), F.col("doc_id"))).alias("first"))
+    first = stored(member.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), F.col("own"), F.col("doc_id"))).alias("first")), "first")
     gone = member.join(first, "component_id").where(F.col("doc_id") != F.col("first.doc_id")).select(F.col("doc_id").alias("__row"))
     return docs.withColumn("__row", row).join(stored(gone, "gone"), "__row", "left_anti").select(*docs.columns)
