@@ -85,4 +85,5 @@ def run(spark: SparkSession, options: Options, as_of: datetime, keys: DataFrame
     state.write_version(schemas.fitted(closed(routes.case_pending, "payload"), schemas.PENDING), f"{options.state}/pending", version)
     state.write_version(schemas.fitted(closed(routes.ai_pending, "payload"), schemas.AI_PENDING), f"{options.state}/pool", version)
     checkpoint.advance(version)
+    state.remove(spark, work)
     return Summary(run_id, window, version)

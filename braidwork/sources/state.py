@@ -80,6 +80,11 @@ def append_run(df: DataFrame, folder: str, run: str, day_of: str) -> None:
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "day").parquet(folder)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_before(spark: SparkSession, folder: str, target: str, cutoff: str, at: str = "load_time") -> None:
     """Retention: the rows from the cutoff on, written anew."""
     spark.read.parquet(folder).where(F.col(at) >= F.lit(cutoff).cast("timestamp")).write.mode("errorifexists").parquet(target)
