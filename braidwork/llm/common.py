@@ -22,10 +22,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def bounded_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Arrow batches of at most about 8 MB for the session, unless it has a limit of its own: the default counts rows
+    and 64 MB, and a batch is held several times, in the JVM and in Python."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("67108864b", "67108864"):
+        spark.conf.set(name, most)
+
+
+def own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/braidwork/{spark.sparkContext.applicationId}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/braidwork/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -22,20 +22,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import bounded_batches, stored
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Pieces that one shard packs; 8,192 waste less than a thousandth of the sequences.
 SHARD_PIECES = 8192
+#: Words in a generation of the encoder; packing is often the last stage of a long job, beside whatever else is held.
+REMEMBERED = 150_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """(doc_id, text) -> PIECES; ids are little-endian unsigned 32-bit integers, the first piece is the short one."""
+    bounded_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, generation=REMEMBERED).encode
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             rows: list[tuple] = []

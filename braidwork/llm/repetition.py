@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import wordkernel as wk
+from .common import bounded_batches
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -144,6 +145,7 @@ def measures(p: wk.Words, rules: Rules) -> dict[str, np.ndarray]:
 def repetition_report(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) with its counts, coverage shares and verdict."""
     rules = rules or Rules()
+    bounded_batches(docs.sparkSession)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,6 +162,7 @@ def repetition_report(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
 def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, whose text the rules keep."""
     rules, at = rules or Rules(), docs.columns.index("text")
+    bounded_batches(docs.sparkSession)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordkernel as wk
-from .common import shuffle_parts, stored
+from .common import bounded_batches, shuffle_parts, stored
 from .graph import components
 
 #: Counters of how common shingles are, by the first bits of their hash, and how many of them travel together.
@@ -327,6 +327,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     if 3 * percent < 200:
         raise ValueError("the threshold has to be 67 percent or more")
     spark = docs.sparkSession
+    bounded_batches(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = stored(_profile(own, size), "shingle-profile")
     rows = profile.where(F.col("slice").isNull()).select("doc_id", "n", "class")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordkernel as wk
-from .common import shuffle_parts
+from .common import bounded_batches, shuffle_parts
 from .wordkernel import U64
 
 WINDOW, GRAM = 13, 5
@@ -167,6 +167,7 @@ class Automaton:
 
 def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text and any others) plus __n_words, __n_removed and __kept, the kept words joined by a space."""
+    bounded_batches(docs.sparkSession)
     parts, columns = shuffle_parts(docs.sparkSession), docs.columns
     blocks, groups = BLOCKS_PER_PARTITION * parts, GROUPS_PER_PARTITION * parts
     dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(parts, "__block")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, stored
+from .common import bounded_batches, shuffle_parts, stored
 from .tokens import encoder
 
 BLOCK = 128
@@ -144,6 +144,7 @@ class TokenFile:
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
     """Encode (doc_id, text) in the order of doc_id into files; the returned table is what was written."""
+    bounded_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

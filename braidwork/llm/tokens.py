@@ -12,9 +12,9 @@ from __future__ import annotations
 from array import array
 from sys import byteorder
 
-#: Words in a generation; a worker remembers two, and what it meets again moves to the newer one.
+#: Words in a generation, about 200 bytes each; a worker remembers two, and what it meets again moves to the newer one.
 GENERATION = 350_000
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -42,7 +42,7 @@ class _NotPlain(Exception):
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, special_as_text: bool):
+    def __init__(self, path: str, special_as_text: bool, generation: int):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,7 +50,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.alone, self.spaced = _Words(self, ""), _Words(self, " ")
+        self.alone, self.spaced = _Words(self, "", generation), _Words(self, " ", generation)
         self.line_break = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
@@ -72,8 +72,8 @@ class Encoder:
 class _Words(dict):
     """word -> its ids behind ``before``."""
 
-    def __init__(self, encoder: Encoder, before: str):
-        self.encoder, self.before = encoder, before
+    def __init__(self, encoder: Encoder, before: str, generation: int):
+        self.encoder, self.before, self.generation = encoder, before, generation
         self.model, self.letters = encoder.tokenizer.model, _Letters(encoder.tokenizer.pre_tokenizer)
         self.start = before.translate(self.letters)
         self.older: dict[str, bytes] = {}
@@ -90,16 +90,17 @@ class _Words(dict):
                 raise _NotPlain
             else:
                 found = self.encoder.whole(self.before + word)
-        if len(self) >= GENERATION:
+        if len(self) >= self.generation:
             self.older = dict(self)
             self.clear()
         self[word] = found
         return found
 
 
-def encoder(path: str, special_as_text: bool = True) -> Encoder:
-    """The worker's encoder for the tokenizer file at ``path``."""
-    key = (path, special_as_text)
+def encoder(path: str, special_as_text: bool = True, generation: int = GENERATION) -> Encoder:
+    """The worker's encoder for the tokenizer file at ``path``; ``generation`` bounds the words it remembers."""
+    key = (path, special_as_text, generation)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, special_as_text)
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, special_as_text, generation)
     return _ENCODERS[key]

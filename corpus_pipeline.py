@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from braidwork.llm import mixing, packing, repetition, sigtree, spans
-from braidwork.llm.common import shared_folder
+from braidwork.llm.common import own_folder
 
 #: Graph iteration and packing figures depend on byte-pair ids, which SQL can't make.
 ORACLE_SQL = None
@@ -51,7 +51,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result is the last stage's table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/braidwork/pipeline-{uuid.uuid4().hex}"
+    folder = f"{own_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

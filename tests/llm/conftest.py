@@ -54,12 +54,13 @@ def docs(spark, rows):
     """The corpus as a stored table, with extra columns whose names clash with what operators make."""
     from pyspark.sql import functions as F
 
-    from braidwork.llm.common import stored
+    from braidwork.llm.common import drop_stored, stored
 
     df = spark.createDataFrame(rows, DDL).repartition(5)
     for name in ("size", "slot", "key", "block", "class", "n", "label", "row", "root", "piece"):
         df = df.withColumn(name, F.lit(f"other {name}"))
-    return stored(df, "corpus")
+    yield stored(df, "corpus")
+    drop_stored(spark)
 
 
 @pytest.fixture(scope="session")
