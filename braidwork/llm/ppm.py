@@ -1,9 +1,11 @@
 """Language-model scores by prediction by partial matching over bytes, with a word unigram base beside it.
 
-Training counts cover every training text. Each task counts byte n-grams (``ORDER`` bytes of context and the next
-byte) of its texts with sorted arrays; a shuffle by n-gram adds the tasks' counts. The trie keeps a context's edge if
-at least one in ``1 / FLOOR`` of all training bytes takes it, so each of its levels has at most ``1 / FLOOR`` edges at
-every size of the corpus, and only those are collected and broadcast.
+Training counts cover every training text, and every edge counts, however rare. Each task counts byte n-grams
+(``ORDER`` bytes of context and the next byte) of its texts with sorted arrays; a shuffle by n-gram adds the tasks'
+counts. The trie never stands in one place: a score needs the contexts that end in the same two bytes, so the n-grams
+are dealt by those two bytes, each part builds its own branch of the trie and scores the n-grams that occur in any
+text, trained or not. Only the two lowest levels, at most 256 x 257 edges at every size of the corpus, are broadcast.
+Then each block of documents asks with its own distinct n-grams and gets back their scores.
 
 A symbol's probability starts at the longest context that the trie has: an edge of count c among edges of sum n and
 number d has c / (n + d), what is left, d / (n + d), is the escape to the context that is one byte shorter, in which
@@ -26,14 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, shuffle_parts, stored
-from .wordkernel import buffers
+from .wordkernel import buffers, mix64
 
 ORDER = 4
-FLOOR = 2.0**-22
 SYMBOLS = 257
 #: Not in UTF-8: the filling before a text, and the end behind it.
 FILL, END = 0xFE, 0xFF
@@ -79,28 +81,45 @@ def _streams(texts: pa.Array, order: int) -> Iterator[tuple[int, int, np.ndarray
         row = stop
 
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """The different numbers of all parts, in order."""
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
 def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(text) -> (gram, n): how often each run of ``order`` bytes and the next symbol occurs."""
+    """(text) -> (gram, n): how often each run of ``order`` bytes and the next symbol occurs.
+
+    With a second, boolean column, n-grams of the texts where it is true are listed but add nothing to n.
+    """
+    marked = len(texts.columns) > 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[np.ndarray] = []
+        listed: list[np.ndarray] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            new = np.sort(np.concatenate(waiting)) if waiting else np.zeros(0, np.uint64)
+            new, more = np.sort(np.concatenate(waiting)) if waiting else np.zeros(0, np.uint64), _distinct(listed)
             edge = np.flatnonzero(np.concatenate(([True], new[1:] != new[:-1]))) if len(new) else np.zeros(0, np.int64)
-            k, c = np.concatenate((keys, new[edge])), np.concatenate((counts, np.diff(np.concatenate((edge, [len(new)])))))
+            k = np.concatenate((keys, new[edge], more))
+            c = np.concatenate((counts, np.diff(np.concatenate((edge, [len(new)]))), np.zeros(len(more), np.int64)))
             o = np.argsort(k, kind="stable")
             k, c = k[o], c[o]
             first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
             return k[first], np.add.reduceat(c, first) if len(first) else c
 
         for batch in batches:
-            for _, _, stream, rows in _streams(batch.column(0), order):
-                waiting.append(_grams(stream, order)[rows >= 0])
-                if sum(map(len, waiting)) >= _HELD:
-                    keys, counts = merged()
-                    waiting = []
+            texts = batch.column(0)
+            kinds = [(waiting, texts)]
+            if marked:
+                kinds = [(waiting, texts.filter(pc.invert(batch.column(1)))), (listed, texts.filter(batch.column(1)))]
+            for into, some in kinds:
+                for _, _, stream, rows in _streams(some, order):
+                    into.append(_grams(stream, order)[rows >= 0])
+                    if sum(map(len, waiting)) + sum(map(len, listed)) >= _HELD:
+                        keys, counts = merged()
+                        waiting.clear()
+                        listed.clear()
         keys, counts = merged()
         for at in range(0, len(keys), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 16)].astype(np.int64)), pa.array(counts[at : at + (1 << 16)])], names=["gram", "n"])
@@ -178,33 +197,119 @@ class Trie:
         return out
 
 
-def build_trie(counts: DataFrame, order: int = ORDER, floor: float = FLOOR) -> Trie:
-    """The trie of n-gram counts (gram, n). Each level's edges are at most 1 / floor, whatever the corpus's size."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    least, levels = max(1, math.ceil(total * floor)), []
-    for k in range(order + 1):
-        mask = (1 << (8 * (k + 1))) - 1
-        level = counts.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        rows = level.toArrow()
-        keys, n = rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy()
-        o = np.argsort(keys)
-        levels.append((keys[o], n[o]))
-    return Trie(levels)
+def _level(grams: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of contexts of k bytes and their counts, from the counts of longer n-grams."""
+    keys, own = np.unique(grams & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, own, counts)
+    return keys, sums
+
+
+def low_levels(counts: DataFrame, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Levels 0 and 1, which every part of the trie escapes to: at most 256 x 257 edges."""
+    top = min(1, order)
+    mask = (1 << (8 * (top + 1))) - 1
+    rows = counts.where(F.col("n") > 0).groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    keys, n = rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(np.int64)
+    return [_level(keys, n, k) for k in range(top + 1)]
+
+
+def branch(low: list[tuple[np.ndarray, np.ndarray]], grams: np.ndarray, counts: np.ndarray, order: int = ORDER) -> Trie:
+    """The trie of n-grams with whole sets of contexts that end in the same two bytes, above the low levels of all."""
+    grams, counts = grams[counts > 0], counts[counts > 0]
+    return Trie([*low, *(_level(grams, counts, k) for k in range(len(low), order + 1))])
+
+
+def build_trie(counts: DataFrame, order: int = ORDER) -> Trie:
+    """The whole trie of n-gram counts (gram, n) in one place, for a corpus that is small enough for that."""
+    rows = counts.toArrow()
+    return branch(low_levels(counts, order), rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(np.int64), order)
+
+
+def _shares(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each n-gram where its score meets the blocks that ask for it."""
+    return ((mix64(grams) >> np.uint64(11)) % np.uint64(parts)).astype(np.int32)
+
+
+def gram_scores(counts: DataFrame, order: int, parts: int) -> DataFrame:
+    """(gram, n) -> (part, gram, log10): the log10 probability of the last symbol of each n-gram, by part of ``_shares``."""
+    low = counts.sparkSession.sparkContext.broadcast(low_levels(counts, order))
+
+    def judge(table: pa.Table) -> pa.Table:
+        grams, n = table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+        at = np.argsort(grams)
+        grams, n = grams[at], n[at]
+        found = branch(low.value, grams, n, order).log10(grams)
+        return pa.table({"part": _shares(grams, parts), "gram": grams.astype(np.int64), "log10": found})
+
+    end = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
+    dealt = counts.select(F.pmod(F.xxhash64(end), F.lit(4 * parts)).cast("int").alias("end"), "gram", "n")
+    return dealt.groupBy("end").applyInArrow(judge, "part int, gram long, log10 double")
+
+
+def asked_grams(by_block: DataFrame, order: int, parts: int) -> DataFrame:
+    """by_block(text, block and more) -> (part, block, grams): the distinct n-grams of each block, as bytes of numbers."""
+    text, block = by_block.columns.index("text"), by_block.columns.index("block")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, list[np.ndarray]] = {}
+        held = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, some in seen.items():
+                grams = _distinct(some)
+                part = _shares(grams, parts)
+                order_ = np.argsort(part, kind="stable")
+                grams, part = grams[order_], part[order_]
+                first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                ends = np.append(first[1:], len(part))
+                blobs = [grams[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(np.full(len(first), name, np.int32)), pa.array(blobs, pa.binary())], names=["part", "block", "grams"])
+
+        for batch in batches:
+            blocks = batch.column(block)
+            for name in pc.unique(blocks).to_pylist():
+                for _, _, stream, rows in _streams(batch.column(text).filter(pc.equal(blocks, name)), order):
+                    grams = np.unique(_grams(stream, order)[rows >= 0])
+                    seen.setdefault(name, []).append(grams)
+                    held += len(grams)
+            if held > 4 * _HELD:
+                seen = {name: [_distinct(some)] for name, some in seen.items()}
+                held = sum(len(some[0]) for some in seen.values())
+                if held > 2 * _HELD:
+                    yield from out()
+                    seen, held = {}, 0
+        yield from out()
+
+    return by_block.mapInArrow(ask, "part int, block int, grams binary")
+
+
+def answered_grams(asked: DataFrame, scores: DataFrame) -> DataFrame:
+    """(part, block, grams) and (part, gram, log10) -> (block, grams, logs), both as bytes of numbers."""
+
+    def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+        grams, value = known["gram"].to_numpy().astype(np.uint64), known["log10"].to_numpy()
+        at = np.argsort(grams)
+        grams, value = grams[at], value[at]
+        logs = [value[np.searchsorted(grams, np.frombuffer(x.as_py(), np.uint64))].tobytes() for x in asks["grams"]]
+        return pa.table({"block": asks["block"], "grams": asks["grams"], "logs": pa.array(logs, pa.binary())})
+
+    return asked.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(answer, "block int, grams binary, logs binary")
 
 
 def _lower(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int = ORDER, floor: float = FLOOR) -> DataFrame:
+def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), (fold == held_out).alias("held"))
-    grams = stored(gram_counts(own.where(~F.col("held")).select("text"), order), "ppm-grams")
-    trie = spark.sparkContext.broadcast(build_trie(grams, order, floor))
-    blocks = 2 * shuffle_parts(spark)
+    grams = stored(gram_counts(own.select("text", "held"), order), "ppm-grams")
+    parts = shuffle_parts(spark)
+    blocks = 2 * parts
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", F.crc32("text")), F.lit(blocks)).cast("int"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,13 +337,14 @@ def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int =
                 seen, asked, held = {}, {}, 0
         yield from out()
 
-    by_block = dealt.repartition(shuffle_parts(spark), "block")
+    by_block = dealt.repartition(parts, "block")
     counted = by_block.select("text", "held", "block").mapInArrow(words, "word binary, block int, n long")
     counted = counted.groupBy("word", "block").agg(F.sum("n").alias("n"))
     # a word's list has at most as many blocks as there are
     totals = counted.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list("block").alias("blocks")).where(F.col("c") > 0)
     totals = stored(totals, "ppm-words")
-    asked = totals.select("word", "c", F.explode("blocks").alias("block"))
+    answers = answered_grams(asked_grams(by_block, order, parts), gram_scores(grams, order, parts))
+    asked = totals.select("word", "c", F.explode("blocks").alias("block")).unionByName(answers, allowMissingColumns=True)
     ends = own.where(~F.col("held")).agg(F.count(F.lit(1)).alias("ends"))
     sums = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("kinds"))
     n_ends, (n_tokens, n_kinds) = ends.first()[0], sums.first()
@@ -246,7 +352,13 @@ def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int =
     each = math.log10(all_tokens + 1 * (kinds + 1))
 
     def score(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
-        table = dict(zip(known["word"].to_pylist(), known["c"].to_pylist(), strict=True))
+        word = pc.is_valid(known["word"])
+        spoken, spelled = known.filter(word), known.filter(pc.invert(word))
+        table = dict(zip(spoken["word"].to_pylist(), spoken["c"].to_pylist(), strict=True))
+        all_grams = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in spelled["grams"])])
+        all_logs = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_py(), np.float64) for x in spelled["logs"])])
+        at = np.argsort(all_grams)
+        all_grams, all_logs = all_grams[at], all_logs[at]
         logs = {w: math.log10(c + 1) for w, c in table.items()}
         rows: list[tuple[int, int, float]] = []
         scores = []
@@ -269,9 +381,9 @@ def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int =
                     times = np.diff(np.concatenate((edge, [len(keyed)])))
                     g, row = keyed[edge] >> np.uint64(bits), (keyed[edge] & np.uint64((1 << bits) - 1)).astype(np.int64)
                     fresh = np.concatenate(([True], g[1:] != g[:-1]))
-                    value = trie.value.log10(g[fresh])[np.cumsum(fresh) - 1]
+                    value = all_logs[np.searchsorted(all_grams, g[fresh])][np.cumsum(fresh) - 1]
                 else:
-                    times, value = np.ones(len(grams)), trie.value.log10(grams)
+                    times, value = np.ones(len(grams)), all_logs[np.searchsorted(all_grams, grams)]
                 total[first : first + count] += np.bincount(row, weights=times * value, minlength=count)
             scores.append(total)
         n, hits, base = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [])

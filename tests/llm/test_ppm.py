@@ -66,3 +66,22 @@ def test_no_training_text(spark):
     df = spark.createDataFrame([(i, "ab") for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
     got = ppm.ppm_scores(df).collect()
     assert {r.train_tokens for r in got} == {0} and all(r.score == pytest.approx(-3 * math.log10(257)) for r in got)
+
+
+def test_rare_edges_count_in_a_large_corpus(spark):
+    # over 2^22 training bytes, of which one text's edges are seen once
+    common, rare, copies = " ".join(f"word{i % 97} stands" for i in range(7000)), "Zyx qvjk, éwq!", 50
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][: copies + 1]
+    test = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(i, common) for i in ids[:-1]] + [(ids[-1], rare), (test, rare + " word5 zzqq")]
+    assert copies * len(common) > 1 << 22
+    counts = model([common], 4)
+    for level in counts:
+        for edges in level.values():
+            for s in edges:
+                edges[s] *= copies
+    for level, more in zip(counts, model([rare], 4), strict=True):
+        for context, edges in more.items():
+            level[context].update(edges)
+    got = {r.doc_id: r.score for r in ppm.ppm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[ids[-1]] == pytest.approx(score(counts, rare, 4)) and got[test] == pytest.approx(score(counts, rows[-1][1], 4))
