@@ -49,6 +49,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_numbers(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column __row, a number of its own for each row, written once: every later scan reads the same."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

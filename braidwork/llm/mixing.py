@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words, shuffle_parts, stored
+from .common import WORD, n_words, shuffle_parts, stored, with_row_numbers
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most_epochs: float) -> DataFrame:
@@ -92,10 +92,10 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most_epochs: float = 2.0, seed: str = "mix") -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, repeated by epoch; a cut use has its first words only.
 
-    ``docs`` has to be a stored table: its rows are told apart by their place in it. Texts are shuffled once, to meet
-    what is taken of them. Rows without a word are not part of a mix and stay as they are.
+    Rows are told apart by a number that is stored with them, since two scans of one table may split it differently.
+    Texts are shuffled once, to meet what is taken of them. Rows without a word are not part of a mix and stay as they are.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    numbered = with_row_numbers(docs)
     plan = _mix(numbered.select("doc_id", "source", "text", "__row"), weights, share, most_epochs, seed)
     plan = plan.where((F.col("taken") > 0) | (F.col("size") == 0))
     last = F.when(F.col("last_words") == F.col("size"), -1).otherwise(F.col("last_words").cast("int"))

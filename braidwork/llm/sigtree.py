@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordkernel as wk
-from .common import bounded_batches, shuffle_parts, stored
+from .common import bounded_batches, shuffle_parts, stored, with_row_numbers
 from .graph import components
 
 #: Counters of how common shingles are, by the first bits of their hash, and how many of them travel together.
@@ -386,15 +386,15 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
 
 
 def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` (a stored table; all columns) without those that link, directly or not, with a kept one.
+    """The rows of ``docs`` (all columns) without those that link, directly or not, with a kept one.
 
     Of a component the row with the smallest doc_id stays (null ids last, then the first in the table). Texts without
     a word link with nothing and stay.
     """
-    row = F.monotonically_increasing_id()
-    ids = docs.select(F.col("doc_id").alias("own"), row.alias("doc_id"), "text")
+    numbered = with_row_numbers(docs)
+    ids = numbered.select(F.col("doc_id").alias("own"), F.col("__row").alias("doc_id"), "text")
     groups = jaccard_components(ids.select("doc_id", "text"), size, percent).select("doc_id", "component_id")
     member = stored(groups.join(ids.select("doc_id", "own"), "doc_id"), "groups")
     first = stored(member.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), F.col("own"), F.col("doc_id"))).alias("first")), "first")
     gone = member.join(first, "component_id").where(F.col("doc_id") != F.col("first.doc_id")).select(F.col("doc_id").alias("__row"))
-    return docs.withColumn("__row", row).join(stored(gone, "gone"), "__row", "left_anti").select(*docs.columns)
+    return numbered.join(stored(gone, "gone"), "__row", "left_anti").select(*docs.columns)

@@ -3,7 +3,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from braidwork.llm import mixing
+from braidwork.llm import mixing, sigtree
 
 from .conftest import words
 
@@ -50,3 +50,16 @@ def test_mixed_documents_hold_the_taken_words(docs):
 
 def test_empty(empty):
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+@pytest.mark.parametrize("operator", [mixing.mixed_documents, sigtree.one_of_each_group])
+def test_rows_survive_another_split_of_the_table(spark, docs, operator):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    want = sorted(map(str, operator(docs).collect()))
+    later = operator(docs)
+    spark.conf.set(key, "2000b")  # the last scan gets other partitions than the ones before
+    try:
+        assert sorted(map(str, later.collect())) == want
+    finally:
+        spark.conf.set(key, before)
