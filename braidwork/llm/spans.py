@@ -8,7 +8,9 @@ A suffix automaton of everything that repeats has no size bound, so none is broa
    of ``gram`` words inside it; equal windows have equal anchors. Blocks send their distinct anchors (about one in
    five words), and get back those that more than one document has.
 2. For each returned anchor a block sends its distinct contexts, the words of all windows of that anchor, with the
-   smallest id that has them, to the anchor's reference shard. A shard builds the suffix automaton of its contexts
+   smallest id that has them, to the anchor's reference shard. An anchor in many blocks may have as many contexts as
+   documents (a short line in different surroundings), so its windows travel one by one, each to the shard of its own
+   words; equal windows still meet. A shard builds the suffix automaton of its contexts
    over words, hands the smallest id from each state up the suffix links, and streams every context through it: the
    state that stands for the last ``window`` words names the smallest document with that sequence.
 3. The blocks look up their contexts again and remove the covered words: maximal spans of ``window`` words or more.
@@ -42,6 +44,8 @@ WINDOW, GRAM = 13, 5
 BLOCKS_PER_PARTITION = GROUPS_PER_PARTITION = 2
 #: Reference shards of a group; a task builds one automaton after the other.
 SHARDS = 16
+#: An anchor in more blocks than this is split by its windows.
+HOT_BLOCKS = 64
 NO_ID = np.iinfo(np.int64).max
 _HELD = 1 << 19
 
@@ -54,6 +58,7 @@ class Contexts:
         none = np.zeros(0, np.int64)
         self.low = self.high = none
         self.anchor = self.key = np.zeros(0, np.uint64)
+        self.window = window
         if n <= 0:
             return
         value = np.full(len(p.hash), np.iinfo(np.uint64).max, np.uint64)
@@ -68,12 +73,22 @@ class Contexts:
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         self.low, self.high = own[first], own[np.append(first[1:], len(own)) - 1]
         self.anchor = value[least[first]]
-        end = self.high + window
         size = len(p.hash) + 1
-        up, down = wk._powers(size)
-        total = np.zeros(size, np.uint64)
-        np.cumsum(p.hash * up[: size - 1], out=total[1:])
-        self.key = wk.mix64((total[end] - total[self.low]) * down[self.low] + (end - self.low).astype(np.uint64))
+        up, self.down = wk._powers(size)
+        self.total = np.zeros(size, np.uint64)
+        np.cumsum(p.hash * up[: size - 1], out=self.total[1:])
+        self.key = self.keys(self.low, self.high)
+
+    def keys(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """A hash of the words of the windows from ``low`` to ``high``."""
+        end = high + self.window
+        return wk.mix64((self.total[end] - self.total[low]) * self.down[low] + (end - low).astype(np.uint64))
+
+    def single(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the contexts ``some``, each window: its place, its context, and a hash of its words."""
+        n = self.high[some] - self.low[some] + 1
+        at = np.repeat(self.low[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return at, np.repeat(some, n), self.keys(at, at) if len(at) else np.zeros(0, np.uint64)
 
 
 def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -168,7 +183,7 @@ class Automaton:
 def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text and any others) plus __n_words, __n_removed and __kept, the kept words joined by a space."""
     bounded_batches(docs.sparkSession)
-    parts, columns = shuffle_parts(docs.sparkSession), docs.columns
+    parts, columns, hot_blocks = shuffle_parts(docs.sparkSession), docs.columns, HOT_BLOCKS
     blocks, groups = BLOCKS_PER_PARTITION * parts, GROUPS_PER_PARTITION * parts
     dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(parts, "__block")
     id_at, text_at, block_at = (dealt.columns.index(c) for c in ("doc_id", "text", "__block"))
@@ -212,13 +227,19 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         some = o[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
         anchor, block = anchor[some], block[some]
         o = np.lexsort((anchor, block))
+        o = o[np.concatenate(([True], (anchor[o][1:] != anchor[o][:-1]) | (block[o][1:] != block[o][:-1])))] if len(o) else o
         anchor, block = anchor[o], block[o]
+        kinds, of, n = np.unique(anchor, return_inverse=True, return_counts=True)
+        hot = (n > hot_blocks)[of].astype(np.uint8)
         first, last = _runs(block)
-        return pa.table({"block": pa.array(block[first], pa.int32()), "anchors": pa.array([np.unique(anchor[a:b]).tobytes() for a, b in zip(first, last, strict=True)], pa.binary())})
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary())
+        return pa.table({"block": pa.array(block[first], pa.int32()), "anchors": cut(anchor), "hot": cut(hot)})
 
     def contexts(key: tuple[pa.Scalar, ...], texts: pa.Table, found: pa.Table) -> pa.Table:
         names = {"group": pa.int32(), "block": pa.int32(), **{c: pa.binary() for c in ("keys", "shards", "docs", "sizes", "words")}}
-        wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in found["anchors"].to_pylist()]]))
+        join = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in found[c].to_pylist()]])
+        wanted, at = np.unique(join("anchors", np.uint64), return_index=True)
+        hot = join("hot", np.uint8)[at] > 0
         gathered: list[tuple[np.ndarray, ...]] = []
         for batch in texts.to_batches() if len(wanted) else []:
             ids = _ids(batch.column(id_at))
@@ -226,12 +247,18 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
                 c = Contexts(p, window, gram)
                 at = np.minimum(np.searchsorted(wanted, c.anchor), len(wanted) - 1)
                 some = np.flatnonzero(wanted[at] == c.anchor)
-                doc = ids[p.row[c.low[some]] + p.first]
-                o = some[np.lexsort((doc, c.key[some]))]
-                o = o[np.concatenate(([True], c.key[o][1:] != c.key[o][:-1]))] if len(o) else o
-                size = c.high[o] + window - c.low[o]
-                place = np.repeat(c.low[o] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-                gathered.append((c.key[o], c.anchor[o], ids[p.row[c.low[o]] + p.first], size, (p.hash[place] >> U64(32)).astype(np.uint32)))
+                warm, heat = some[~hot[at[some]]], some[hot[at[some]]]
+                place, of, single = c.single(heat)
+                low, own = np.concatenate((c.low[warm], place)), np.concatenate((c.key[warm], single))
+                size = np.concatenate((c.high[warm] - c.low[warm], np.zeros(len(place), np.int64))) + window
+                # what says the shard: the anchor, of a hot one the window
+                meet = np.concatenate((c.anchor[warm], single))
+                doc = ids[p.row[low] + p.first]
+                o = np.lexsort((doc, own))
+                o = o[np.concatenate(([True], own[o][1:] != own[o][:-1]))] if len(o) else o
+                low, size = low[o], size[o]
+                place = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                gathered.append((own[o], meet[o], doc[o], size, (p.hash[place] >> U64(32)).astype(np.uint32)))
         if not gathered or not sum(len(x[0]) for x in gathered):
             return pa.table({c: pa.array([], k) for c, k in names.items()})
         keys, anchor, doc, size, words = (np.concatenate(x) for x in zip(*gathered, strict=True))
@@ -307,6 +334,13 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
                     inner = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
                     start = np.repeat(c.low[some], windows) + inner
                     answer = least[np.repeat(at[here], windows) + np.where(np.repeat(counts[here], windows) > 1, inner, 0)]
+                    # the others may have been asked for window by window
+                    rest = np.ones(len(c.key), bool)
+                    rest[some] = False
+                    place, _, single = c.single(np.flatnonzero(rest))
+                    at_single = np.minimum(np.searchsorted(keys, single), len(keys) - 1)
+                    hits = np.flatnonzero(keys[at_single] == single)
+                    start, answer = np.concatenate((start, place[hits])), np.concatenate((answer, least[at[at_single[hits]]]))
                     start = start[answer < ids[p.row[start] + p.first]]
                     np.add.at(steps, start, 1)
                     np.add.at(steps, start + window, -1)
@@ -327,7 +361,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         return out
 
     sent = dealt.mapInArrow(anchors, "bucket int, block int, anchors binary")
-    returned = sent.groupBy("bucket").applyInArrow(shared, "block int, anchors binary")
+    returned = sent.groupBy("bucket").applyInArrow(shared, "block int, anchors binary, hot binary")
     texts = dealt.groupBy("__block")
     sent = texts.cogroup(returned.groupBy("block")).applyInArrow(contexts, "group int, block int, keys binary, shards binary, docs binary, sizes binary, words binary")
     answers = sent.groupBy("group").applyInArrow(judge, "block int, keys binary, counts binary, least binary")

@@ -48,3 +48,11 @@ def test_automaton_names_the_smallest_document(sequences):
     for s in sequences:
         want = [min(d for d, t in enumerate(sequences) if any(t[j : j + 3] == s[i : i + 3] for j in range(len(t) - 2))) for i in range(len(s) - 2)]
         assert a.least_documents(s, 3) == want
+
+
+def test_hot_anchors_are_split(spark, monkeypatch):
+    # one line of seven words with other words around it: its windows meet one by one
+    monkeypatch.setattr(spans, "HOT_BLOCKS", 2)
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(9)), "this line stands in every single page", *(f"b{i % 30}y{j}" for j in range(14))])) for i in range(60)]
+    got = spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter((r.doc_id, r["__n_words"], r["__n_removed"], r["__kept"]) for r in got.collect()) == cleaned(rows)
