@@ -105,8 +105,8 @@ def _lines(p: wk.Words, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, held
 
 
-def measures(p: wk.Words, rules: Rules) -> dict[str, np.ndarray]:
-    """The columns of SCHEMA, without doc_id, for a part of a column."""
+def measures(p: wk.Words, rules: Rules, verdict_only: bool = False) -> dict[str, np.ndarray]:
+    """The columns of SCHEMA, without doc_id, for a part of a column; shares not needed for the verdict may be left at 0."""
     lead = (p.data & 0xC0) != 0x80
     points = np.concatenate(([0], np.cumsum(lead, dtype=np.int64)))
     chars = points[p.end] - points[p.start]
@@ -124,13 +124,13 @@ def measures(p: wk.Words, rules: Rules) -> dict[str, np.ndarray]:
     line_share = line_chars / whole
     kept = ~base & (line_share <= rules.line_share) & (n_symbols <= rules.symbols_per_word * n_words)
     # A longer n-gram that is repeated consists of repeated 3-grams, so a text whose 3-gram share is within a
-    # limit is within it for the longer n-grams also; the rest is measured.
+    # limit is within it for the longer n-grams also; where only the verdict counts, just the rest is measured.
     three = _per_row(p, np.where(in_three, chars, 0)) / whole
     shares = np.zeros((p.rows, len(rules.gram_shares)))
     for i, (k, most) in enumerate(sorted(rules.gram_shares.items())):
-        if k < 3 or (three > most).any():
+        if not verdict_only or k < 3 or (three > most).any():
             g, at = wk.grams(p, k)
-            if k >= 3:
+            if verdict_only and k >= 3:
                 some = (three > most)[p.row[at]]
                 g, at = g[some], at[some]
             _, later = _repeated(p.row[at], g)
@@ -166,7 +166,7 @@ def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [measures(p, rules)["kept"] for p in wk.parts(batch.column(at))]
+            kept = [measures(p, rules, verdict_only=True)["kept"] for p in wk.parts(batch.column(at))]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 

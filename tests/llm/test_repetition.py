@@ -40,3 +40,10 @@ def test_repeated_passage_is_rejected(spark):
     assert got[1].kept and not got[2].kept and got[2].base_failed
     # 12 of 92 words stand again: no 5-gram share over 0.15, but the 9-gram share is over 0.11
     assert got[3].n_repeat_words == 24 and not got[3].base_failed and not got[3].kept
+
+
+def test_shares_are_measured_for_every_text(spark):
+    # five of 105 words stand again: far below every limit, yet a share
+    text = " ".join([*(f"w{i:03}" for i in range(100)), "w000 w001 w002 w003 w004"])
+    (got,) = repetition.repetition_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert got.kept and abs(got.dup_gram_shares[0] - 5 / 105) < 1e-9 and got.dup_gram_shares[1:] == [0.0] * (len(got.dup_gram_shares) - 1)
