@@ -4,7 +4,9 @@ Most of a corpus is the same few words over and over, so a worker remembers the
 space. A cut before a single space, around a single line break or between a letter and a comma or full stop, each
 between two characters that are no white space, never lies inside a pre-token of a byte-level BPE whose pre-tokens
 start with at most one space; so the words' ids, joined, are the ids of the whole text. A text with any other white
-space is encoded as a whole. A word of letters alone is one pre-token, so the library's BPE model takes it directly.
+space is encoded as a whole, and so is one that holds a token which the tokenizer's file adds to the vocabulary
+(``<|endoftext|>``): the library gives it its own id, as in a plain call. A word of letters alone is one pre-token, so
+the library's BPE model takes it directly.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from sys import byteorder
 
 #: Words in a generation, about 200 bytes each; a worker remembers two, and what it meets again moves to the newer one.
 GENERATION = 350_000
-_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -42,14 +44,14 @@ class _NotPlain(Exception):
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, special_as_text: bool, generation: int):
+    def __init__(self, path: str, generation: int):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.alone, self.spaced = _Words(self, "", generation), _Words(self, " ", generation)
         self.line_break = self.whole("\n")
 
@@ -59,6 +61,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(x in text for x in self.added):
+            return self.whole(text)
         try:
             return self.line_break.join([self._line(x) for x in text.split("\n")])
         except _NotPlain:
@@ -97,10 +101,10 @@ class _Words(dict):
         return found
 
 
-def encoder(path: str, special_as_text: bool = True, generation: int = GENERATION) -> Encoder:
+def encoder(path: str, generation: int = GENERATION) -> Encoder:
     """The worker's encoder for the tokenizer file at ``path``; ``generation`` bounds the words it remembers."""
-    key = (path, special_as_text, generation)
+    key = (path, generation)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(path, special_as_text, generation)
+        _ENCODERS[key] = Encoder(path, generation)
     return _ENCODERS[key]

@@ -41,6 +41,7 @@ def corpus():
     rows.append([None, rows[1][1], "en", "s1"])
     rows.append([67, "\n".join(["same line of seven words stands here"] * 30), "en", "s1"])
     rows.append([68, "Released under the MIT License.\nThe rest of it is plain text.", "en", "s2"])
+    rows.append([69, "a <|endoftext|> b and<|endoftext|>\nmore of it", "en", "s2"])
     return [(*r, len(r[1] or "")) for r in rows]
 
 

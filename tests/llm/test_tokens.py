@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokenizer, text):
@@ -31,6 +29,13 @@ def test_word_by_word_equals_whole(text):
     assert e.encode(text) == e.whole(text)
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y\nz <|endoftext|><|endoftext|>", "no <|endoftext| here", "a <|ENDOFTEXT|> b"])
+def test_added_tokens_have_their_own_id(tokenizer, text):
+    ids = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.encoder(PATH).encode(text), "<u4").tolist() == ids
+    assert (50256 in ids) == ("<|endoftext|>" in text)
+
+
 def test_packing(docs, rows, tokenizer):
     got = packing.packed_documents(docs, PATH).collect()
     expected = Counter()
