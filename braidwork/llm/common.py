@@ -49,9 +49,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_numbers(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column __row, a number of its own for each row, written once: every later scan reads the same."""
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or a longer one that is no column of the frames in any case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_numbers(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """``docs`` with a further column, a number of its own for each row, written once: every later scan reads the same."""
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,3 +73,9 @@ def n_words(text: Column) -> Column:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_blocks(docs: DataFrame, most: int = 1 << 26) -> int:
+    """How many blocks the texts are dealt into: two for each shuffle partition, more if one would pass ``most`` bytes."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(2 * shuffle_parts(docs.sparkSession), -(-size // most))

@@ -12,8 +12,11 @@ number d has c / (n + d), what is left, d / (n + d), is the escape to the contex
 the symbols of the longer context are excluded. The last level is uniform over the symbols not yet excluded. Symbols
 are the 256 bytes and an end of text; contexts at a text's start are filled with a byte that UTF-8 doesn't have.
 
-Words: their counts never meet in one place either. Texts are dealt into blocks by their id's hash; a block asks with
-its own distinct words, and gets back those counts.
+Words: their counts never meet in one place either. Texts are dealt into blocks of bounded size by a hash of id and
+text; a block asks with its own distinct words, as 64-bit hashes, and gets back those counts. What blocks send is packed
+by block and part, so there are never more rows than asked words or n-grams.
+
+The n-grams of one part are those of some two-byte endings, of which each has at most 257 x 65,536 at ``ORDER`` 4.
 
 Defined cases: a null or empty text is its end alone; a null id is hashed as an empty string; repeated rows are
 learned from and scored one by one; further columns are ignored; no training text leaves the uniform model and
@@ -23,7 +26,6 @@ N = V = 0; an empty table gives an empty result. A long text is scored in pieces
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shuffle_parts, stored
+from . import wordkernel as wk
+from .common import bounded_batches, stored, text_blocks
 from .wordkernel import buffers, mix64
 
 ORDER = 4
@@ -243,7 +246,7 @@ def gram_scores(counts: DataFrame, order: int, parts: int) -> DataFrame:
         return pa.table({"part": _shares(grams, parts), "gram": grams.astype(np.int64), "log10": found})
 
     end = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
-    dealt = counts.select(F.pmod(F.xxhash64(end), F.lit(4 * parts)).cast("int").alias("end"), "gram", "n")
+    dealt = counts.select(F.pmod(F.xxhash64(end), F.lit(max(4 * parts, counts.count() >> 20))).cast("int").alias("end"), "gram", "n")
     return dealt.groupBy("end").applyInArrow(judge, "part int, gram long, log10 double")
 
 
@@ -297,8 +300,71 @@ def answered_grams(asked: DataFrame, scores: DataFrame) -> DataFrame:
     return asked.groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(answer, "block int, grams binary, logs binary")
 
 
-def _lower(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def asked_words(by_block: DataFrame, parts: int) -> DataFrame:
+    """by_block(text, held, block and more) -> (part, block, words, counts): the distinct words of each block, as bytes
+    of hashes, and how often its training texts have them."""
+    text, test, block = (by_block.columns.index(c) for c in ("text", "held", "block"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = 0
+
+        def summed(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            keys, own = np.unique(np.concatenate([x for x, _ in some]), return_inverse=True)
+            return keys, np.bincount(own, weights=np.concatenate([n for _, n in some]), minlength=len(keys)).astype(np.int64)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, some in seen.items():
+                keys, n = summed(some)
+                part = _shares(keys, parts)
+                order = np.argsort(part, kind="stable")
+                keys, n, part = keys[order], n[order], part[order]
+                first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+                ends = np.append(first[1:], len(part))
+                cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(np.full(len(first), name, np.int32)), cut(keys), cut(n)], names=["part", "block", "words", "counts"])
+
+        for batch in batches:
+            blocks = batch.column(block)
+            for name in pc.unique(blocks).to_pylist():
+                own = pc.equal(blocks, name)
+                train = ~batch.column(test).filter(own).to_numpy(zero_copy_only=False)
+                for p in wk.parts(batch.column(text).filter(own), lower=True):
+                    part = summed([(p.hash, train[p.first + p.row].astype(np.int64))])
+                    seen.setdefault(name, []).append(part)
+                    held += len(part[0])
+            if held > _HELD:
+                seen = {name: [summed(some)] for name, some in seen.items()}
+                held = sum(len(some[0][0]) for some in seen.values())
+                if held > _HELD // 2:
+                    yield from out()
+                    seen, held = {}, 0
+        yield from out()
+
+    return by_block.mapInArrow(ask, "part int, block int, words binary, counts binary")
+
+
+def answered_words(asked: DataFrame) -> DataFrame:
+    """(part, block, words, counts) -> (block, words, counts): counts over all blocks, of the words that have any; and
+    per part a row without words, whose ``tokens`` and ``kinds`` say how many there are."""
+
+    def answer(asks: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, np.uint64) for x in asks["words"].to_pylist()]
+        counts = [np.frombuffer(x, np.int64) for x in asks["counts"].to_pylist()]
+        keys, own = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, own, np.concatenate(counts))
+        rows: dict[str, list] = {"block": [None], "words": [None], "counts": [None], "tokens": [int(total.sum())], "kinds": [int((total > 0).sum())]}
+        at = 0
+        for block, some in zip(asks["block"].to_pylist(), lists, strict=True):
+            n = total[own[at : at + len(some)]]
+            at += len(some)
+            for name, x in (("block", block), ("words", some[n > 0].tobytes()), ("counts", n[n > 0].tobytes()), ("tokens", None), ("kinds", None)):
+                rows[name].append(x)
+        kinds = {"block": pa.int32(), "words": pa.binary(), "counts": pa.binary(), "tokens": pa.int64(), "kinds": pa.int64()}
+        return pa.table({name: pa.array(rows[name], kind) for name, kind in kinds.items()})
+
+    return asked.groupBy("part").applyInArrow(answer, "block int, words binary, counts binary, tokens long, kinds long")
 
 
 def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int = ORDER) -> DataFrame:
@@ -308,68 +374,43 @@ def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int =
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), (fold == held_out).alias("held"))
     grams = stored(gram_counts(own.select("text", "held"), order), "ppm-grams")
-    parts = shuffle_parts(spark)
-    blocks = 2 * parts
+    blocks = text_blocks(own)
+    parts = max(1, blocks // 2)
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", F.crc32("text")), F.lit(blocks)).cast("int"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, Counter[bytes]] = {}
-        asked: dict[int, set[bytes]] = {}
-        held = 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for block, counts in seen.items():
-                others = asked[block].difference(counts)
-                keys, n = [*counts, *others], [*counts.values(), *([0] * len(others))]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(np.full(len(keys), block, np.int32)), pa.array(n, pa.int64())], names=["word", "block", "n"])
-
-        for batch in batches:
-            for text, test, block in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                found = _lower(text.as_py().encode())
-                counts, others = seen.setdefault(block, Counter()), asked.setdefault(block, set())
-                if test:
-                    others.update(found)
-                else:
-                    counts.update(found)
-                held += len(found)
-            if held > 4_000_000:
-                yield from out()
-                seen, asked, held = {}, {}, 0
-        yield from out()
-
     by_block = dealt.repartition(parts, "block")
-    counted = by_block.select("text", "held", "block").mapInArrow(words, "word binary, block int, n long")
-    counted = counted.groupBy("word", "block").agg(F.sum("n").alias("n"))
-    # a word's list has at most as many blocks as there are
-    totals = counted.groupBy("word").agg(F.sum("n").alias("c"), F.collect_list("block").alias("blocks")).where(F.col("c") > 0)
-    totals = stored(totals, "ppm-words")
+    words = stored(answered_words(asked_words(by_block, parts)), "ppm-words")
     answers = answered_grams(asked_grams(by_block, order, parts), gram_scores(grams, order, parts))
-    asked = totals.select("word", "c", F.explode("blocks").alias("block")).unionByName(answers, allowMissingColumns=True)
-    ends = own.where(~F.col("held")).agg(F.count(F.lit(1)).alias("ends"))
-    sums = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("kinds"))
-    n_ends, (n_tokens, n_kinds) = ends.first()[0], sums.first()
+    known_words = words.where(F.col("block").isNotNull()).select("block", "words", "counts")
+    asked = known_words.unionByName(answers, allowMissingColumns=True)
+    n_ends = own.where(~F.col("held")).count()
+    n_tokens, n_kinds = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     all_tokens, kinds = n_tokens + n_ends, n_kinds + (n_ends > 0)
     each = math.log10(all_tokens + 1 * (kinds + 1))
 
+    def lists(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist() if x is not None)])
+
     def score(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
-        word = pc.is_valid(known["word"])
-        spoken, spelled = known.filter(word), known.filter(pc.invert(word))
-        table = dict(zip(spoken["word"].to_pylist(), spoken["c"].to_pylist(), strict=True))
-        all_grams = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in spelled["grams"])])
-        all_logs = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_py(), np.float64) for x in spelled["logs"])])
+        table, at = np.unique(lists(known["words"], np.uint64), return_index=True)
+        word_logs = np.log10(lists(known["counts"], np.int64)[at] + 1.0)
+        all_grams, all_logs = lists(known["grams"], np.uint64), lists(known["logs"], np.float64)
         at = np.argsort(all_grams)
         all_grams, all_logs = all_grams[at], all_logs[at]
-        logs = {w: math.log10(c + 1) for w, c in table.items()}
-        rows: list[tuple[int, int, float]] = []
-        scores = []
+        n, hits, base, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
         for batch in texts.to_batches():
             column = batch.column("text")
-            for text in column:
-                found = _lower(text.as_py().encode())
-                hits = [logs[w] for w in found if w in logs]
-                n = len(found) + 1
+            for p in wk.parts(column, lower=True):
+                own, times = np.diff(p.bounds).astype(np.int64) + 1, np.zeros(p.rows, np.int64)
+                total = np.zeros(p.rows)
+                if len(table):
+                    at = np.minimum(np.searchsorted(table, p.hash), len(table) - 1)
+                    hit = np.flatnonzero(table[at] == p.hash)
+                    times = np.bincount(p.row[hit], minlength=p.rows)
+                    total = np.bincount(p.row[hit], weights=word_logs[at[hit]], minlength=p.rows)
                 # the end is a token that every training text has
-                rows.append((n, len(hits) + (n_ends > 0), math.fsum(hits) + math.log10(n_ends + 1) - n * each))
+                n.append(own)
+                hits.append(times + (n_ends > 0))
+                base.append(total + math.log10(n_ends + 1) - own * each)
             total = np.zeros(len(column))
             for first, count, stream, of in _streams(column, order):
                 grams = _grams(stream, order)[of >= 0]
@@ -386,11 +427,10 @@ def ppm_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, order: int =
                     times, value = np.ones(len(grams)), all_logs[np.searchsorted(all_grams, grams)]
                 total[first : first + count] += np.bincount(row, weights=times * value, minlength=count)
             scores.append(total)
-        n, hits, base = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [])
+        n, hits, base, scores = (np.concatenate(x) for x in (n, hits, base, scores))
         return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held"], "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(hits, pa.int64()),
-            "train_tokens": pa.array([all_tokens] * len(n), pa.int64()), "base_score": pa.array(base, pa.float64()),
-            "score": pa.array(np.concatenate(scores) if scores else np.zeros(0)),
+            "doc_id": texts["doc_id"], "held_out": texts["held"], "n_tokens": n, "n_known": hits.astype(np.int64),
+            "train_tokens": np.full(len(n), all_tokens, np.int64), "base_score": base, "score": scores,
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
