@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,28 +16,39 @@ from . import jsontree as jt
 from .merging import Policy, Version, join_parts, merge_all, tag_proofs
 
 FIELDS = "array<struct<field:string,match_key:string,place:int,value:string,case_id:string>>"
+_FIELD = pa.struct([("field", pa.string()), ("match_key", pa.string()), ("place", pa.int32()), ("value", pa.string()), ("case_id", pa.string())])
+
+
+def _lists(ends: list[int], columns: list[list], kind: pa.StructType) -> pa.Array:
+    """Arrow lists of structs from the structs' columns and where each list ends."""
+    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
 
 
 def flattened(payload: Column, keys: Mapping[str, str]) -> Column:
     """array of (field, match_key, place, value, case_id); empty for a null, blank or malformed payload."""
 
-    @F.pandas_udf(FIELDS)
-    def run(texts: pd.Series) -> pd.Series:
-        def one(text):
+    @F.arrow_udf(FIELDS)
+    def run(texts: pa.Array) -> pa.Array:
+        found, ends = [], []
+        for text in texts.to_pylist():
             try:
-                return [] if text is None or not text.strip() else [x._asdict() for x in jt.flatten(jt.parse(text), keys)]
+                if text is not None and text.strip():
+                    found += jt.flatten(jt.parse(text), keys)
             except ValueError:
-                return []
-
-        return texts.map(one, na_action=None)
+                pass
+            ends.append(len(found))
+        return _lists(ends, [list(c) for c in zip(*found, strict=True)] or [[]] * len(_FIELD), _FIELD)
 
     return run(payload)
 
 
 def _per_text(kind: str, function):
-    @F.pandas_udf(kind)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(function, na_action=None)
+    types = {"string": pa.string(), "array<string>": pa.list_(pa.string())}
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([function(x) for x in texts.to_pylist()], types[kind])
 
     return run
 
@@ -69,15 +80,15 @@ def content_signature(payload: Column) -> Column:
 def stamped(payload: Column, case_id: Column, policies: Mapping[str, Policy], segment: Column) -> Column:
     """The payload with its fields attributed to its case; as it is where it has no case or is no object."""
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, cases: pd.Series, segments: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, cases: pa.Array, segments: pa.Array) -> pa.Array:
         def one(text, case, name):
             tree = jt.try_object(text)
             if tree is None or not case:
                 return text
             return jt.dump(jt.stamp(tree, case, frozenset(policies[name].atomic) if name in policies else frozenset()))
 
-        return pd.Series([one(*x) for x in zip(texts, cases, segments, strict=True)], dtype=object)
+        return pa.array([one(*x) for x in zip(texts.to_pylist(), cases.to_pylist(), segments.to_pylist(), strict=True)], pa.string())
 
     return run(payload, case_id, segment)
 
@@ -85,17 +96,21 @@ def stamped(payload: Column, case_id: Column, policies: Mapping[str, Policy], se
 def cases_taken(payload: Column) -> Column:
     """struct(payload without case notes, notes: map path -> case)."""
 
-    @F.pandas_udf("payload string, notes array<struct<path:string,case_id:string>>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
+    note = pa.struct([("path", pa.string()), ("case_id", pa.string())])
+
+    @F.arrow_udf("payload string, notes array<struct<path:string,case_id:string>>")
+    def run(texts: pa.Array) -> pa.Array:
+        payloads, paths, cases, ends = [], [], [], []
+        for text in texts.to_pylist():
             tree = jt.try_object(text)
-            if tree is None:
-                rows.append((text, []))
-            else:
-                bare, notes = jt.take_cases(tree)
-                rows.append((jt.dump(bare), [{"path": k, "case_id": v} for k, v in notes.items()]))
-        return pd.DataFrame(rows, columns=["payload", "notes"])
+            if tree is not None:
+                tree, notes = jt.take_cases(tree)
+                text = jt.dump(tree)
+                paths += notes.keys()
+                cases += notes.values()
+            payloads.append(text)
+            ends.append(len(paths))
+        return pa.StructArray.from_arrays([pa.array(payloads, pa.string()), _lists(ends, [paths, cases], note)], names=["payload", "notes"])
 
     return run(payload)
 
@@ -104,20 +119,22 @@ def folded(versions: Column, segment: Column, policies: Mapping[str, Policy]) ->
     """Merge an ordered array of struct(payload, at) into struct(payload, at); a payload that is no object counts
     only if it is the latest."""
 
-    @F.pandas_udf("payload string, at string")
-    def run(lists: pd.Series, segments: pd.Series) -> pd.DataFrame:
-        rows = []
-        for items, name in zip(lists, segments, strict=True):
-            items = [] if items is None else list(items)
+    @F.arrow_udf("payload string, at string")
+    def run(lists: pa.Array, segments: pa.Array) -> pa.Array:
+        payloads, times = [], []
+        for items, name in zip(lists, segments.to_pylist(), strict=True):
+            items = items.as_py() or []
             trees = [(jt.try_object(x["payload"]), x["at"]) for x in items]
             good = [Version(t, at) for t, at in trees if t is not None]
             if len(items) == 1 or not good:
                 last = max(items, key=lambda x: x["at"] or "") if items else {"payload": None, "at": None}
-                rows.append((last["payload"], last["at"]))
+                payload, at = last["payload"], last["at"]
             else:
                 merged = merge_all(good, policies.get(name, Policy()))
-                rows.append((jt.dump(merged.tree), merged.at))
-        return pd.DataFrame(rows, columns=["payload", "at"])
+                payload, at = jt.dump(merged.tree), merged.at
+            payloads.append(payload)
+            times.append(at)
+        return pa.StructArray.from_arrays([pa.array(payloads, pa.string()), pa.array(times, pa.string())], names=["payload", "at"])
 
     return run(versions, segment)
 
@@ -125,10 +142,10 @@ def folded(versions: Column, segment: Column, policies: Mapping[str, Policy]) ->
 def parts_joined(parts: Column, segment: Column, segments: Mapping[str, object]) -> Column:
     """One record of an array of struct(name, payload), by the segment's sub-types."""
 
-    @F.pandas_udf("string")
-    def run(lists: pd.Series, names: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def run(lists: pa.Array, names: pa.Array) -> pa.Array:
         out = []
-        for items, name in zip(lists, names, strict=True):
+        for items, name in zip(lists.to_pylist(), names.to_pylist(), strict=True):
             own = segments[name]
             trees = {x["name"]: jt.try_object(x["payload"]) for x in items}
             trees = {k: v for k, v in trees.items() if v is not None}
@@ -140,6 +157,6 @@ def parts_joined(parts: Column, segment: Column, segments: Mapping[str, object])
                 continue
             discriminators = {s.name: s.discriminator for s in own.sub_types}
             out.append(jt.dump(join_parts(trees, discriminators, own.base, own.policy.arrays)))
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.string())
 
     return run(parts, segment)

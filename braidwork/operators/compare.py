@@ -1,7 +1,8 @@
-"""Field by field comparison of two payloads, as joins on flattened values.
+"""Field by field comparison of two payloads in one pass over flattened values.
 
-Inputs are rows (pair, field, match_key, place, value, case_id): ``pair`` names what is compared, the rest is what
-``payload.flattened`` gives. Both sides shuffle by pair and field once; ordinals and the outer join keep to that.
+Inputs are rows (pair, side, field, match_key, place, value, case_id): ``pair`` names what is compared, ``side`` is
+human or ai, the rest is what ``payload.flattened`` gives. Both sides stand in one frame, so a payload is parsed once
+and shuffled once, by pair (and field); keys, ranks and the outer join are windows and a grouping within that.
 """
 
 from __future__ import annotations
@@ -14,78 +15,87 @@ from pyspark.sql import functions as F
 from braidwork.functions.text import last_part, renamed, same_text, under
 
 
-def exploded(rows: DataFrame, fields: str = "fields", keep: Sequence[str] = ("pair",)) -> DataFrame:
-    return rows.select(*keep, F.inline(fields))
+def both_sides(rows: DataFrame, human: str, ai: str) -> DataFrame:
+    """Flattened values of the two array columns of the same rows, tagged by side."""
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).alias("fields")) for side, c in (("human", human), ("ai", ai))])
+    return rows.select("pair", F.inline(sides)).select("pair", "side", F.inline("fields"))
 
 
-def with_mappings(rows: DataFrame, mappings: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rename path prefixes; values of paths that fall together follow each other, the renamed ones last."""
+def sided(human: DataFrame, ai: DataFrame) -> DataFrame:
+    """Values that come as two frames, tagged by side."""
+    return human.withColumn("side", F.lit("human")).unionByName(ai.withColumn("side", F.lit("ai")))
+
+
+def with_mappings(rows: DataFrame, mappings: Sequence[tuple[str, str]], where: Column | None = None) -> DataFrame:
+    """Rename path prefixes in the rows ``where``; values of paths that fall together follow each other, the renamed
+    ones last."""
     if not mappings:
         return rows
-    moved = rows.withColumn("__new", renamed(F.col("field"), mappings)).withColumn("__late", F.col("__new") != F.col("field"))
-    place = F.row_number().over(Window.partitionBy("pair", "__new").orderBy("__late", "field", "place")) - 1
-    return moved.withColumn("place", place.cast("int")).withColumn("field", F.col("__new")).drop("__new", "__late")
+    own = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    moved = rows.withColumn("__own", own).withColumn("__new", F.when(F.col("__own"), renamed(F.col("field"), mappings)).otherwise(F.col("field")))
+    moved = moved.withColumn("__late", F.col("__new") != F.col("field"))
+    keys = [c for c in ("pair", "side") if c in rows.columns]
+    place = F.row_number().over(Window.partitionBy(*keys, "__new", "__own").orderBy("__late", "field", "place")) - 1
+    moved = moved.withColumn("place", F.when(F.col("__own"), place).otherwise(F.col("place")).cast("int"))
+    return moved.withColumn("field", F.col("__new")).select(*rows.columns)
 
 
-def soft_keys(human: DataFrame, ai: DataFrame, array: str, parent: str) -> DataFrame:
-    """(pair, side, match_key, new_key) of a soft array's items.
+def soft_keys(rows: DataFrame, array: str, parent: str) -> DataFrame:
+    """``rows`` plus new_key, the key of a soft array's item by both sides; null for all other rows.
 
     Within a parent, items whose key is on both sides pair up; the others pair by rank of their sorted keys, and what
-    is left stands against XXX.
+    is left stands against XXX. A parent has to be there as a key of its own, on either side. Everything happens
+    within a pair, in one shuffle.
     """
-    def keys(df: DataFrame, path: str) -> DataFrame:
-        return df.where(under(F.col("field"), path) & F.col("match_key").isNotNull()).select("pair", "match_key").distinct()
-
-    parents = keys(human, parent).union(keys(ai, parent)).distinct().withColumnRenamed("match_key", "parent_key")
-
-    def children(df: DataFrame) -> DataFrame:
-        rest = F.expr("substring(match_key, length(parent_key) + 2)")
-        joined = keys(df, array).join(parents, "pair").where(F.startswith("match_key", F.concat("parent_key", F.lit("-"))))
-        return joined.where(F.instr(rest, "-") == 0).select("pair", "parent_key", "match_key")
-
-    h, a = children(human), children(ai)
-    on = ["pair", "parent_key", "match_key"]
-    both = h.join(a, on).select("pair", "parent_key", F.col("match_key").alias("human_key"), F.col("match_key").alias("ai_key"))
-    rank = F.row_number().over(Window.partitionBy("pair", "parent_key").orderBy("match_key"))
-    left_h = h.join(a, on, "left_anti").withColumn("rank", rank).withColumnRenamed("match_key", "human_key")
-    left_a = a.join(h, on, "left_anti").withColumn("rank", rank).withColumnRenamed("match_key", "ai_key")
-    rest = left_h.join(left_a, ["pair", "parent_key", "rank"], "full").select("pair", "parent_key", "human_key", "ai_key")
-    code = lambda c: F.coalesce(last_part(F.col(c)), F.lit("XXX"))
-    paired = both.union(rest).withColumn("new_key", F.concat_ws("-", "parent_key", code("ai_key"), code("human_key")))
-    human_side = paired.where("human_key is not null").select("pair", F.lit("human").alias("side"), F.col("human_key").alias("match_key"), "new_key")
-    return human_side.union(paired.where("ai_key is not null").select("pair", F.lit("ai"), "ai_key", "new_key"))
-
-
-def with_soft_keys(rows: DataFrame, remap: DataFrame, side: str, array: str) -> DataFrame:
+    key = F.col("match_key")
+    item = F.coalesce(under(F.col("field"), array) & (F.instr("match_key", "-") > 0), F.lit(False))
+    role = lambda k, own: F.struct(k.alias("__key"), F.lit(own).alias("__own"))
+    above = F.regexp_replace(key, "-[^-]*$", "")
+    roles = F.when(F.col("__item"), F.array(role(above, False), role(key, True))).otherwise(F.array(role(key, True)))
+    met = rows.repartition("pair").withColumn("__item", item).withColumn("__role", F.explode(roles)).select("*", "__role.*").drop("__role")
+    # an item's row stands at its own key, where it may be another item's parent, and at its parent's, where it stays
+    is_parent = F.col("__own") & under(F.col("field"), parent) & F.col("__key").isNotNull()
+    met = met.withColumn("__found", F.max(F.coalesce(is_parent, F.lit(False))).over(Window.partitionBy("pair", "__key")))
+    met = met.where(F.col("__own") != F.col("__item")).withColumn("__child", F.col("__item") & F.col("__found"))
+    has = lambda side: F.max(F.col("__child") & (F.col("side") == side)).over(Window.partitionBy("pair", "match_key"))
+    met = met.withColumn("__human", has("human")).withColumn("__ai", has("ai"))
+    kind = ["pair", "__key", "__child", "__human", "__ai"]
+    met = met.withColumn("__rank", F.dense_rank().over(Window.partitionBy(*kind).orderBy("match_key")))
+    slot = Window.partitionBy("pair", "__key", "__child", F.col("__human") & F.col("__ai"), "__rank")
+    code = lambda side: F.coalesce(last_part(F.max(F.when(F.col("side") == side, key)).over(slot)), F.lit("XXX"))
+    new = F.when(F.col("__child"), F.concat_ws("-", "__key", code("ai"), code("human")))
+    return met.withColumn("new_key", new).select(*rows.columns, "new_key")
+
+
+def with_soft_keys(rows: DataFrame, array: str, parent: str) -> DataFrame:
     """The rows with their new keys, in the array's own paths only."""
-    own = remap.where(F.col("side") == side).groupBy("pair", "match_key").agg(F.min("new_key").alias("new_key"))
-    joined = rows.join(own, ["pair", "match_key"], "left")
-    key = F.when(under(F.col("field"), array), F.coalesce("new_key", "match_key")).otherwise(F.col("match_key"))
-    return joined.withColumn("match_key", key).select(*rows.columns)
+    return soft_keys(rows, array, parent).withColumn("match_key", F.coalesce("new_key", "match_key")).select(*rows.columns)
 
 
-def numbered(rows: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The ordinal of a value among those of its field and key. Where a field has a key on either side, its values
-    without one don't count."""
-    out = rows.join(keyed, ["pair", "field"], "left").where(F.col("is_keyed").isNull() | F.col("match_key").isNotNull()).drop("is_keyed")
-    n = F.row_number().over(Window.partitionBy("pair", "field", "match_key").orderBy("place"))
-    return out.withColumn("ordinal", n)
+def matched_fields(rows: DataFrame, segment_types: Mapping[str, str] | None = None) -> DataFrame:
+    """pair, field_name, array_key, ordinal, human_value, ai_value, is_match, segment_type and both sides' cases.
 
-
-def compared(human: DataFrame, ai: DataFrame, segment_types: Mapping[str, str] | None = None) -> DataFrame:
-    """pair, field_name, array_key, ordinal, human_value, ai_value, is_match, segment_type and both sides' cases."""
-    both = human.select("pair", "field", "match_key").union(ai.select("pair", "field", "match_key"))
-    keyed = both.where("match_key is not null").select("pair", "field", F.lit(True).alias("is_keyed")).distinct()
-    side = lambda df, name: numbered(df, keyed).select("pair", "field", F.coalesce("match_key", F.lit("\0")).alias("match_key"), "ordinal", F.col("value").alias(f"{name}_value"), F.col("case_id").alias(f"{name}_case"))
-    joined = side(human, "human").join(side(ai, "ai"), ["pair", "field", "match_key", "ordinal"], "full")
-    key = F.when(F.col("match_key") != "\0", F.col("match_key"))
-    return joined.select(
-        "pair", F.col("field").alias("field_name"), key.alias("array_key"), "ordinal", "human_value", "ai_value",
+    The ordinal counts a side's values of a field and key. Where a field has a key on either side, its values without
+    one don't count. Values of one ordinal stand against each other; a side without one is null there.
+    """
+    order = ["match_key", "side", "place"]
+    every = Window.partitionBy("pair", "field").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = rows.withColumn("__keyed", F.max(F.col("match_key").isNotNull()).over(every)).where(~F.col("__keyed") | F.col("match_key").isNotNull())
+    found = found.withColumn("ordinal", F.row_number().over(Window.partitionBy("pair", "field", "match_key", "side").orderBy("place")))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{'case' if c == 'case_id' else c}")
+    met = found.groupBy("pair", "field", "match_key", "ordinal").agg(of("human", "value"), of("ai", "value"), of("human", "case_id"), of("ai", "case_id"))
+    return met.select(
+        "pair", F.col("field").alias("field_name"), F.col("match_key").alias("array_key"), "ordinal", "human_value", "ai_value",
         same_text(F.col("human_value"), F.col("ai_value")).alias("is_match"),
-        segment_type(F.col("field"), key, segment_types or {}).alias("segment_type"), "human_case", "ai_case",
+        segment_type(F.col("field"), F.col("match_key"), segment_types or {}).alias("segment_type"), "human_case", "ai_case",
     )
 
 
+def compared(human: DataFrame, ai: DataFrame, segment_types: Mapping[str, str] | None = None) -> DataFrame:
+    """``matched_fields`` of two frames."""
+    return matched_fields(sided(human, ai), segment_types)
+
+
 def segment_type(path: Column, array_key: Column, labels: Mapping[str, str]) -> Column:
     """The label of the path's root, else the root; null for a scalar at the root that is in no array."""
     root = F.substring_index(path, ".", 1)

@@ -222,7 +222,7 @@ def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _payloads(spark, sf_dir)
     keys = {"lines": "line"}
     flat = rows.select("pair", P.flattened(F.col("human"), keys).alias("human"), P.flattened(F.col("ai"), keys).alias("ai"))
-    return compare.compared(compare.exploded(flat, "human"), compare.exploded(flat, "ai"), {"lines": "positions"})
+    return compare.matched_fields(compare.both_sides(flat, "human", "ai"), {"lines": "positions"})
 
 
 @query(f"{_COMPARE_SQL} SELECT * FROM c")
@@ -248,8 +248,9 @@ a AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY tur
 SELECT coalesce(u.conv_id, a.conv_id) AS pair, coalesce(u.n, a.n)::INT AS ordinal, u.text AS human_value, a.text AS ai_value, coalesce(lower(u.text) = lower(a.text), u.text IS NULL AND a.text IS NULL) AS is_match
 FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.n = a.n""")
 def turn_compare(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair"), F.lit("text").alias("field"), F.lit(None).cast("string").alias("match_key"), F.col("turn").alias("place"), F.col("text").alias("value"), F.lit(None).cast("string").alias("case_id"), "role")
-    found = compare.compared(rows.where("role = 'user'"), rows.where("role = 'assistant'"))
+    side = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "ai").alias("side")
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair"), side, F.lit("text").alias("field"), F.lit(None).cast("string").alias("match_key"), F.col("turn").alias("place"), F.col("text").alias("value"), F.lit(None).cast("string").alias("case_id"))
+    found = compare.matched_fields(rows.where("side is not null"))
     return found.select("pair", "ordinal", "human_value", "ai_value", "is_match")
 
 
@@ -263,13 +264,12 @@ r AS (SELECT * FROM e UNION ALL SELECT coalesce(hl.pair, al.pair), coalesce(hl.p
 SELECT pair, 'human' AS side, p || '-' || hc AS match_key, p || '-' || coalesce(ac, 'XXX') || '-' || hc AS new_key FROM r WHERE hc IS NOT NULL
 UNION ALL SELECT pair, 'ai', p || '-' || ac, p || '-' || ac || '-' || coalesce(hc, 'XXX') FROM r WHERE ac IS NOT NULL""")
 def soft_match(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").withColumn("line", _text("l_linenumber"))
-
-    def side(code: str) -> DataFrame:
-        child = lines.select(F.col("l_orderkey").alias("pair"), F.lit("lines.codes.code").alias("field"), F.concat_ws("-", "line", (F.col(code) % 10).cast("string")).alias("match_key"))
-        return child.union(lines.select("l_orderkey", F.lit("lines.line"), "line"))
-
-    return compare.soft_keys(side("l_partkey"), side("l_suppkey"), "lines.codes", "lines")
+    line = _text("l_linenumber")
+    value = lambda side, field, key: F.struct(F.lit(side).alias("side"), F.lit(field).alias("field"), key.alias("match_key"))
+    sides = [(side, F.concat_ws("-", line, (F.col(code) % 10).cast("string"))) for side, code in (("human", "l_partkey"), ("ai", "l_suppkey"))]
+    values = [v for side, key in sides for v in (value(side, "lines.codes.code", key), value(side, "lines.line", line))]
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pair"), F.inline(F.array(*values)))
+    return compare.soft_keys(rows, "lines.codes", "lines").where("new_key is not null").select("pair", "side", "match_key", "new_key").distinct()
 
 
 @query("""

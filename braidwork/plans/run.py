@@ -27,17 +27,13 @@ def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: di
     rows = rows.withColumn("taken", P.cases_taken(F.col("payload")))
     rows = rows.withColumn("human_fields", P.flattened(F.col("taken.payload"), array_keys)).withColumn("ai_fields", P.flattened(F.col("ai_payload"), array_keys))
     notes = rows.select("pair", F.inline("taken.notes"))
-    human = compare.exploded(rows, "human_fields")
-    ai = compare.exploded(rows, "ai_fields")
+    fields = compare.both_sides(rows, "human_fields", "ai_fields")
     for s in segments:
-        if s.field_mappings:
-            own = F.col("pair.segment") == s.name
-            ai = ai.where(~own).unionByName(compare.with_mappings(ai.where(own), s.field_mappings))
+        fields = compare.with_mappings(fields, s.field_mappings, (F.col("side") == "ai") & (F.col("pair.segment") == s.name))
     for array, parent in soft_arrays.items():
-        remap = compare.soft_keys(human, ai, array, parent)
-        human, ai = compare.with_soft_keys(human, remap, "human", array), compare.with_soft_keys(ai, remap, "ai", array)
+        fields = compare.with_soft_keys(fields, array, parent)
     labels = {root: label for s in segments for root, label in s.segment_types}
-    found = compare.compared(human, ai, labels)
+    found = compare.matched_fields(fields, labels)
     canonical = rows.select("pair", F.col("case_id").alias("canonical_case_id"))
     found = attribution.with_case(found, notes, canonical)
     meta = rows.select("pair", "key_id", F.col("comparison_version").cast("int").alias("ai_iteration"), "ai_created_at", F.col("created_at").alias("human_created_at"))
