@@ -60,6 +60,40 @@ def test_many_near_copies_in_chunks(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == groups(rows)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_chains_connect_what_pairs_would(seed):
+    rnd = np.random.default_rng(seed)
+    m = int(rnd.integers(1, 40))
+    group, n = rnd.integers(0, 3, m), rnd.integers(10, 40, m)
+    reach = np.maximum(0, n + rnd.integers(-8, 9, m))
+    o = np.lexsort((n, group))
+    group, n, reach = group[o], n[o], reach[o]
+    a, b = sigtree.chained(group, n, reach)
+    assert len(a) <= m and (group[a] == group[b]).all()
+    found = np.arange(m)
+    for _ in range(m):
+        for x, y in zip(a, b, strict=True):
+            found[[x, y]] = min(found[x], found[y])
+    for i in range(m):
+        for j in range(i):
+            if group[i] == group[j] and n[i] <= reach[j] and n[j] <= reach[i]:
+                assert found[i] == found[j]
+
+
+def test_pages_of_one_template_are_no_candidates(spark):
+    """A shared passage that is too small a part of each page to link them makes no component of them."""
+    template = " ".join(f"menu{i}" for i in range(32))
+    rows = [(i, " ".join(f"p{i}x{j}" for j in range(8)) + " " + template + " " + " ".join(f"q{i}x{j}" for j in range(8)), None, None, 0) for i in range(3000)]
+    rows.append((3000, rows[7][1], None, None, 0))
+    df = spark.createDataFrame(rows, DDL)
+    numbered = sigtree.with_row_numbers(df.select("doc_id", "text"), "row").select("row", "doc_id", "text")
+    profile = sigtree.stored(sigtree._profile(numbered, 5, 20), "profile")
+    rank = sigtree._rank(profile.where("slice IS NOT NULL"), 20)
+    assert sigtree._meetings(sigtree._prefixes(numbered, rank, 20, 5, 75, 8), 75).count() < 30
+    got = sigtree.jaccard_components(df).collect()
+    assert {r.doc_id: r.component_id for r in got} == {**{i: i for i in range(3000)}, 3000: 7}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_tree_finds_all_links(seed):
     rnd = np.random.default_rng(seed)
@@ -93,5 +127,7 @@ def test_one_of_each_group(docs, rows, empty):
     ids = [r.doc_id for r in kept.collect()]
     assert all(by_id[i] == i for i in ids if i in by_id) and len(ids) == len(set(ids)) and 5 in ids
     assert sigtree.one_of_each_group(empty).count() == 0 and sigtree.jaccard_components(empty).count() == 0
+    odd = docs.withColumnRenamed("key", "__row").withColumnRenamed("slot", "class_").withColumn("row_", docs["row"])
+    assert sorted(r.doc_id or -1 for r in sigtree.one_of_each_group(odd).collect()) == sorted(i or -1 for i in ids)
     with pytest.raises(ValueError):
         sigtree.jaccard_components(docs, percent=60)
