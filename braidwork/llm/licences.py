@@ -1,17 +1,21 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates; DataFrame and ML functions only.
 
-Paragraphs (lines) become counts of the word 1- to 3-grams that the training sentences hold; a multinomial logistic
-regression names the licence family or ``none``. Its threshold for an answer is calibrated on a held-out part of the
-training sentences: the largest probability with which a wrong family is named there, 0.5 at least; below it the
-paragraph is ``unknown`` if a family is its likeliest class. An answer stands if the paragraph also holds at least
-``containment`` of the word trigrams of a template of that family, otherwise it is ``unknown`` too.
-
-The training sentences are the labelled sample: those below, a bounded and documented number whatever the corpus's
-size; every paragraph of every text is classified.
-
-Defined cases: a null, empty or blank text has no paragraph, no licence and the verdict "none"; repeated rows are
-scanned one by one; null ids pass through; further columns are ignored; an empty table gives an empty result. A very
-long text is many paragraphs, and a very long paragraph is one row of counts over the fixed vocabulary.
+A paragraph (line) that has none of the marking words, those that licence statements use and other sentences don't, is
+no statement. The others become counts of word 1- to 3-grams with a marking word, and a multinomial logistic
+regression names the licence family, ``unknown`` for a licence of no family here, or ``none``.
+
+The labelled sample is made by rule from the fixed values below (phrasings x names, and single sentences): about 500
+rows, whatever the corpus's size. One sentence in ``FOLDS``, whole, and all sentences about the licences of
+``UNSEEN``, whose names no training row has, are held out; on them the threshold is calibrated: the smallest
+probability from which on at least ``PRECISION`` of the answers that name a family are right. An answer below it is
+unknown. An answer stands if the paragraph also holds at least ``containment`` of the word n-grams of a template of
+that family; otherwise it is unknown too. Further families with a chance of ``SECOND`` and a template of their own in
+the paragraph stand beside it ("MIT or Apache-2.0").
+
+Every paragraph of every text is judged. Defined cases: a null, empty or blank text has no paragraph, no licence and
+the verdict "none"; repeated rows are scanned one by one; null ids pass through; further columns are ignored; an empty
+table gives an empty result. A very long text is many paragraphs, and a very long paragraph is one row of counts over
+the fixed vocabulary.
 """
 
 from __future__ import annotations
@@ -21,102 +25,144 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-NONE, UNKNOWN = "none", "unknown"
+from .common import unused
 
-#: Statements by which texts declare a licence, and sentences that only sound like it.
-STATEMENTS: dict[str, tuple[str, ...]] = {
+NONE, UNKNOWN, RESERVED = "none", "unknown", "proprietary"
+FOLDS, PRECISION, SECOND, MARKING = 5, 0.98, 0.05, 3.0
+
+#: Phrasings by which texts declare a licence.
+PHRASINGS = (
+    "Licensed under the {}.",
+    "Licensed under {}.",
+    "Released under the {}.",
+    "This project is licensed under the {}.",
+    "This work is licensed under a {}.",
+    "Distributed under the terms of the {}.",
+    "Code is {} licensed.",
+    "{}",
+    "The text is available under the {}.",
+    "The source code is available under the {}, see the website for details.",
+    "You may use this file only in compliance with the {}.",
+    "License: {}",
+    "SPDX-License-Identifier: {}",
+    "(c) 2020 The authors. Published under the {}.",
+)
+#: Names of licences by family.
+NAMES: dict[str, tuple[str, ...]] = {
+    "apache": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 license", "Apache-2.0"),
+    "bsd": ("BSD 3-Clause License", "BSD license", "2-Clause BSD License", "BSD-3-Clause"),
+    "cc-by": ("CC BY 4.0", "CC BY-SA 3.0", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution-ShareAlike License"),
+    "cc-by-nc": ("CC BY-NC 4.0", "CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial-ShareAlike License"),
+    "gpl": ("GNU General Public License, version 3", "GNU GPL v2 or any later version", "GNU Lesser General Public License", "GNU Affero General Public License v3", "GPL-3.0-or-later"),
+    "mit": ("MIT License", "MIT license", "MIT", "MIT (Expat) License"),
+    "mpl": ("Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0", "MPL-2.0"),
+    UNKNOWN: ("zlib License", "Boost Software License 1.0", "Artistic License 2.0", "Eclipse Public License 2.0", "PostgreSQL License", "SIL Open Font License 1.1", "Open Database License", "Academic Free License v3.0", "CDDL 1.1", "AFL 3.0", "OFL 1.1", "Beerware", "LaTeX Project Public License", "NCSA"),
+}
+#: Beginnings and ends of notices that reserve all rights.
+NOTICES = ("", "Copyright 2020 by the company. ", "(c) 2020 The authors. ", "Copyright (c) 2021 Example Inc. ", "This document is the property of its owner. ")
+RIGHTS = (
+    "All rights reserved.",
+    "All rights reserved worldwide.",
+    "All rights reserved, do not redistribute.",
+    "All rights are reserved by the publisher.",
+    "No part of this publication may be reproduced without written permission of the publisher.",
+    "No part of this book may be transmitted in any form without prior permission.",
+    "This material is confidential and proprietary.",
+    "Unauthorized copying of this file is strictly prohibited.",
+    "It may not be copied or redistributed without permission.",
+)
+#: Function words, which never mark a statement.
+FUNCTION_WORDS = (
+    "a above all along an and any are as at be by can do for from has have if in is it its may must no not of on one only or see shall should "
+    "that the this to was were will with without you your"
+).split(" ")
+#: Licences of no family that only the held-out rows name.
+UNSEEN = ("ISC License", "EUPL 1.2", "Unlicense", "WTFPL", "Microsoft Public License", "CeCILL License")
+#: Sentences that are statements as they stand, and sentences that only sound like one.
+SENTENCES: dict[str, tuple[str, ...]] = {
     "apache": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-        "This project is released under the Apache License 2.0.",
-        "Distributed under the terms of the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
+        "You may not use this file except in compliance with the License. You may obtain a copy of the Apache License from the Apache Software Foundation.",
+        "Dual licensed under MIT and Apache-2.0, at your option Apache.",
     ),
     "bsd": (
-        "Released under the BSD 3-Clause License.",
-        "This software is distributed under the BSD license.",
-        "Licensed under the terms of the 2-Clause BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ),
-    "cc-by": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Content is available under the Creative Commons Attribution-ShareAlike License.",
-        "This text is available under CC BY-SA 3.0.",
-    ),
-    "cc-by-nc": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Available for non-commercial use under CC BY-NC.",
-        "This article is licensed under CC BY-NC-ND 4.0.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ),
     "gpl": (
-        "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License.",
-        "Released under the GNU General Public License v2 or later.",
-        "Licensed under the GNU GPL, version 3 or any later version.",
-        "Distributed under the GNU Lesser General Public License.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "You should have received a copy of the GNU General Public License along with this program.",
     ),
     "mit": (
-        "Released under the MIT License.",
-        "This project is licensed under the MIT License.",
-        "Licensed under the MIT license, see the file LICENSE.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
-        "SPDX-License-Identifier: MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "Released under the Mozilla Public License 2.0.",
-        "Licensed under the MPL 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ),
-    "proprietary": (
-        "Copyright by the company. All rights reserved.",
-        "No part of this publication may be reproduced without written permission of the publisher.",
-        "This material is confidential and proprietary, unauthorized copying is prohibited.",
-        "All rights reserved, do not redistribute.",
+        "If a copy of the MPL was not distributed with this file, you can obtain one from the Mozilla Foundation.",
     ),
     NONE: (
         "The weather was fine and the children played in the garden of the house.",
         "She works as a researcher at MIT and writes about the public.",
+        "He studied at MIT before he went to the west.",
+        "The MIT press printed a book about the history of the city.",
         "The Apache helicopter landed behind the hill at noon.",
+        "The Apache people lived in the south of the country.",
         "He renewed his driving license at the office on Monday.",
+        "The restaurant lost its liquor license last year.",
+        "A fishing license costs five dollars a day.",
+        "The licensed driver waited under the bridge.",
         "The public library is open to any person free of charge on Sunday.",
         "A general was promoted under the terms of the peace treaty.",
+        "The terms of the contract were published in the paper.",
         "The film was released in March and is available in many countries.",
+        "The prisoner was released under the eyes of the public.",
         "The bank was granted permission to use the building.",
+        "Permission to land was granted by the tower.",
         "Version 2.0 of the program runs twice as fast as the first version.",
+        "Version 3 of the file is available from the website.",
         "Attribution of the painting to the master is still disputed.",
         "The commons of the village were used for grazing.",
+        "The house of commons met in the evening.",
         "Commercial use of the land is taxed by the state.",
+        "The commercial was distributed to all stations.",
         "The file is too large to send, so use the source instead.",
+        "The source of the river lies in the hills.",
         "The gnu is a large animal that lives in the south of the continent.",
         "The creative work of the artist was subject to criticism.",
         "Conditions were met in the following year and the rights returned to the owner.",
+        "The rights of the people are written in the law.",
+        "Seats are reserved for the guests of the hotel.",
+        "The table was reserved for all of us.",
         "The binary star can be seen without a telescope.",
         "He may not leave the city without the written order of the judge.",
         "This is the story of a work that was never finished.",
         "A copy of the letter is kept in the museum.",
+        "The copyright of the song was sold to a company.",
+        "Software is written by people who know the code.",
+        "The project is under way and the details are on the website.",
         "Il est permis de marcher dans le jardin de la maison.",
         "El trabajo de la casa no es libre para los que viven en la ciudad.",
-        "Die Arbeit ist unter den Bäumen des Gartens getan.",
+        "Die Arbeit ist unter den Baeumen des Gartens getan.",
         "it was and the of to is in on for by with as at an that",
         "and of the in is to",
-        "by the",
-        "under the",
-        "the mit",
-        "this work is",
-        "4.0",
+        "this work is under the",
+        "code is the file",
     ),
 }
-#: What wraps a statement in texts; each training sentence is used once with each.
-WRAPS = ("{}", "Note: {}", "{} See the website for details.", "// {}", "(c) 2020 The authors. {}")
-HELD_OUT_WRAP = 4
+#: What a paragraph has to hold to confirm a family.
+TEMPLATES: dict[str, tuple[str, ...]] = {
+    "apache": ("apache license", "apache 2 0"),
+    "bsd": ("bsd license", "clause bsd", "bsd 3 clause", "bsd 2 clause", "bsd licensed", "redistribution and use in source and binary forms", "redistributions of source code must retain"),
+    "cc-by": ("cc by", "creative commons attribution"),
+    "cc-by-nc": ("cc by nc", "creative commons attribution noncommercial", "attribution noncommercial"),
+    "gpl": ("gnu general public license", "gnu lesser general public license", "gnu affero general public license", "gnu gpl", "gpl 2 0", "gpl 3 0", "gplv2", "gplv3", "agpl 3 0", "lgpl 2 1", "lgpl 3 0", "licensed under gpl", "under the gpl"),
+    "mit": ("mit license", "mit licensed", "license mit", "identifier mit", "licensed under mit", "under the mit", "mit expat", "mit or", "or mit", "permission is hereby granted free of charge", "this permission notice shall be included"),
+    "mpl": ("mozilla public license", "mpl 2 0", "copy of the mpl"),
+    "proprietary": ("all rights reserved", "all rights are reserved", "no part of this", "confidential and proprietary", "proprietary and confidential", "unauthorized copying", "is proprietary to", "may not be copied"),
+}
 
 
 def words(text: Column) -> Column:
@@ -133,75 +179,115 @@ def features(w: Column) -> Column:
 
 
 class LicenceModel:
-    """The fitted classifier, its vocabulary and the calibrated threshold."""
+    """The fitted classifier, its vocabulary, the marking words, the calibrated threshold, and how it did on the
+    held-out rows: share of statements that got their right family (or unknown), and of right ones among the named."""
+
+    def __init__(self, vectors: CountVectorizerModel, model: LogisticRegressionModel, families: list[str], marking: list[str], threshold: float, recall: float, precision: float):
+        self.vectors, self.model, self.families, self.marking = vectors, model, families, marking
+        self.threshold, self.recall, self.precision = threshold, recall, precision
 
-    def __init__(self, vectors: CountVectorizerModel, model: LogisticRegressionModel, families: list[str], threshold: float):
-        self.vectors, self.model, self.families, self.threshold = vectors, model, families, threshold
+    def marked(self, text: Column) -> Column:
+        """Whether the paragraph has a marking word."""
+        return F.arrays_overlap(words(text), F.array(*[F.lit(w) for w in self.marking]))
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """rows(..., __words) plus __family and __probability of the likeliest class."""
+        """rows(..., __words) plus __family and __probability of the likeliest class, and __chances of all."""
         scored = self.model.transform(self.vectors.transform(rows.withColumn("__grams", features(F.col("__words")))))
-        chances = vector_to_array("__chances")
+        scored = scored.withColumn("__chances", vector_to_array("__chances"))
         names = F.array(*[F.lit(f) for f in self.families])
-        return scored.withColumn("__family", F.get(names, F.col("__class").cast("int"))).withColumn("__probability", F.array_max(chances)).drop("__grams", "__counts", "__raw", "__chances", "__class")
+        return scored.withColumn("__family", F.get(names, F.col("__class").cast("int"))).withColumn("__probability", F.array_max("__chances")).drop("__grams", "__counts", "__raw", "__class")
 
 
-def training_rows(spark: SparkSession) -> DataFrame:
-    rows = [(family, wrap.format(s), i) for family, all_ in STATEMENTS.items() for s in all_ for i, wrap in enumerate(WRAPS)]
-    return spark.createDataFrame(rows, "family string, text string, wrap int").coalesce(1)
+def labelled_rows(spark: SparkSession) -> DataFrame:
+    """family, text, held_out: the labelled sample."""
+    # a bare name that nothing is known about is no statement
+    phrasings = {UNKNOWN: [p for p in PHRASINGS if p != "{}"]}
+    made = [(family, p.format(name), False) for family, names in NAMES.items() for name in names for p in phrasings.get(family, PHRASINGS)]
+    made += [(family, s, False) for family, all_ in SENTENCES.items() for s in all_]
+    made += [(RESERVED, notice + right, False) for notice in NOTICES for right in RIGHTS]
+    made += [(UNKNOWN, p.format(name), True) for name in UNSEEN for p in phrasings[UNKNOWN]]
+    rows = spark.createDataFrame(made, "family string, text string, unseen boolean").coalesce(1)
+    return rows.select("family", "text", (F.col("unseen") | (F.crc32("text") % FOLDS == 0)).alias("held_out"))
 
 
 def fit(spark: SparkSession) -> LicenceModel:
-    families = sorted(STATEMENTS)
+    families = sorted({*NAMES, *SENTENCES, RESERVED})
     place = F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))])
-    rows = training_rows(spark).withColumn("__words", words(F.col("text"))).withColumn("label", place[F.col("family")]).withColumn("__grams", features(F.col("__words"))).cache()
-    # the vocabulary: n-grams of the fixed statements, so its size is fixed as well
-    vocabulary = [r[0] for r in rows.where("wrap = 0").select(F.explode("__grams").alias("g")).distinct().orderBy("g").collect()]
+    rows = labelled_rows(spark).withColumn("__words", words(F.col("text"))).withColumn("label", place[F.col("family")]).withColumn("__grams", features(F.col("__words"))).cache()
+    train, other = rows.where(~F.col("held_out")), F.col("family") == NONE
+    # words whose share of a family's statements is well above their share of the other sentences
+    sizes = train.groupBy("family").agg(F.count(F.lit(1)).alias("rows"))
+    used = train.where(F.col("family") != UNKNOWN).select("family", F.explode(F.array_distinct("__words")).alias("w")).groupBy("family", "w").agg(F.count(F.lit(1)).alias("n")).join(sizes, "family")
+    shares = used.groupBy("w").agg(F.max(F.when(~other, F.col("n") / F.col("rows"))).alias("yes"), F.coalesce(F.max(F.when(other, F.col("n") / F.col("rows"))), F.lit(0.0)).alias("no"))
+    marking = sorted(r.w for r in shares.where((F.col("yes") > MARKING * F.col("no")) & F.col("w").rlike("[a-z]{2}") & ~F.col("w").isin(FUNCTION_WORDS)).collect())
+    # a marking word alone makes no statement
+    lone = spark.createDataFrame([(NONE, f"there was {w} in the house") for w in marking], "family string, text string").coalesce(1)
+    lone = lone.select("family", "text", (F.crc32("text") % FOLDS == 0).alias("held_out")).withColumn("__words", words(F.col("text")))
+    rows = rows.unionByName(lone.withColumn("label", place[F.col("family")]).withColumn("__grams", features(F.col("__words"))))
+    train = rows.where(~F.col("held_out"))
+    sizes = train.groupBy("family").agg(F.count(F.lit(1)).alias("rows"))
+    has_one = F.arrays_overlap(F.split("g", " "), F.array(*[F.lit(w) for w in marking]))
+    # the vocabulary: n-grams of the families' rows, so its size is bounded as they are; names of unknown licences are not
+    # in it, so that what is learned about them is how a statement reads whose name says nothing, nor the wording of
+    # other sentences, which can be anything
+    vocabulary = [r[0] for r in train.where(~F.col("family").isin(UNKNOWN, NONE)).select(F.explode("__grams").alias("g")).distinct().where(has_one).orderBy("g").collect()]
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="__grams", outputCol="__counts")
     vectors.setBinary(True)
-    counted = vectors.transform(rows)
-    learner = LogisticRegression(featuresCol="__counts", labelCol="label", predictionCol="__class", probabilityCol="__chances", rawPredictionCol="__raw", maxIter=60, regParam=0.002, family="multinomial")
-    trial = learner.fit(counted.where(F.col("wrap") != HELD_OUT_WRAP)).transform(counted.where(F.col("wrap") == HELD_OUT_WRAP))
-    wrong = (F.col("__class") != F.col("label")) & (F.col("__class") != families.index(NONE))
-    worst = trial.where(wrong).agg(F.max(F.array_max(vector_to_array("__chances")))).first()[0]
-    model = learner.fit(counted)
+    # every class has the same weight
+    judged = rows.where(F.arrays_overlap("__words", F.array(*[F.lit(w) for w in marking])) | F.col("held_out"))
+    counted = vectors.transform(judged.join(sizes.select("family", (1 / F.col("rows")).alias("weight")), "family"))
+    learner = LogisticRegression(weightCol="weight", featuresCol="__counts", labelCol="label", predictionCol="__class", probabilityCol="__chances", rawPredictionCol="__raw", maxIter=80, regParam=0.0001, family="multinomial")
+    model = learner.fit(counted.where(~F.col("held_out")))
+    held = model.transform(counted.where("held_out")).select("family", "label", "__class", F.array_max(vector_to_array("__chances")).alias("p"))
+    named = ~F.col("__class").isin(float(families.index(NONE)), float(families.index(UNKNOWN)))
+    # from the surest answer down: the share of right ones so far; the lowest p that still has PRECISION
+    order = Window.orderBy(F.desc("p")).rangeBetween(Window.unboundedPreceding, 0)
+    answers = held.where(named).withColumn("right", (F.col("__class") == F.col("label")).cast("double"))
+    answers = answers.withColumn("precision", F.avg("right").over(order))
+    threshold = answers.where(F.col("precision") >= PRECISION).agg(F.min("p")).first()[0]
+    threshold = 1.0 if threshold is None else threshold
+    final = F.when(named & (F.col("p") < threshold), F.lit(float(families.index(UNKNOWN)))).otherwise(F.col("__class"))
+    judged = held.select("label", final.alias("final"), (named & (F.col("p") >= threshold)).alias("named"))
+    recall, precision = judged.agg(
+        F.avg(F.when(F.col("label") != families.index(NONE), (F.col("final") == F.col("label")).cast("double"))), F.avg(F.when(F.col("named"), (F.col("final") == F.col("label")).cast("double")))
+    ).first()
     rows.unpersist()
-    return LicenceModel(vectors, model, families, max(0.5, worst or 0.0))
-
-
-def template_share(w: Column, family: Column) -> Column:
-    """The largest share of a template's trigrams that the paragraph holds, over the family's templates."""
-    own = _grams(w, 3)
-    best = F.lit(0.0)
-    for name, statements in STATEMENTS.items():
-        if name == NONE:
-            continue
-        shares = []
-        for s in statements:
-            parts = [x for x in "".join(c if c.isalnum() or c == "+" else " " for c in s.lower()).split()]
-            grams = [" ".join(parts[i : i + 3]) for i in range(len(parts) - 2)] or [" ".join(parts)]
-            have = own if len(parts) >= 3 else F.array(F.array_join(w, " "))
-            shares.append(F.size(F.array_intersect(have, F.array(*[F.lit(g) for g in dict.fromkeys(grams)]))) / F.lit(float(len(dict.fromkeys(grams)))))
-        best = F.when(family == name, reduce(F.greatest, shares)).otherwise(best)
-    return best
-
-
-def scan_licences(docs: DataFrame, containment: float = 0.5, model: LicenceModel | None = None) -> DataFrame:
+    return LicenceModel(vectors, model, families, marking, threshold, recall, precision)
+
+
+def template_share(w: Column, family: str) -> Column:
+    """The largest share of a template's word n-grams (its length, three at most) that the paragraph holds."""
+    shares = []
+    for template in TEMPLATES.get(family, ()):
+        parts = template.split(" ")
+        n = min(3, len(parts))
+        grams = list(dict.fromkeys(" ".join(parts[i : i + n]) for i in range(len(parts) - n + 1)))
+        shares.append(F.size(F.array_intersect(_grams(w, n), F.array(*[F.lit(g) for g in grams]))) / F.lit(float(len(grams))))
+    return reduce(F.greatest, shares) if len(shares) > 1 else shares[0] if shares else F.lit(0.0)
+
+
+def scan_licences(docs: DataFrame, containment: float = 0.75, model: LicenceModel | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_paragraphs, n_confirmed, n_unknown, families, verdict."""
     model = model or fit(docs.sparkSession)
+    number = unused("__row", docs)
     lines = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: F.trim(x) != "")
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("__row"), lines.alias("__lines"))
-    rows = rows.select("doc_id", "__row", F.explode_outer("__lines").alias("__line"))
-    predicted = model.predict(rows.select("doc_id", "__row", F.col("__line").isNotNull().alias("__real"), words(F.coalesce("__line", F.lit(""))).alias("__words")))
-    family = F.col("__family")
-    named = F.col("__real") & (family != NONE)
-    sure = F.when(named & (F.col("__probability") >= F.lit(model.threshold)), template_share(F.col("__words"), family) >= containment).otherwise(F.lit(False))
-    judged = predicted.select("doc_id", "__row", "__real", family, named.alias("__named"), sure.alias("__sure"))
-    whole = judged.groupBy("__row", "doc_id").agg(
-        F.count_if("__real").alias("n_paragraphs"),
-        F.count_if("__sure").alias("n_confirmed"),
-        F.count_if(F.col("__named") & ~F.col("__sure")).alias("n_unknown"),
-        F.array_sort(F.collect_set(F.when(F.col("__sure"), family))).alias("families"),
-    )
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias(number), lines.alias("__lines"))
+    # of the paragraphs only those with a marking word go on; a text without one keeps a row that has none
+    some = F.filter("__lines", lambda x: model.marked(x))
+    rows = rows.select("doc_id", number, F.size("__lines").cast("long").alias("n_paragraphs"), F.explode_outer(some).alias("__line"))
+    real = F.col("__line").isNotNull()
+    predicted = model.predict(rows.where(real).withColumn("__words", words(F.col("__line"))))
+    chance = {f: F.get("__chances", F.lit(i)) for i, f in enumerate(model.families)}
+    sure = [F.when((F.col("__family") == f) & (F.col("__probability") >= model.threshold) | (F.col("__family") != NONE) & (chance[f] >= SECOND), F.when(template_share(F.col("__words"), f) >= containment, f)) for f in TEMPLATES]
+    judged = predicted.withColumn("__sure", F.array_compact(F.array(*sure)))
+    # cc-by's template lies inside that of cc-by-nc
+    judged = judged.withColumn("__sure", F.when(F.array_contains("__sure", "cc-by-nc"), F.array_remove("__sure", "cc-by")).otherwise(F.col("__sure")))
+    keys = ["doc_id", number, "n_paragraphs"]
+    named = judged.select(*keys, (F.col("__family") != NONE).alias("__named"), "__sure")
+    blank = rows.where(~real).select(*keys, F.lit(False).alias("__named"), F.array().cast("array<string>").alias("__sure"))
+    whole = named.unionByName(blank).groupBy(number, "doc_id", "n_paragraphs").agg(
+        F.count_if(F.size("__sure") > 0).alias("n_confirmed"), F.count_if(F.col("__named") & (F.size("__sure") == 0)).alias("n_unknown"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("__sure")))).alias("families"),
+    )
     verdict = F.when(F.size("families") == 1, F.get("families", F.lit(0))).when(F.size("families") > 1, "several").when(F.col("n_unknown") > 0, UNKNOWN).otherwise(NONE)
     return whole.select("doc_id", "n_paragraphs", "n_confirmed", "n_unknown", "families", verdict.alias("verdict"))

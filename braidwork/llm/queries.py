@@ -55,7 +55,7 @@ def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan_licences(documents(spark, sf_dir), 0.5)
+    return licences.scan_licences(documents(spark, sf_dir), 0.75)
 
 
 OP1_SQL = r"""

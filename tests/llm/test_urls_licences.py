@@ -1,5 +1,7 @@
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from braidwork.llm import licences, urlfilter
@@ -50,14 +52,66 @@ def test_licence_families(spark, model):
     assert licences.scan_licences(spark.createDataFrame([], "doc_id long, text string"), model=model).count() == 0
 
 
-def test_held_out_wordings(spark, model):
-    """Statements with a wrap that training never saw."""
-    rows = [(f, "Legal: " + s + " Thank you.") for f, all_ in licences.STATEMENTS.items() for s in all_]
-    from pyspark.sql import functions as F
+def test_held_out_sentences(model):
+    """Whole sentences, and licences, that training never saw."""
+    assert model.recall >= 0.9 and model.precision >= 0.95 and model.threshold < 1
 
-    df = spark.createDataFrame(rows, "family string, text string").withColumn("__words", licences.words(F.col("text")))
-    right = model.predict(df).where("family = __family").count()
-    assert right >= 0.9 * len(rows)
+
+def test_unknown_licences_and_short_notices(spark, model):
+    lines = {
+        "All rights reserved.": "proprietary", "Licensed under the ISC License": "unknown", "released under the EUPL 1.2": "unknown", "GNU Affero General Public License v3": "gpl",
+        "Code is MIT licensed": "mit", "Dual licensed under MIT or Apache-2.0": "several", "Available under the Creative Commons Attribution license": "cc-by", "MPL 2.0": "mpl",
+        "They crossed under the bridge and reserved all seats.": "none", "The text of the book is in the house.": "none",
+    }
+    rows = [(i, f"Some words before.\n{x}") for i, x in enumerate(lines)]
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect()
+    assert {rows[r.doc_id][1].split("\n")[1]: r.verdict for r in got} == lines
+
+
+def plain_words(text):
+    return [w for w in re.split(r"[^\w+]+|_+", text.lower()) if w]
+
+
+def plain_grams(w, n):
+    return [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
+
+
+def judge(model, line):
+    """Family and confirmed families of a line, from the model's weights alone."""
+    w = plain_words(line)
+    if not set(w) & set(model.marking):
+        return "none", []
+    has = {g for n in (1, 2, 3) for g in plain_grams(w, n)}
+    x = np.array([v in has for v in model.vectors.vocabulary], float)
+    z = model.model.coefficientMatrix.toArray() @ x + model.model.interceptVector.toArray()
+    p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    family = model.families[int(p.argmax())]
+    sure = []
+    for f, templates in licences.TEMPLATES.items():
+        share = 0
+        for t in templates:
+            n = min(3, len(t.split()))
+            grams = set(plain_grams(t.split(), n))
+            share = max(share, len(grams & set(plain_grams(w, n))) / len(grams))
+        chance = p[model.families.index(f)]
+        if share >= 0.75 and (family == f and chance >= model.threshold or family != "none" and chance >= licences.SECOND):
+            sure.append(f)
+    return family, [f for f in sure if f != "cc-by" or "cc-by-nc" not in sure]
+
+
+def test_scan_equals_brute_force(spark, model):
+    labelled = licences.labelled_rows(spark).collect()
+    rows = [(i, "\n".join(["plain words stand here", *(r.text for r in labelled[i : i + 3])])) for i in range(0, len(labelled), 3)]
+    rows += [(i, t) for i, t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60).collect()]
+    want = Counter()
+    for i, text in rows:
+        found = [judge(model, x) for x in (text or "").split("\n") if x.strip(" ")]
+        families = sorted({f for _, sure in found for f in sure})
+        unknown = sum(family != "none" and not sure for family, sure in found)
+        verdict = families[0] if len(families) == 1 else "several" if families else "unknown" if unknown else "none"
+        want[(i, len(found), sum(bool(sure) for _, sure in found), unknown, tuple(families), verdict)] += 1
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect()
+    assert Counter((r.doc_id, r.n_paragraphs, r.n_confirmed, r.n_unknown, tuple(r.families), r.verdict) for r in got) == want
 
 
 def test_scan_on_the_corpus(docs, rows, model):
