@@ -13,9 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where none is set (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; a local one only in local mode where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="braidwork-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()

@@ -9,8 +9,9 @@ Targets: the mix has ``share`` times all words; a source gets its part by weight
 times its own words, and what it can't take goes to the others by weight.
 
 Defined cases: null or empty text: size 0, takes 0; null source: a source of its own, last in the order of sources;
-equal keys (repeated rows): ordered by id and size, which leaves only interchangeable rows tied; empty table: empty
-result; further columns are ignored.
+equal keys (repeated rows): ordered by id and size, which leaves only interchangeable rows tied; a very long text: one
+size, and one use of it is cut at its word; empty table: empty result; further columns are ignored by ``mix_sources`` and
+kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words, shuffle_parts, stored, with_row_numbers
+from .common import WORD, n_words, shuffle_parts, stored, unused, with_row_numbers
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most_epochs: float) -> DataFrame:
@@ -95,13 +96,13 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     Rows are told apart by a number that is stored with them, since two scans of one table may split it differently.
     Texts are shuffled once, to meet what is taken of them. Rows without a word are not part of a mix and stay as they are.
     """
-    numbered = with_row_numbers(docs)
-    plan = _mix(numbered.select("doc_id", "source", "text", "__row"), weights, share, most_epochs, seed)
+    row, each, uses = (unused(n, docs) for n in ("__row", "__use", "__uses"))
+    numbered = with_row_numbers(docs, row)
+    plan = _mix(numbered.select("doc_id", "source", "text", F.col(row).alias("row")), weights, share, most_epochs, seed)
     plan = plan.where((F.col("taken") > 0) | (F.col("size") == 0))
     last = F.when(F.col("last_words") == F.col("size"), -1).otherwise(F.col("last_words").cast("int"))
     whole = F.array_repeat(F.lit(-1), F.when(F.col("size") == 0, 1).otherwise(F.col("epochs")).cast("int"))
-    uses = F.when(F.col("last_words") > 0, F.concat(whole, F.array(last))).otherwise(whole)
-    taken = plan.select("__row", uses.alias("__uses"))
+    taken = plan.select(F.col("row").alias(row), F.when(F.col("last_words") > 0, F.concat(whole, F.array(last))).otherwise(whole).alias(uses))
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    text = F.when(F.col("__use") < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__use"), F.lit(0))), " "))
-    return numbered.join(taken, "__row").withColumn("__use", F.explode("__uses")).withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col(each) < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col(each), F.lit(0))), " "))
+    return numbered.join(taken, row).withColumn(each, F.explode(uses)).withColumn("text", text).select(*docs.columns)

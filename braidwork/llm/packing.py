@@ -6,7 +6,7 @@ the sum over gaps of (number of open sequences with that gap) squared smallest,
 room. Only gap counts decide, so a placement costs one look at an array of the capacity's length.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed one by one; null ids pass through;
-further columns of ``pieces`` are kept by ``pack``; an empty table gives an empty result. A text's ids are made one
+further columns of ``pieces`` are kept by ``pack``, ones called sequence_id or offset are replaced; an empty table gives an empty result. A text's ids are made one
 text at a time and leave the worker in batches of about 4 MB.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, stored
+from .common import bounded_batches, stored, unused
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -93,18 +93,19 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``pieces`` (with doc_id, piece, start, length; best a stored table) plus sequence_id and offset."""
     shards = max(1, -(-pieces.count() // shard_pieces))
+    pieces, dealt_to = pieces.drop("sequence_id", "offset"), unused("__shard", pieces)
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.drop_columns(["__shard"])
+        table = table.drop_columns([dealt_to])
         order = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending")]
         table = table.take(pa.compute.sort_indices(table, order))
         sequence, offset = place(table["length"].to_numpy(), capacity)
         return table.append_column("sequence_id", pa.array(sequence + (key[0].as_py() << 32))).append_column("offset", pa.array(offset))
 
     # the row numbers of a stored table are the same in every rerun, and they deal even one document's copies evenly
-    dealt = pieces.withColumn("__shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
-    return dealt.groupBy("__shard").applyInArrow(shard, schema)
+    dealt = pieces.withColumn(dealt_to, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    return dealt.groupBy(dealt_to).applyInArrow(shard, schema)
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:

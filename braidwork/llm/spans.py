@@ -4,7 +4,7 @@ A word goes if it lies in a run of ``window`` words whose word sequence also sta
 
 A suffix automaton of everything that repeats has no size bound, so none is broadcast to all tasks. Instead:
 
-1. Documents are dealt into blocks by their id's hash. Every window has an anchor, the smallest hash among the grams
+1. Documents are dealt into blocks of bounded size by a hash of id and text. Every window has an anchor, the smallest hash among the grams
    of ``gram`` words inside it; equal windows have equal anchors. Blocks send their distinct anchors (about one in
    five words), and get back those that more than one document has.
 2. For each returned anchor a block sends its distinct contexts, the words of all windows of that anchor, with the
@@ -15,20 +15,24 @@ A suffix automaton of everything that repeats has no size bound, so none is broa
    state that stands for the last ``window`` words names the smallest document with that sequence.
 3. The blocks look up their contexts again and remove the covered words: maximal spans of ``window`` words or more.
 
+What a shard builds and streams are thus the contexts, runs of up to ``2 window - gram`` words, and not whole documents:
+those would have to pass every shard's automaton. All words that any match can cover are in them.
+
 The texts are shuffled once; all three steps read that shuffle. A block sends each anchor and context once, however
-many of its documents hold it, so a passage that a third of all documents share is at most one row per block.
+many of its documents hold it, so a passage that a third of all documents share is at most one row per block. What
+blocks send is packed by block and bucket (or group), so there are never more rows than anchors or contexts.
 Words are compared by 32-bit hashes inside contexts whose anchor agrees in 64 bits; a false match needs every word
 hash of a run of ``window`` words to collide or agree.
 
 Defined cases: null, empty or blank text: no words; fewer words than a window: nothing is removed; a null id counts as
 larger than every id; rows that repeat an id are one document as to "smaller", and each is cleaned; further columns
 pass through; an empty table gives an empty result. Memory follows a block's text (the number of blocks follows the
-shuffle partitions) and one text's words.
+texts' bytes) and one text's words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordkernel as wk
-from .common import bounded_batches, shuffle_parts
+from .common import bounded_batches, text_blocks, unused
 from .wordkernel import U64
 
 WINDOW, GRAM = 13, 5
-BLOCKS_PER_PARTITION = GROUPS_PER_PARTITION = 2
+GROUPS_PER_PARTITION = 2
+#: Names of the columns that ``remove_repeated_spans`` adds.
+RESULT = ("__n_words", "__n_removed", "__kept")
 #: Reference shards of a group; a task builds one automaton after the other.
 SHARDS = 16
 #: An anchor in more blocks than this is split by its windows.
@@ -180,13 +186,19 @@ class Automaton:
         return found
 
 
-def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs`` (doc_id, text and any others) plus __n_words, __n_removed and __kept, the kept words joined by a space."""
+def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, names: Sequence[str] = RESULT) -> DataFrame:
+    """``docs`` (doc_id, text and any others) plus three columns called ``names``: the number of words, of those removed,
+    and the kept words joined by a space. The names have to be new."""
+    if taken := {c.lower() for c in docs.columns} & {n.lower() for n in names}:
+        raise ValueError(f"columns of these names are there already: {sorted(taken)}")
     bounded_batches(docs.sparkSession)
-    parts, columns, hot_blocks = shuffle_parts(docs.sparkSession), docs.columns, HOT_BLOCKS
-    blocks, groups = BLOCKS_PER_PARTITION * parts, GROUPS_PER_PARTITION * parts
-    dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(parts, "__block")
-    id_at, text_at, block_at = (dealt.columns.index(c) for c in ("doc_id", "text", "__block"))
+    columns, hot_blocks, block_name = docs.columns, HOT_BLOCKS, unused("__block", docs)
+    blocks = text_blocks(docs)
+    parts = max(1, blocks // 2)
+    groups = GROUPS_PER_PARTITION * parts
+    # ids that very many rows share, null ones too, are dealt by their texts
+    dealt = docs.withColumn(block_name, F.pmod(F.xxhash64("doc_id", F.crc32("text")), F.lit(blocks)).cast("int")).repartition(parts, block_name)
+    id_at, text_at, block_at = (dealt.columns.index(c) for c in ("doc_id", "text", block_name))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -313,7 +325,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
             rows["least"].append(np.concatenate([flat[at[i] : at[i] + counts[i]] for i in own.tolist()]).tobytes())
         return pa.table({"block": pa.array(rows["block"], pa.int32()), **{c: pa.array(rows[c], pa.binary()) for c in ("keys", "counts", "least")}})
 
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(f"__{n}", k) for n, k in (("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType()))]])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, (T.LongType(), T.LongType(), T.StringType()), strict=True)]])
 
     def clean(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
         join = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in known[c].to_pylist()]])
@@ -356,13 +368,14 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
                         words = [w for w, g in zip(words, gone[a:b].tolist(), strict=True) if not g]
                     kept.append(b" ".join(words))
         out = texts.select(columns)
-        for name, values in (("__n_words", pa.array(np.concatenate(n_words))), ("__n_removed", pa.array(np.concatenate(n_removed))), ("__kept", pa.array(kept, pa.binary()).cast(pa.string()))):
+        found = (pa.array(np.concatenate(n_words)), pa.array(np.concatenate(n_removed)), pa.array(kept, pa.binary()).cast(pa.string()))
+        for name, values in zip(names, found, strict=True):
             out = out.append_column(name, values)
         return out
 
     sent = dealt.mapInArrow(anchors, "bucket int, block int, anchors binary")
     returned = sent.groupBy("bucket").applyInArrow(shared, "block int, anchors binary, hot binary")
-    texts = dealt.groupBy("__block")
+    texts = dealt.groupBy(block_name)
     sent = texts.cogroup(returned.groupBy("block")).applyInArrow(contexts, "group int, block int, keys binary, shards binary, docs binary, sizes binary, words binary")
     answers = sent.groupBy("group").applyInArrow(judge, "block int, keys binary, counts binary, least binary")
     return texts.cogroup(answers.groupBy("block")).applyInArrow(clean, schema)
@@ -370,6 +383,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` without repeated spans. A text that loses nothing stays as it is; one that loses all goes."""
-    found = remove_repeated_spans(docs, window, gram)
-    found = found.where((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_words")))
-    return found.withColumn("text", F.when(F.col("__n_removed") > 0, F.col("__kept")).otherwise(F.col("text"))).select(*docs.columns)
+    words, removed, kept = names = [unused(n, docs) for n in RESULT]
+    found = remove_repeated_spans(docs, window, gram, names)
+    found = found.where((F.col(removed) == 0) | (F.col(removed) < F.col(words)))
+    return found.withColumn("text", F.when(F.col(removed) > 0, F.col(kept)).otherwise(F.col("text"))).select(*docs.columns)

@@ -7,7 +7,8 @@ rules that fit the longest one (host and path together; at the same length block
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased. Path: from there up to ``?``,
 ``#`` or the end. Defined cases: a null URL or one without ``://`` has an empty host and path, which no rule fits;
 where no rule fits, rule is null and the verdict is ``default``; repeated rows and null ids are judged one by one;
-rules given twice count once; further columns are ignored; an empty table or rule list gives no match.
+rules given twice count once; a very long URL has as many expressions as any, those of the rules' label counts and
+prefix lengths; further columns are ignored; an empty table or rule list gives no match.
 """
 
 from __future__ import annotations

@@ -58,7 +58,7 @@ def docs(spark, rows):
     from braidwork.llm.common import drop_stored, stored
 
     df = spark.createDataFrame(rows, DDL).repartition(5)
-    for name in ("size", "slot", "key", "block", "class", "n", "label", "row", "root", "piece"):
+    for name in ("size", "slot", "key", "block", "class", "n", "label", "row", "root", "piece", "__row", "__use", "__uses", "__block", "__shard", "__n_words", "__kept", "__lines", "__words"):
         df = df.withColumn(name, F.lit(f"other {name}"))
     yield stored(df, "corpus")
     drop_stored(spark)
