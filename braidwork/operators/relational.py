@@ -27,8 +27,8 @@ def latest_by(df: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str])
 
 def latest_with_ties(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Of every key all rows with the latest time."""
-    latest = df.groupBy(*keys).agg(F.max(at).alias("__latest"))
-    return df.join(latest, list(keys)).where(F.col(at) == F.col("__latest")).drop("__latest")
+    latest = F.max(at).over(Window.partitionBy(*keys))
+    return df.withColumn("__latest", latest).where(F.col(at) == F.col("__latest")).drop("__latest")
 
 
 def not_in(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,7 +50,11 @@ def as_of_latest(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at
     marks = right.select(*keys, F.lit(0).alias("__side"), F.col(right_at).alias("__at"), F.col(right_at).alias("__seen"))
     both = rows.unionByName(marks, allowMissingColumns=True)
     # strictly before: equal times must not count, so only values of smaller times are in the frame
-    w = Window.partitionBy(*keys).orderBy(F.unix_micros(F.col("__at").cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -1)
+    # times without a zone are compared as they are: in a zone with summer time two of them may be one moment
+    plain = dict(both.dtypes)["__at"] == "timestamp_ntz"
+    instant = F.concat(F.col("__at").cast("string"), F.lit("Z")) if plain else F.col("__at")
+    micros = F.unix_micros(instant.cast("timestamp"))
+    w = Window.partitionBy(*keys).orderBy(micros).rangeBetween(Window.unboundedPreceding, -1)
     return both.withColumn(out, F.max("__seen").over(w)).where("__side = 1").drop("__side", "__at", "__seen")
 
 
@@ -60,7 +64,28 @@ def above_average(df: DataFrame, keys: Sequence[str], value: str, factor: float)
     return df.withColumn("avg_value", F.avg(value).over(w)).where(F.col(value) > factor * F.col("avg_value"))
 
 
-def numbered_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
-    """A small table (metadata) numbered in an order and cut into batches."""
-    n = F.row_number().over(Window.orderBy(*order))
-    return df.withColumn("n", n).withColumn("batch", F.floor((F.col("n") - 1) / size).cast("int"))
+def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int) -> DataFrame:
+    """Of every key the first ``most`` rows in an order that has to be total."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= most).drop("__rank")
+
+
+def numbered_batches(df: DataFrame, order: Sequence[str], size: int, slots: int = 64) -> DataFrame:
+    """Rows numbered from 1 in a total order (nulls first) and cut into batches, without a task that sorts all of them.
+
+    A sample of bounded size gives the borders of ``slots`` ranges; a row's number is its place in its range behind the
+    rows of the ranges before. Any borders give the same numbers.
+    """
+    key = F.struct(*order)
+    sample = df.select(key.alias("k")).sample(min(1.0, 20 * slots / max(1, df.count())), seed=7).orderBy("k").collect()
+    borders = [r.k for r in sample[:: max(1, len(sample) // slots)]]
+    kinds = [df.schema[c].dataType for c in order]
+    literal = lambda row: F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(row, kinds, order, strict=True)])
+    slot = F.size(F.filter(F.array(*map(literal, borders)), lambda b: b <= key)) if borders else F.lit(0)
+    rows = df.withColumn("__slot", slot)
+    sizes = rows.groupBy("__slot").agg(F.count(F.lit(1)).alias("__rows"))
+    # one row a range
+    before = sizes.select("__slot", (F.sum("__rows").over(Window.orderBy("__slot")) - F.col("__rows")).alias("__before"))
+    n = F.row_number().over(Window.partitionBy("__slot").orderBy(*order)) + F.col("__before")
+    numbered = rows.join(F.broadcast(before), "__slot").withColumn("n", n)
+    return numbered.withColumn("batch", F.floor((F.col("n") - 1) / size)).drop("__slot", "__before")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +11,6 @@ from braidwork.functions.text import first_label
 from braidwork.functions.times import as_timestamp, local_time, month_of, seconds_between
 from braidwork.operators.relational import as_of_latest, latest_with_ties
 
-#: LIKE patterns that tell a processing group by location, role and company texts.
-GROUP_PATTERNS: dict[str, tuple[str, ...]] = {
-    "Teleperformance": ("%tp%", "%teleperformance%"),
-    "Costa Rica": ("%costa_rica%", "%costa rica%", "%cr%"),
-    "India": ("%india%",),
-}
-
-
 def star(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """The fact left-joined with each (table, own column, its key); columns have to differ in name."""
     out = fact
@@ -37,8 +29,14 @@ def fan_out_safe(rows: DataFrame, dims: Sequence[str], key: str, measures: dict[
     return one.groupBy(*dims).agg(*[m.alias(name) for name, m in measures.items()])
 
 
-def processing_group(location: Column, *names: Column, default: str = "Other") -> Column:
-    return first_label([location, *names], GROUP_PATTERNS, default)
+def processing_group(columns: Sequence[Column], patterns: Mapping[str, Sequence[str]], default: str = "Other") -> Column:
+    """The group whose LIKE patterns fit a location, role or company text; which groups there are is configuration."""
+    return first_label(columns, patterns, default)
+
+
+def any_outcome(outcomes: DataFrame, key: str, value: str) -> DataFrame:
+    """Per key one of its known values: the smallest, so that a rerun gives the same."""
+    return outcomes.where(F.col(value).isNotNull()).groupBy(key).agg(F.min(value).alias("outcome"))
 
 
 def last_event_of(events: DataFrame, key: str, category: str, at: str, names: dict[str, str]) -> DataFrame:
@@ -46,10 +44,10 @@ def last_event_of(events: DataFrame, key: str, category: str, at: str, names: di
     return events.groupBy(key).agg(*[F.max(F.when(F.col(category) == value, F.col(at))).alias(name) for name, value in names.items()])
 
 
-def case_processing(images: DataFrame, outcomes: DataFrame, attached: DataFrame, cases: DataFrame, events: DataFrame, history: DataFrame, users: DataFrame, roles: DataFrame) -> DataFrame:
+def case_processing(images: DataFrame, outcomes: DataFrame, attached: DataFrame, cases: DataFrame, events: DataFrame, history: DataFrame, users: DataFrame, roles: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     """One row per image, attachment, case and event of finished work, with its times in New York and its seconds."""
     latest = latest_with_ties(images, ["file_name"], "load_date")
-    outcome = outcomes.where(F.col("final_action").isNotNull()).groupBy("file_name").agg(F.min("final_action").alias("outcome"))
+    outcome = any_outcome(outcomes, "file_name", "final_action")
     owners = history.where("field = 'Owner'").select(F.col("case_id").alias("what_id"), F.col("new_value").alias("owner_id"), F.col("created_date").alias("assigned_raw"))
     timed = as_of_latest(events, owners.withColumn("assigned_raw", as_timestamp(F.col("assigned_raw"))), ["what_id", "owner_id"], "end_at", "assigned_raw", "assigned_at")
     done = last_event_of(events, "what_id", "event_category", "end_at", {"doc_review_at": "Document Review", "auth_at": "Consumer Authentication"})
@@ -61,7 +59,7 @@ def case_processing(images: DataFrame, outcomes: DataFrame, attached: DataFrame,
     rows = star(rows, [(attached.withColumnsRenamed({"case_id": "attached_case"}), "file_name", "name"), (cases, "attached_case", "id"), (timed.withColumnsRenamed({"id": "event_id"}), "attached_case", "what_id"), (users.withColumnsRenamed({"id": "user_id"}), "owner_id", "user_id"), (roles.withColumnsRenamed({"id": "role_id", "name": "role_name"}), "user_role_id", "role_id")])
     rows = rows.where("outcome is not null and parent_id is null and confirmation_number is not null and end_at is not null and name is not null and processing_seconds is not null")
     end = local_time(F.col("end_at"))
-    group = processing_group(F.col("location"), F.col("role_name"), F.col("rollup"), F.col("developer_name"), F.col("company"), F.col("department"), F.col("division"))
+    group = processing_group([F.col(c) for c in ("location", "role_name", "rollup", "developer_name", "company", "department", "division")], groups)
     return rows.withColumn("end_time", end).withColumn("end_month", month_of(end)).withColumn("processing_group", group).withColumn("user_name", F.concat("first_name", F.lit(" "), "last_name"))
 
 

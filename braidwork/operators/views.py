@@ -60,3 +60,16 @@ def pending_ages(pending: DataFrame, as_of: Column) -> DataFrame:
 def case_counts(results: DataFrame) -> DataFrame:
     """Quality figures by case: compared, mismatched, fields without a case."""
     return results.groupBy("image_id", "segment", "case_id").agg(F.count(F.lit(1)).alias("fields"), F.count_if(~F.col("is_match")).alias("mismatched"))
+
+
+def worst_fields(results: DataFrame) -> DataFrame:
+    """Match rates, the fields with the most mismatches first."""
+    return match_rate(results).orderBy(F.desc("mismatched"), "field_name")
+
+
+def create_views(spark, results: DataFrame, pending: DataFrame) -> None:
+    """The views over stored tables: comparison_results_clean, comparison_results_latest and pending_by_age, for the
+    session; a catalogue keeps them if the frames read its tables by name."""
+    clean_view(results).createOrReplaceTempView("comparison_results_clean")
+    latest_view(results).createOrReplaceTempView("comparison_results_latest")
+    pending_ages(pending, F.current_timestamp()).createOrReplaceTempView("pending_by_age")

@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 
 from braidwork.functions.merging import Policy
 
-#: Key specs of arrays (dash-separated paths inside an item).
-_PLAIN_KEYS = {
+#: Array path -> key spec of its items (dash-separated paths inside an item).
+ARRAY_KEYS: dict[str, str] = {
     "tradelines": "accountNumber-customerNumber-dateOpened",
     "addresses": "streetNumber-postalCode",
     "collections": "accountNumber-customerNumber-dateAssigned",
@@ -30,40 +30,94 @@ _PLAIN_KEYS = {
     "nonreportedTrades": "accountNumber-customerName-openedDate",
     "nonreportedCollections": "clientName-accountNumber",
     "documentProofs": "authenticationType-document",
+    "tradelines.tradelineRequested.disputeCodes": "code",
+    "addresses.addressRequested.disputeCodes": "code",
+    "collections.collectionRequested.disputeCodes": "code",
+    "bankruptcies.bankruptcyRequested.disputeCodes": "code",
+    "creditReportHeader.dateOfBirthRequested.disputeCodes": "code",
+    "creditReportHeader.currentNameRequested.disputeCodes": "code",
+    "creditReportHeader.socialSecurityNumberRequested.disputeCodes": "code",
+    "fileInquiries.fileInquiryRequested.disputeCodes": "code",
+    "employments.employmentRequested.disputeCodes": "code",
+    "alsoKnownAs.alsoKnownAsRequested.disputeCodes": "code",
+    "otherNames.otherNameRequested.disputeCodes": "code",
+    "otherIdentifications.otherIdentificationRequested.disputeCodes": "code",
+    "nonreportedAddresses.disputeCodes": "code",
+    "nonreportedAddresses.consumerCommunications": "code",
+    "nonreportedDatesOfBirth.disputeCodes": "code",
+    "nonreportedDatesOfBirth.consumerCommunications": "code",
+    "nonreportedEmployments.disputeCodes": "code",
+    "nonreportedEmployments.consumerCommunications": "code",
+    "nonreportedInquiries.disputeCodes": "code",
+    "nonreportedInquiries.consumerCommunications": "code",
+    "nonreportedNames.disputeCodes": "code",
+    "nonreportedNames.consumerCommunications": "code",
+    "nonreportedPublicRecords.disputeCodes": "code",
+    "nonreportedPublicRecords.consumerCommunications": "code",
+    "nonreportedSsns.disputeCodes": "code",
+    "nonreportedSsns.consumerCommunications": "code",
+    "nonreportedPhoneNumbers.disputeCodes": "code",
+    "nonreportedPhoneNumbers.consumerCommunications": "code",
+    "nonreportedTrades.disputeCodes": "code",
+    "nonreportedTrades.consumerCommunications": "code",
+    "nonreportedCollections.disputeCodes": "code",
+    "nonreportedCollections.consumerCommunications": "code",
 }
-#: Where requests with dispute codes sit, by parent.
-_REQUESTS = {
-    "tradelines": ("tradelineRequested",),
-    "addresses": ("addressRequested",),
-    "collections": ("collectionRequested",),
-    "bankruptcies": ("bankruptcyRequested",),
-    "creditReportHeader": ("dateOfBirthRequested", "currentNameRequested", "socialSecurityNumberRequested"),
-    "fileInquiries": ("fileInquiryRequested",),
-    "employments": ("employmentRequested",),
-    "alsoKnownAs": ("alsoKnownAsRequested",),
-    "otherNames": ("otherNameRequested",),
-    "otherIdentifications": ("otherIdentificationRequested",),
+#: Array path -> parent path of arrays whose left-over items pair up by rank.
+SOFT_ARRAYS: dict[str, str] = {
+    "tradelines.tradelineRequested.disputeCodes": "tradelines",
+    "addresses.addressRequested.disputeCodes": "addresses",
+    "collections.collectionRequested.disputeCodes": "collections",
+    "bankruptcies.bankruptcyRequested.disputeCodes": "bankruptcies",
+    "creditReportHeader.dateOfBirthRequested.disputeCodes": "creditReportHeader",
+    "creditReportHeader.currentNameRequested.disputeCodes": "creditReportHeader",
+    "creditReportHeader.socialSecurityNumberRequested.disputeCodes": "creditReportHeader",
+    "fileInquiries.fileInquiryRequested.disputeCodes": "fileInquiries",
+    "employments.employmentRequested.disputeCodes": "employments",
+    "alsoKnownAs.alsoKnownAsRequested.disputeCodes": "alsoKnownAs",
+    "otherNames.otherNameRequested.disputeCodes": "otherNames",
+    "otherIdentifications.otherIdentificationRequested.disputeCodes": "otherIdentifications",
+    "nonreportedAddresses.disputeCodes": "nonreportedAddresses",
+    "nonreportedDatesOfBirth.disputeCodes": "nonreportedDatesOfBirth",
+    "nonreportedEmployments.disputeCodes": "nonreportedEmployments",
+    "nonreportedInquiries.disputeCodes": "nonreportedInquiries",
+    "nonreportedNames.disputeCodes": "nonreportedNames",
+    "nonreportedPublicRecords.disputeCodes": "nonreportedPublicRecords",
+    "nonreportedSsns.disputeCodes": "nonreportedSsns",
+    "nonreportedPhoneNumbers.disputeCodes": "nonreportedPhoneNumbers",
+    "nonreportedTrades.disputeCodes": "nonreportedTrades",
+    "nonreportedCollections.disputeCodes": "nonreportedCollections",
 }
-_NONREPORTED = [p for p in _PLAIN_KEYS if p.startswith("nonreported")]
-
-#: Array path -> key spec of its items.
-ARRAY_KEYS: dict[str, str] = (
-    _PLAIN_KEYS
-    | {f"{parent}.{request}.disputeCodes": "code" for parent, all_ in _REQUESTS.items() for request in all_}
-    | {f"{parent}.{codes}": "code" for parent in _NONREPORTED for codes in ("disputeCodes", "consumerCommunications")}
+#: Arrays whose items are united when the cases of a main payload merge.
+UNITED_ARRAYS = (
+    "tradelines",
+    "addresses",
+    "collections",
+    "bankruptcies",
+    "fileInquiries",
+    "employments",
+    "alsoKnownAs",
+    "otherNames",
+    "otherIdentifications",
+    "nonreportedAddresses",
+    "nonreportedDatesOfBirth",
+    "nonreportedEmployments",
+    "nonreportedInquiries",
+    "nonreportedNames",
+    "nonreportedPublicRecords",
+    "nonreportedSsns",
+    "nonreportedPhoneNumbers",
+    "nonreportedTrades",
+    "nonreportedCollections",
+    "documentProofs",
 )
-#: Array path -> parent path of arrays whose left-over items pair up by rank.
-SOFT_ARRAYS: dict[str, str] = {f"{parent}.{request}.disputeCodes": parent for parent, all_ in _REQUESTS.items() for request in all_} | {
-    f"{parent}.disputeCodes": parent for parent in _NONREPORTED
-}
-_UNITED = [p for p in _PLAIN_KEYS if p != "creditReportHeader"]
 #: Merge policies by segment name; the configuration text can't change them.
 POLICIES: dict[str, Policy] = {
     "main": Policy(
-        arrays=frozenset(_UNITED),
+        arrays=frozenset(UNITED_ARRAYS),
         item_keys=ARRAY_KEYS | {"addresses": "addressType"},
         priority={"addresses": "addressRequested"},
-        atomic={"creditReportHeader": _REQUESTS["creditReportHeader"], "resultOfInvestigation": (), "requestor": ()},
+        atomic={"creditReportHeader": ("dateOfBirthRequested", "currentNameRequested", "socialSecurityNumberRequested"), "resultOfInvestigation": (), "requestor": ()},
     ),
     "authanddocreview": Policy(arrays=frozenset({"documentProofs"}), item_keys=ARRAY_KEYS),
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from braidwork.functions import payload as P
 from braidwork.functions import crypto, text, times
 from braidwork.functions.merging import Policy
 from braidwork.operators import attribution, audit, compare, pairing, relational, reporting, routing, views
-from braidwork.plans.config import Segment
+from braidwork.plans import schemas
+from braidwork.plans.config import Segment, SubType
 from braidwork.sources import scans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,24 +95,42 @@ def first_wins_dedup(spark, sf_dir):
     return relational.first_by(rows, ["content_key"], [F.col("doc_id")])
 
 
+def _no_rows(spark: SparkSession, ddl: str) -> DataFrame:
+    return spark.createDataFrame([], ddl.replace(" not null", ""))
+
+
+def _pending_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending rows, several for each order: one for each of its lines."""
+    return table(spark, sf_dir, "lineitem").select(
+        _text("l_orderkey").alias("image_id"), F.lit("main").alias("segment"), F.col("l_shipdate").alias("first_seen_at"), F.col("l_linenumber").cast("long").alias("retry_count"),
+        F.col("l_returnflag").alias("last_compared_signature"), F.col("l_linenumber").cast("long").alias("comparison_version"), F.concat(F.lit("c"), (F.col("l_suppkey") % 3).cast("string")).alias("merged_case_ids"),
+        F.concat(F.lit("c"), F.lpad(_text("l_partkey"), 9, "0")).alias("case_id"), F.col("l_shipdate").alias("created_at"),
+    )
+
+
 @query("""
-SELECT user_id, event_type, min(ts) AS first_seen_at, max(ts) AS last_retried_at, max(json_extract_string(props, '$.k')::BIGINT) AS retry_count, count(*) AS n
-FROM events GROUP BY user_id, event_type""")
+SELECT user_id::VARCHAR AS image_id, event_type AS segment, min(ts) AS created_at, min(ts) + INTERVAL 1 HOUR AS first_seen_at, max(ts) AS last_retried_at, max(event_id % 5)::BIGINT AS retry_count
+FROM events GROUP BY user_id, event_type, props""")
 def pool_reconcile(spark, sf_dir):
-    k = text.whole_number(F.get_json_object("props", "$.k"))
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_seen_at"), F.max("ts").alias("last_retried_at"), F.max(k).alias("retry_count"), F.count(F.lit(1)).alias("n"))
+    pool = table(spark, sf_dir, "events").select(
+        _text("user_id").alias("image_id"), F.col("event_type").alias("segment"), F.col("props").alias("payload"), F.lit("k").alias("key_id"), F.col("ts").alias("created_at"),
+        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("first_seen_at"), F.col("ts").alias("last_retried_at"), (F.col("event_id") % 5).cast("long").alias("retry_count"),
+    )
+    return pairing.pool_reconciled(pool).select("image_id", "segment", "created_at", "first_seen_at", "last_retried_at", "retry_count")
 
 
 @query("""
-SELECT l_orderkey, max(l_linenumber) AS version, arg_max(l_returnflag, l_linenumber::BIGINT * 1000000000000 + l_partkey * 1000000 + l_suppkey) AS signature FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey::VARCHAR AS image_id, min(l_shipdate) AS first_seen_at, max(l_linenumber)::BIGINT AS retry_count, max(l_linenumber)::BIGINT AS version, arg_max(l_returnflag, l_linenumber::BIGINT * 1000 + ascii(l_returnflag)) AS signature, max(l_shipdate) AS old_at,
+       string_agg(DISTINCT 'c' || (l_suppkey % 3), ';' ORDER BY 'c' || (l_suppkey % 3)) AS cases
+FROM lineitem GROUP BY l_orderkey""")
 def pair_by_version(spark, sf_dir):
-    best = F.max_by("l_returnflag", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("version"), best.alias("signature"))
+    found = pairing.pending_reconciled(_pending_lines(spark, sf_dir))
+    return found.select("image_id", "first_seen_at", "retry_count", "version", "signature", "old_at", text.joined_set(F.col("cases")).alias("cases"))
 
 
-@query("SELECT o_custkey, arg_max(o_orderkey, epoch(o_orderdate)::BIGINT * 10000000 + o_orderkey) AS canonical_order FROM orders GROUP BY o_custkey")
+@query("SELECT image_id, old_case FROM (SELECT l_orderkey::VARCHAR AS image_id, 'c' || lpad(l_partkey::VARCHAR, 9, '0') AS old_case, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC) AS n FROM lineitem) WHERE n = 1")
 def canonical_argmax(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("canonical_order"))
+    return pairing.pending_reconciled(_pending_lines(spark, sf_dir)).select("image_id", "old_case")
 
 
 @query("SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS merged_case_ids FROM orders GROUP BY o_custkey")
@@ -118,11 +138,16 @@ def lineage_set(spark, sf_dir):
     return attribution.lineage(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority")
 
 
-@query("SELECT conv_id FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id HAVING count(DISTINCT role) = 2")
+@query("SELECT conv_id::VARCHAR AS image_id FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id HAVING count(DISTINCT role) = 2")
 def complete_all_of(spark, sf_dir):
-    parts = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_set("role").alias("parts"))
-    required = F.array(F.lit("user"), F.lit("assistant"))
-    return parts.where(F.size(F.array_except(required, "parts")) == 0).select("conv_id")
+    """Groups that have all parts of their segment."""
+    segment = Segment("talk", "a", "h", None, (SubType("assistant", "said"), SubType("user", "asked", is_base=True)))
+    said = F.to_json(F.struct(F.when(F.col("role") == "user", F.col("turn")).alias("asked"), F.when(F.col("role") != "user", F.col("turn")).alias("said")))
+    fresh = table(spark, sf_dir, "conversations").where("role in ('user', 'assistant')").select(
+        F.lit("human").alias("side"), _text("conv_id").alias("image_id"), F.lit("talk").alias("segment"), F.col("role").alias("sub_type"), said.alias("payload"), F.lit(None).cast("string").alias("case_id"),
+        F.lit("k").alias("key_id"), F.timestamp_add("SECOND", F.col("turn"), F.lit(AS_OF)).alias("created_at"),
+    )
+    return pairing.human_state(fresh, _no_rows(spark, schemas.PENDING), (segment,)).where("complete").select("image_id")
 
 
 @query("""
@@ -136,25 +161,83 @@ def ts_bump(spark, sf_dir):
     return pairing.stepped_times(new, known, F.lit(AS_OF).cast("timestamp_ntz"), ["user_id"]).select("event_id", "created_at")
 
 
-@query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS m FROM orders) WHERE o_orderdate = m")
+@query("SELECT image_id, payload, created_at FROM (SELECT o_custkey::VARCHAR AS image_id, o_orderkey::VARCHAR AS payload, o_orderdate AS created_at, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
 def latest_only(spark, sf_dir):
-    return relational.latest_with_ties(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey", "o_totalprice")
+    rows = table(spark, sf_dir, "orders").select(
+        _text("o_custkey").alias("image_id"), F.lit("main").alias("segment"), _text("o_orderkey").alias("payload"), F.lit("k").alias("key_id"), F.col("o_orderdate").alias("created_at"), F.lpad(_text("o_orderkey"), 12, "0").alias("content_key"),
+    )
+    return pairing.latest_ai(rows).select("image_id", "ai.payload", "ai.created_at")
 
 
-_PERTURBED = "CASE WHEN o_orderkey % 7 = 0 THEN 'X' WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END"
+_MAIN = (Segment("main", "ai", "h"),)
 
 
-@query(f"SELECT o_orderkey, o_orderstatus AS signature, {_PERTURBED} AS persisted, 1 + (o_orderstatus IS DISTINCT FROM {_PERTURBED})::BIGINT AS version FROM orders WHERE o_orderstatus IS DISTINCT FROM {_PERTURBED}")
+@query("""
+SELECT o_orderkey::VARCHAR AS image_id, CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 4 END::BIGINT AS comparison_version, o_orderstatus AS human_status, lower(o_orderstatus) AS ai_status
+FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""")
 def changed_only(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("signature"), F.expr(_PERTURBED).alias("persisted"))
-    changed = ~F.col("signature").eqNullSafe(F.col("persisted"))
-    return rows.where(changed).withColumn("version", F.lit(1).cast("long") + changed.cast("int"))
+    """Pairs are compared only if their contents are not those of the last comparison: orders without one (multiples of
+    7) and orders whose last one was of other contents (of 11)."""
+    orders = table(spark, sf_dir, "orders")
+    human, ai = F.to_json(F.struct(F.col("o_orderstatus").alias("s"))), F.to_json(F.struct(F.lower("o_orderstatus").alias("s")))
+    now, earlier = F.lit(AS_OF).cast("timestamp"), F.timestamp_add("DAY", F.lit(-2), F.lit(AS_OF).cast("timestamp"))
+    key = [_text("o_orderkey").alias("image_id"), F.lit("main").alias("segment"), F.lit("k").alias("key_id")]
+    sides = F.array(F.struct(F.lit("human").alias("side"), F.lit("default").alias("sub_type"), human.alias("payload")), F.struct(F.lit("ai").alias("side"), F.lit(None).cast("string").alias("sub_type"), ai.alias("payload")))
+    fresh = orders.select(*key, F.lit(None).cast("string").alias("case_id"), now.alias("created_at"), F.inline(sides))
+    last = F.when(F.col("o_orderkey") % 11 == 0, "other").otherwise(F.concat_ws("|", P.content_signature(human), P.content_signature(ai)))
+    pending = orders.where("o_orderkey % 7 <> 0").select(
+        *key, F.lit(None).cast("string").alias("case_id"), F.lit("human").alias("pending_type"), human.alias("payload"), earlier.alias("created_at"), earlier.alias("first_seen_at"), earlier.alias("last_retried_at"),
+        F.lit(0).cast("long").alias("retry_count"), F.lit(None).cast("string").alias("merged_case_ids"), last.alias("last_compared_signature"), F.lit(3).cast("long").alias("comparison_version"),
+    )
+    found = pairing.pair(fresh, pending, _no_rows(spark, schemas.AI_PENDING), _MAIN, AS_OF).matched
+    return found.select("image_id", "comparison_version", F.get_json_object("payload", "$.s").alias("human_status"), F.get_json_object("ai_payload", "$.s").alias("ai_status"))
 
 
-@query("SELECT event_id, floor(epoch_us(TIMESTAMP '2024-01-20' - ts) / 86400000000)::BIGINT AS days, CASE WHEN floor(epoch_us(TIMESTAMP '2024-01-20' - ts) / 86400000000) >= 7 THEN 'AGED_OUT' ELSE 'PENDING' END AS route FROM events".replace("epoch_us(TIMESTAMP '2024-01-20' - ts)", "(epoch_us(TIMESTAMP '2024-01-20') - epoch_us(ts))"))
+@query("SELECT event_id::VARCHAR AS image_id, CASE WHEN epoch_us(TIMESTAMP '2024-01-20') - epoch_us(ts) >= 7 * 86400000000 THEN 'AGED_OUT' ELSE 'PENDING' END AS route, 1 + event_id % 4 AS retry_count FROM events")
 def age_route(spark, sf_dir):
-    days = times.whole_days(F.col("ts"), F.lit(datetime(2024, 1, 20)))
-    return table(spark, sf_dir, "events").select("event_id", days.alias("days"), F.when(days >= 7, "AGED_OUT").otherwise("PENDING").alias("route"))
+    """AI payloads that still wait for a human one, and those that have waited for a week."""
+    seen = F.col("ts").cast("timestamp")
+    pool = table(spark, sf_dir, "events").select(
+        _text("event_id").alias("image_id"), F.lit("k").alias("key_id"), F.lit("main").alias("segment"), F.col("props").alias("payload"), seen.alias("created_at"), seen.alias("first_seen_at"),
+        seen.alias("last_retried_at"), (F.col("event_id") % 4).cast("long").alias("retry_count"),
+    )
+    fresh = _no_rows(spark, "image_id string, segment string, side string, sub_type string, payload string, case_id string, key_id string, created_at timestamp")
+    routes = pairing.pair(fresh, _no_rows(spark, schemas.PENDING), pool, _MAIN, datetime(2024, 1, 20))
+    return relational.tagged_union({"PENDING": routes.ai_pending, "AGED_OUT": routes.ai_aged}, "route").select("image_id", "route", "retry_count")
+
+
+@query("""
+SELECT o_orderkey::VARCHAR AS image_id, CASE WHEN o_orderkey % 3 = 0 THEN 'human:merged' WHEN o_orderkey % 3 = 1 THEN 'human:asked' ELSE 'human:said' END AS pending_type, (o_orderkey % 5 = 0) AS aged FROM orders""")
+def part_routes(spark, sf_dir):
+    """Groups with all parts wait as one merged row, others as a row a part; old ones leave the state."""
+    segment = (Segment("talk", "a", "h", None, (SubType("said", "said"), SubType("asked", "asked", is_base=True))),)
+    orders = table(spark, sf_dir, "orders")
+    part = lambda name: F.struct(F.lit(f"human:{name}").alias("pending_type"), F.to_json(F.struct(F.col("o_orderpriority").alias(name))).alias("payload"))
+    parts = F.when(F.col("o_orderkey") % 3 == 0, F.array(part("asked"), part("said"))).when(F.col("o_orderkey") % 3 == 1, F.array(part("asked"))).otherwise(F.array(part("said")))
+    seen = F.timestamp_add("DAY", F.when(F.col("o_orderkey") % 5 == 0, -8).otherwise(-6), F.lit(AS_OF).cast("timestamp"))
+    pending = orders.select(
+        _text("o_orderkey").alias("image_id"), F.lit("k").alias("key_id"), F.lit("talk").alias("segment"), F.lit(None).cast("string").alias("case_id"), seen.alias("created_at"), seen.alias("first_seen_at"),
+        seen.alias("last_retried_at"), F.lit(0).cast("long").alias("retry_count"), F.lit(None).cast("string").alias("merged_case_ids"), F.lit(None).cast("string").alias("last_compared_signature"),
+        F.lit(0).cast("long").alias("comparison_version"), F.inline(parts),
+    )
+    fresh = _no_rows(spark, "image_id string, segment string, side string, sub_type string, payload string, case_id string, key_id string, created_at timestamp")
+    routes = pairing.pair(fresh, pending, _no_rows(spark, schemas.AI_PENDING), segment, AS_OF)
+    return routes.case_pending.select("image_id", "pending_type", F.lit(False).alias("aged")).union(routes.case_aged.select("image_id", "pending_type", F.lit(True)))
+
+
+@query("""
+SELECT lower(o_orderstatus || '-' || o_orderkey) AS image_id, 'main' AS segment, CASE WHEN o_orderstatus = 'F' THEN 'ai' ELSE 'human' END AS side,
+       CASE WHEN o_orderstatus = 'F' THEN NULL WHEN o_orderkey % 2 = 0 THEN 'one' ELSE 'two' END AS sub_type
+FROM orders WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' AND (o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 OR o_orderkey % 2 = 1 AND o_orderkey % 3 = 0)""")
+def payload_routing(spark, sf_dir):
+    """Parts are told apart by which fields a payload has and has not; payloads of no part go."""
+    even, third = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 3 == 0
+    image = F.concat(F.lit(" "), "o_orderstatus", F.lit("-"), _text("o_orderkey"))
+    payload = F.to_json(F.struct(F.array(F.struct(image.alias("file"))).alias("images"), F.when(even, 1).alias("x"), F.when(third, 1).alias("y")))
+    rows = table(spark, sf_dir, "orders").select(F.lit("k").alias("key_id"), F.lower("o_orderstatus").alias("method"), payload.alias("payload"), F.lit(AS_OF).alias("created_at"))
+    # with an even key and a multiple of three there are both fields, so the first part's negative one rules it out
+    segment = Segment("main", "f", "o", None, (SubType("one", "x", "y"), SubType("two", "y", "x")))
+    return routing.keyed(rows, (segment,), "images[0].file").select("image_id", "segment", "side", "sub_type")
 
 
 @query("SELECT d.doc_id FROM documents d WHERE d.source <> 'src0' AND NOT EXISTS (SELECT 1 FROM documents k WHERE k.source = 'src0' AND sha256(k.text) = sha256(d.text))")
@@ -385,7 +468,8 @@ def latest_load_ties(spark, sf_dir):
 
 @query("SELECT o.o_orderkey, (SELECT min(l_returnflag) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag <> 'N') AS outcome FROM orders o")
 def scalar_any(spark, sf_dir):
-    known = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'N'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_returnflag").alias("outcome"))
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    known = reporting.any_outcome(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), flag), "o_orderkey", "flag")
     return table(spark, sf_dir, "orders").select("o_orderkey").join(known, "o_orderkey", "left")
 
 
@@ -426,23 +510,136 @@ def audit_age(spark, sf_dir):
     return found.withColumn("oldest", F.col("oldest").cast("timestamp_ntz")).withColumn("newest", F.col("newest").cast("timestamp_ntz"))
 
 
-@query("SELECT table_name, 'no date column' AS reason FROM (VALUES ('customer'), ('documents'), ('embeddings'), ('labels'), ('nation'), ('part'), ('region'), ('supplier')) t(table_name) UNION ALL SELECT 'lineitem', 'skipped by size'")
-def audit_unchecked(spark, sf_dir):
-    names = ["customer", "documents", "embeddings", "labels", "nation", "part", "region", "supplier", "orders", "lineitem", "events"]
-    for n in names:
+_AUDITED = ["customer", "documents", "embeddings", "labels", "nation", "part", "region", "supplier", "orders", "lineitem", "events"]
+_SIZES_SQL = "s AS (" + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS total_rows, {int(n in ('orders', 'lineitem', 'events'))} AS date_columns FROM {n}" for n in _AUDITED) + ")"
+_PLAN_SQL = f"""
+WITH {_SIZES_SQL},
+p AS (SELECT table_name, date_columns, total_rows, total_rows * 100 / 1073741824.0::DOUBLE AS table_gb, total_rows * date_columns * 16 / 1073741824.0::DOUBLE AS est_gb FROM s),
+r AS (SELECT *, CASE WHEN date_columns = 0 THEN 'no date-like column' WHEN table_gb < 0.00001::DOUBLE THEN 'below min_table_gb' WHEN est_gb > 0.0005::DOUBLE THEN 'too large (~' || printf('%.1f', est_gb) || ' GB estimated scan)' END AS reason FROM p),
+b AS (SELECT *, CASE WHEN reason IS NULL THEN (row_number() OVER (PARTITION BY reason IS NULL ORDER BY table_name) - 1) // 1 END::INT AS batch_no FROM r)
+"""
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An audit plan over the tables, with 100 bytes a row for their size."""
+    for n in _AUDITED:
         table(spark, sf_dir, n).createOrReplaceTempView(f"audit_{n}")
-    columns = scans.columns_of(spark, [f"audit_{n}" for n in names])
-    _, unchecked, _ = audit.audit(spark, columns, F.lit(datetime(1998, 1, 1)), skip=["audit_lineitem"])
+    tables, columns = scans.tables_of(spark, {"main": [f"audit_{n}" for n in _AUDITED]})
+    sizes = [table(spark, sf_dir, n).agg(F.lit("main").alias("dataset"), F.lit(f"audit_{n}").alias("table_name"), F.count(F.lit(1)).alias("total_rows")) for n in _AUDITED]
+    storage = reduce(DataFrame.union, sizes).select("*", (F.col("total_rows") * 100).alias("total_bytes"), F.lit(False).alias("deleted"))
+    return audit.audit_plan(tables.withColumn("table_type", F.lit("BASE TABLE")), columns, storage, 0.00001, 0.0005, 1)
+
+
+@query(f"{_PLAN_SQL} SELECT table_name, nullif(date_columns, 0)::BIGINT AS date_columns, total_rows, table_gb, reason, batch_no FROM b")
+def audit_plan(spark, sf_dir):
+    return _plan(spark, sf_dir).select(F.substring("table_name", 7, 100).alias("table_name"), "date_columns", "total_rows", "table_gb", "reason", "batch_no")
+
+
+@query(f"{_PLAN_SQL} SELECT batch_no, string_agg('main.audit_' || table_name, ', ' ORDER BY table_name) AS tables_in_batch FROM b WHERE reason IS NULL GROUP BY batch_no")
+def audit_batches(spark, sf_dir):
+    return audit.audit_batches(_plan(spark, sf_dir)).select("batch_no", "tables_in_batch")
+
+
+@query(f"{_PLAN_SQL} SELECT table_name, reason FROM b WHERE reason IS NOT NULL")
+def audit_unchecked(spark, sf_dir):
+    _, unchecked, _ = audit.audit(spark, _plan(spark, sf_dir), F.lit(datetime(1998, 1, 1)))
     return unchecked.select(F.substring("table_name", 7, 100).alias("table_name"), "reason")
 
 
+@query("""
+WITH a AS (SELECT 'orders' AS table_name, count(*) FILTER (o_orderdate < TIMESTAMP '1998-01-01') AS n_old, count(*) AS total_rows FROM orders UNION ALL SELECT 'events', count(*) FILTER (ts < TIMESTAMP '1998-01-01'), count(*) FROM events)
+SELECT table_name, n_old, total_rows, round(n_old::DOUBLE / total_rows * 100, 1) AS pct_old, round(total_rows * 1048576 / 1073741824.0::DOUBLE, 2) AS table_gb, round(n_old::DOUBLE / total_rows * (total_rows * 1048576 / 1073741824.0::DOUBLE), 2) AS est_old_gb FROM a""")
+def audit_report(spark, sf_dir):
+    """Ages beside sizes, here of 1 MB a row."""
+    parts = [audit.ages(table(spark, sf_dir, t), t, [c], F.lit(datetime(1998, 1, 1))) for t, c in (("orders", "o_orderdate"), ("events", "ts"))]
+    found = parts[0].union(parts[1]).withColumn("dataset", F.lit("main"))
+    sizes = [table(spark, sf_dir, t).agg(F.lit("main").alias("dataset"), F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("total_rows")) for t in ("orders", "events")]
+    storage = sizes[0].union(sizes[1]).select("*", (F.col("total_rows") * (1 << 20)).alias("total_bytes"), F.lit(False).alias("deleted"))
+    return audit.audit_report(found, storage).select("table_name", "n_old", "total_rows", "pct_old", "table_gb", "est_old_gb")
+
+
+@query("""
+SELECT event_type AS collection_path, count(*) AS docs, min(ts) AS oldest, count(*) FILTER (ts < TIMESTAMP '2024-01-10') AS docs_old, round(sum(CASE WHEN ts < TIMESTAMP '2024-01-10' THEN event_id * 1000 ELSE 0 END)::DOUBLE / 1073741824, 2) AS old_gb
+FROM events GROUP BY event_type""")
+def conditional_sums(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("collection_path"), "ts", (F.col("event_id") * 1000).alias("size"))
+    cutoff = audit.years_before(F.lit(datetime(2031, 1, 10)), 7).cast("timestamp_ntz")
+    return audit.collection_summary(rows, "collection_path", "ts", "size", cutoff)
+
+
+@query("""
+WITH d AS (SELECT event_type AS collection_path, 'd/' || event_id AS path, ts, CASE WHEN event_type = 'view' AND event_id % 2 = 0 THEN ts - INTERVAL 30 DAY END AS business FROM events)
+SELECT collection_path, path, coalesce(business, ts) AS age_ts, CASE WHEN business IS NULL THEN 'createTime' ELSE 'date field' END AS age_source, ts >= TIMESTAMP '2024-01-10' AS updated_since
+FROM d WHERE coalesce(business, ts) < TIMESTAMP '2024-01-10'""")
+def document_ages(spark, sf_dir):
+    """Half of the views have a date of their own, 30 days before; other collections have the field but no mapping."""
+    own = F.date_format(F.col("ts") - F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    fields = F.to_json(F.struct(F.when(F.col("event_id") % 2 == 0, own).otherwise("unknown").alias("due")))
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("collection_path"), F.concat(F.lit("d/"), _text("event_id")).alias("path"), F.col("ts").alias("create_time"), F.col("ts").alias("update_time"), fields.alias("date_fields"))
+    return audit.document_ages(rows, {"view": "due", "nowhere": "x"}, F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz"))
+
+
+@query("""
+WITH p AS (SELECT strftime(o_orderdate, '%Y%m') AS partition_id, count(*) AS total_rows, count(*) * 64 AS total_bytes FROM orders GROUP BY 1)
+SELECT sum(total_rows)::BIGINT AS total_rows, sum(CASE WHEN partition_id < '199801' THEN total_rows ELSE 0 END)::BIGINT AS old_rows, sum(total_bytes)::BIGINT AS total_bytes, sum(CASE WHEN partition_id < '199801' THEN total_bytes ELSE 0 END)::BIGINT AS old_bytes FROM p""")
+def partition_sums(spark, sf_dir):
+    parts = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("partition_id")).agg(F.count(F.lit(1)).alias("total_rows"))
+    return audit.old_partitions(parts.withColumn("total_bytes", F.col("total_rows") * 64), "199801")
+
+
+@query("""
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events)
+SELECT event_type AS collection_path, 'at' AS field, count(*) AS n FROM s WHERE n <= 20 AND event_id % 3 = 0 GROUP BY 1, 2""")
+def sampled_fields(spark, sf_dir):
+    """Fields with dates in 20 documents of each collection; a sample is what the report is for."""
+    at = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("none")
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("collection_path"), "event_id", F.to_json(F.struct(at.alias("at"), F.col("user_id").alias("u"))).alias("payload"))
+    return audit.sampled_fields(rows, "collection_path", "event_id", "payload", 20)
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of the documents: pages of 300, each with the token of the next; page 2 is lost."""
+    page = F.floor(F.col("doc_id") / 300)
+    item = F.struct(F.concat(F.lit("corpus/"), F.lpad(_text("doc_id"), 9, "0")).alias("name"), F.lit("2020-01-01T00:00:00Z").alias("createTime"), F.when(F.col("doc_id") % 2 == 0, "2021-01-01T00:00:00Z").otherwise("2023-01-01T00:00:00Z").alias("updateTime"))
+    rows = table(spark, sf_dir, "documents").groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(item)).alias("documents"))
+    last = rows.agg(F.max("page").alias("last"))
+    body = F.to_json(F.struct("documents", F.when(F.col("page") < F.col("last"), F.concat(F.lit("t"), (F.col("page") + 1).cast("string"))).otherwise("").alias("nextPageToken")))
+    rows = rows.join(F.broadcast(last))  # one row
+    return rows.select(F.concat(F.lit("t"), _text("page")).alias("page_token"), body.alias("body")).where("page_token <> 't2'")
+
+
+@query("SELECT 'corpus/' || lpad(doc_id::VARCHAR, 9, '0') AS path, 't' || doc_id // 300 AS page_token FROM documents WHERE doc_id // 300 <> 2")
+def listed_documents(spark, sf_dir):
+    return scans.listed_documents(_pages(spark, sf_dir)).select("path", "page_token")
+
+
+@query("SELECT DISTINCT 't2' AS page_token FROM documents WHERE doc_id // 300 >= 2")
+def missing_pages(spark, sf_dir):
+    return scans.missing_pages(_pages(spark, sf_dir))
+
+
+@query("""
+SELECT CASE WHEN doc_id < 100 THEN 0 WHEN doc_id < 250 THEN 1 ELSE 2 END AS range_no, count(*) AS n FROM documents WHERE doc_id % 2 = 0 AND doc_id // 300 <> 2 GROUP BY 1""")
+def key_range_scan(spark, sf_dir):
+    """Documents by key range, as of a time after which every other one was changed."""
+    found = scans.scan_ranges(scans.listed_documents(_pages(spark, sf_dir)), "path", ["corpus/000000250", "corpus/000000100"], datetime(2022, 1, 1))
+    return found.groupBy("range_no").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{_COMPARE_SQL}
+SELECT field_name, count(*) FILTER (is_match) AS matched, count(*) FILTER (NOT is_match) AS mismatched,
+       round(CAST(count(*) FILTER (is_match) AS DECIMAL(20,4)) * 100 / count(*), 2)::DECIMAL(8,2) AS match_pct FROM c GROUP BY field_name ORDER BY mismatched DESC, field_name""")
+def worst_fields(spark, sf_dir):
+    return views.worst_fields(_compared(spark, sf_dir))
+
+
 @query("SELECT day, event_type, n FROM (SELECT *, avg(n) OVER (PARTITION BY event_type) AS a FROM (SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)) WHERE n > 1.2 * a")
 def spike_days(spark, sf_dir):
     days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return relational.above_average(days, ["event_type"], "n", 1.2).select("day", "event_type", "n")
 
 
-@query("SELECT c_custkey, n::INT AS n, ((n - 1) // 50)::INT AS batch FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_nationkey, c_custkey) AS n FROM customer)")
+@query("SELECT c_custkey, n, ((n - 1) // 50)::BIGINT AS batch FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_nationkey, c_custkey) AS n FROM customer)")
 def batch_numbers(spark, sf_dir):
     return relational.numbered_batches(table(spark, sf_dir, "customer"), ["c_nationkey", "c_custkey"], 50).select("c_custkey", "n", "batch")
 
@@ -452,11 +649,6 @@ def age_check(spark, sf_dir):
     return audit.age_check(table(spark, sf_dir, "events"), "ts", F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz"))
 
 
-@query("SELECT event_type, sum(CASE WHEN value > 50 THEN 1 ELSE 0 END)::BIGINT AS n_large, count(*) FILTER (user_id % 2 = 0) AS n_even FROM events GROUP BY event_type")
-def conditional_sums(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.when(F.col("value") > 50, 1).otherwise(0)).alias("n_large"), F.count_if(F.col("user_id") % 2 == 0).alias("n_even"))
-
-
 @query("SELECT 'documents/' || doc_id AS path, CASE WHEN doc_id % 10 = 0 THEN 'FAILED' WHEN doc_id % 7 = 0 THEN 'SKIPPED' ELSE 'DELETED' END AS outcome FROM documents")
 def purge_outcome(spark, sf_dir):
     batch = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("documents/"), _text("doc_id")).alias("path"))
@@ -572,6 +764,62 @@ def merge_cases(spark, sf_dir):
     return merged.select("o_custkey", F.get_json_object("m.payload", "$.status").alias("status"), F.size(F.json_object_keys(F.get_json_object("m.payload", "$.own.of"))).cast("long").alias("n_own"))
 
 
+def _folded(rows: DataFrame, policy: Policy, *keys: str) -> DataFrame:
+    """rows(keys, payload, at) -> keys and m, the merged payload of each key."""
+    entry = F.struct("payload", "at")
+    by_time = lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0)
+    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry), by_time).alias("versions"))
+    return grouped.select(*keys, P.folded(F.col("versions"), F.lit("own"), {"own": policy}).alias("m"))
+
+
+@query("SELECT l_orderkey, arg_max(l_returnflag || l_linestatus || l_shipmode, (l_linenumber % 2)::VARCHAR || l_returnflag || l_linestatus || l_shipmode) AS winner FROM (SELECT *, (l_partkey % 7)::VARCHAR AS l_shipmode FROM lineitem) GROUP BY l_orderkey")
+def merge_collisions(spark, sf_dir):
+    """A field that versions disagree on: the later time wins, of equal times the greater content."""
+    value = F.concat("l_returnflag", "l_linestatus", (F.col("l_partkey") % 7).cast("string"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.to_json(F.struct(value.alias("v"))).alias("payload"), (F.col("l_linenumber") % 2).cast("string").alias("at"))
+    return _folded(rows, Policy(), "l_orderkey").select("l_orderkey", F.get_json_object("m.payload", "$.v").alias("winner"))
+
+
+@query("""
+WITH a AS (SELECT l_orderkey, l_returnflag AS k, l_linestatus AS v, count(*) FILTER (l_linenumber <= 4) AS x, count(*) FILTER (l_linenumber % 2 = 1) AS y FROM lineitem GROUP BY ALL),
+k AS (SELECT l_orderkey, k, sum(least(x, y)) AS same, sum(x - least(x, y)) AS x_rest, sum(y - least(x, y)) AS y_rest FROM a GROUP BY ALL)
+SELECT l_orderkey, sum(same + greatest(x_rest, y_rest))::BIGINT AS n_items FROM k GROUP BY l_orderkey""")
+def merge_multisets(spark, sf_dir):
+    """Arrays of keyed items: equal items of both versions cancel one to one, different ones of a key collide in pairs,
+    what is left is added."""
+    item = F.struct(F.col("l_returnflag").alias("k"), F.col("l_linestatus").alias("v"))
+    lines = table(spark, sf_dir, "lineitem")
+    sides = [lines.groupBy("l_orderkey").agg(F.to_json(F.struct(F.collect_list(F.when(own, item)).alias("items"))).alias("payload")).withColumn("at", F.lit(at)) for own, at in ((F.col("l_linenumber") <= 4, "1"), (F.col("l_linenumber") % 2 == 1, "2"))]
+    policy = Policy(arrays=frozenset({"items"}), item_keys={"items": "k"})
+    merged = _folded(sides[0].union(sides[1]), policy, "l_orderkey")
+    return merged.select("l_orderkey", F.size(F.from_json(F.get_json_object("m.payload", "$.items"), "array<struct<k:string>>")).cast("long").alias("n_items"))
+
+
+@query("""
+SELECT o_orderkey, lower(o_orderstatus) AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderpriority END AS slot, NULL::VARCHAR AS old_field FROM orders""")
+def merge_atomic(spark, sf_dir):
+    """An object that is taken whole from the later version, but for a slot that only the earlier one has."""
+    orders = table(spark, sf_dir, "orders")
+    head = lambda *fields: F.to_json(F.struct(F.struct(*fields).alias("head")))
+    first = head(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("slot"), F.lit("x").alias("old"))
+    second = head(F.lower("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 == 0, "new").alias("slot"))
+    rows = orders.select("o_orderkey", F.inline(F.array(F.struct(first.alias("payload"), F.lit("1").alias("at")), F.struct(second.alias("payload"), F.lit("2").alias("at")))))
+    merged = _folded(rows, Policy(atomic={"head": ("slot",)}), "o_orderkey")
+    return merged.select("o_orderkey", *[F.get_json_object("m.payload", f"$.head.{f}").alias(n) for f, n in (("status", "status"), ("slot", "slot"), ("old", "old_field"))])
+
+
+@query("SELECT o_orderkey, o_orderstatus AS checked, 'Document_Review;Authentication' AS labels FROM orders")
+def parts_joined(spark, sf_dir):
+    """The parts of a contribution as one record, each part's proofs marked with its label, the base's first."""
+    parts_of = (SubType("auth", "checked", proofs_field="documentProofs", proofs_label="Authentication"), SubType("review", "documentProofs", is_base=True, proofs_field="documentProofs", proofs_label="Document_Review"))
+    segment = Segment("authanddocreview", "a", "h", None, parts_of)
+    proof = F.array(F.struct(F.lit("d").alias("document")))
+    parts = F.array(F.struct(F.lit("auth").alias("name"), F.to_json(F.struct(F.col("o_orderstatus").alias("checked"), proof.alias("documentProofs"))).alias("payload")), F.struct(F.lit("review").alias("name"), F.to_json(F.struct(proof.alias("documentProofs"))).alias("payload")))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", P.parts_joined(parts, F.lit(segment.name), {segment.name: segment}).alias("m"))
+    labels = F.from_json(F.get_json_object("m", "$.documentProofs"), "array<struct<authenticationType:string>>")
+    return rows.select("o_orderkey", F.get_json_object("m", "$.checked").alias("checked"), F.array_join(F.transform(labels, lambda x: x["authenticationType"]), ";").alias("labels"))
+
+
 @query("""
 WITH o AS (SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS side, o_orderdate FROM orders)
 SELECT o_custkey::VARCHAR AS image_id, count(*) FILTER (side = 'f') AS n_ai, count(*) FILTER (side = 'o') AS n_human FROM o WHERE side IN ('f', 'o') GROUP BY o_custkey HAVING count(*) FILTER (side = 'f') > 0 AND count(*) FILTER (side = 'o') > 0""")

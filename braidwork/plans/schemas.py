@@ -26,9 +26,10 @@ DEAD_LETTERS = (
     "image_id string not null, key_id string, segment string not null, case_id string, pending_type string not null, payload string, "
     "created_at timestamp, first_seen_at timestamp, aged_out_at timestamp not null, reason string"
 )
+#: Schema of each stored table, and the partitions that its writer makes.
 TABLES = {
-    "ai_payloads": (AI_PAYLOADS, "created_at"), "human_payloads": (HUMAN_PAYLOADS, "created_at"), "pending_comparisons": (PENDING, "first_seen_at"),
-    "ai_pending_comparisons": (AI_PENDING, "first_seen_at"), "comparison_results": (RESULTS, "load_time"), "dead_letter_comparisons": (DEAD_LETTERS, "aged_out_at"),
+    "ai_payloads": (AI_PAYLOADS, "day date"), "human_payloads": (HUMAN_PAYLOADS, "day date"), "pending_comparisons": (PENDING, "v string"),
+    "ai_pending_comparisons": (AI_PENDING, "v string"), "comparison_results": (RESULTS, "run string, day date"), "dead_letter_comparisons": (DEAD_LETTERS, "run string, day date"),
 }
 
 
@@ -48,6 +49,7 @@ def fitted(df: DataFrame, ddl: str) -> DataFrame:
 
 
 def create_table(name: str, location: str) -> str:
-    """DDL of a stored table, partitioned by the day of its time column."""
-    ddl, at = TABLES[name]
-    return f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, {at.removesuffix('_at')}_day date) USING parquet PARTITIONED BY ({at.removesuffix('_at')}_day) LOCATION '{location}'"
+    """DDL of a stored table over the folder that ``state`` writes; ``ALTER TABLE … RECOVER PARTITIONS`` finds new ones."""
+    ddl, partitions = TABLES[name]
+    keys = ", ".join(x.split(" ")[0] for x in partitions.split(", "))
+    return f"CREATE TABLE IF NOT EXISTS {name} ({ddl}, {partitions}) USING parquet PARTITIONED BY ({keys}) LOCATION '{location}'"

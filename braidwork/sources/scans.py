@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def lookback(source: DataFrame, end: datetime, interval: str, at: str = "created_at", methods: list[str] | None = None) -> DataFrame:
@@ -33,46 +30,64 @@ def dataset_options(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "database string, location string, table_name string, table_type string, is_temporary boolean")
 
 
-class _Range(InputPartition):
-    def __init__(self, low: int, high: int):
-        super().__init__((low, high))
-        self.low, self.high = low, high
+def tables_of(spark: SparkSession, tables: dict[str, list[str]]) -> tuple[DataFrame, DataFrame]:
+    """Of tables or views by dataset: (dataset, table_name, table_type) and (dataset, table_name, column_name, data_type,
+    position)."""
+    kind = lambda t: "VIEW" if spark.catalog.getTable(t).tableType in ("VIEW", "TEMPORARY") else "BASE TABLE"
+    names = [(d, t, kind(t)) for d, all_ in tables.items() for t in all_]
+    columns = [(d, t, f.name, f.dataType.simpleString(), i) for d, all_ in tables.items() for t in all_ for i, f in enumerate(spark.table(t).schema.fields)]
+    return (
+        spark.createDataFrame(names, "dataset string, table_name string, table_type string"),
+        spark.createDataFrame(columns, "dataset string, table_name string, column_name string, data_type string, position int"),
+    )
 
 
-class _DocumentReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, options: dict[str, str]):
-        self.names = schema.names
-        self.count, self.page = int(options.get("count", 0)), int(options.get("pageSize", 300))
-        self.splits, self.prefix = max(1, int(options.get("splits", 4))), options.get("collection", "documents")
+def storage_of(spark: SparkSession, folders: dict[tuple[str, str], str]) -> DataFrame:
+    """dataset, table_name, total_rows, total_bytes, deleted of Parquet folders by (dataset, table): rows from the
+    footers, bytes from the listing of the files; no file is read."""
+    rows = []
+    for (dataset, table), folder in folders.items():
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
+        rows.append((dataset, table, spark.read.parquet(folder).count(), files.agg(F.sum("length")).first()[0] or 0, False))
+    return spark.createDataFrame(rows, "dataset string, table_name string, total_rows long, total_bytes long, deleted boolean")
 
-    def partitions(self) -> list[InputPartition]:
-        step = -(-self.count // self.splits) or 1
-        return [_Range(a, min(self.count, a + step)) for a in range(0, self.count, step)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
-        token = partition.low
-        while token < partition.high:  # one page after the other, the token says where the next one starts
-            last = min(partition.high, token + self.page)
-            for i in range(token, last):
-                yield f"{self.prefix}/{i:010d}", i // self.page
-            token = last
+def partitions_of(table: DataFrame, partition: str) -> DataFrame:
+    """partition_id, total_rows, total_bytes of a partitioned Parquet table, by its files' metadata."""
+    files = table.groupBy(F.col(partition).cast("string").alias("partition_id"), "_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("rows"))
+    return files.groupBy("partition_id").agg(F.sum("rows").alias("total_rows"), F.sum("file_size").alias("total_bytes"))
 
 
-class PagedDocuments(DataSource):
-    """Key ranges read in parallel, each page by page: ``spark.read.format("paged_documents")``.
+PAGE = "struct<documents: array<struct<name: string, createTime: string, updateTime: string>>, nextPageToken: string>"
 
-    Options: collection, count, pageSize, splits. A stand-in lister; a real store's client goes into ``read``.
-    """
 
-    @classmethod
-    def name(cls) -> str:
-        return "paged_documents"
+def listed_documents(pages: DataFrame) -> DataFrame:
+    """pages(page_token, body), as a document store's listing gives them, -> path, create_time, update_time, page_token."""
+    body = pages.select("page_token", F.from_json("body", PAGE).alias("page"))
+    return body.select("page_token", F.inline("page.documents")).select(F.col("name").alias("path"), F.to_timestamp("createTime").alias("create_time"), F.to_timestamp("updateTime").alias("update_time"), "page_token")
 
-    def schema(self) -> str:
-        return "path string, page int"
 
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _DocumentReader(schema, self.options)
+def missing_pages(pages: DataFrame) -> DataFrame:
+    """Tokens that a page names as the next one, without a page of that token: the listing broke off there."""
+    named = pages.select(F.get_json_object("body", "$.nextPageToken").alias("page_token")).where("page_token <> ''").distinct()
+    return named.join(pages.select("page_token"), "page_token", "left_anti")
+
+
+def key_ranges(splits: list[str]) -> list[tuple[int, str | None, str | None]]:
+    """Ranges [low, high) that split points cut a key space into; the first and the last are open."""
+    borders = [None, *sorted(set(splits)), None]
+    return [(i, low, high) for i, (low, high) in enumerate(zip(borders, borders[1:], strict=False))]
+
+
+def scan_ranges(documents: DataFrame, key: str, splits: list[str], read_time: datetime | None = None, changed: str = "update_time") -> DataFrame:
+    """``documents`` with range_no, the key range that a row's key falls into, by a snapshot: rows that changed after
+    ``read_time`` are left out. Each range is a part of its own where the table is written by range_no."""
+    at = F.lit(None).cast("int")
+    for i, low, high in key_ranges(splits):
+        own = F.lit(True) if low is None else F.col(key) >= low
+        at = F.when(own if high is None else own & (F.col(key) < high), i).otherwise(at)
+    rows = documents.withColumn("range_no", at)
+    return rows if read_time is None else rows.where(F.col(changed) <= F.lit(read_time).cast(dict(documents.dtypes)[changed]))
 
 
 def path_parts(path: str = "path") -> list:

@@ -7,8 +7,9 @@ written by Spark only, so any store it knows will do.
 
 from __future__ import annotations
 
+import time
 from dataclasses import asdict, dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +24,28 @@ class Window:
     version: str = ""
     step: int = 0
 
+    @property
+    def start(self) -> datetime:
+        """Where the window's rows begin: an hour before what has been seen, for rows that came late."""
+        return self.last_extracted - timedelta(hours=1)
+
 
 class Checkpoint:
-    """One row per step in a Parquet folder; the row with the highest step counts."""
+    """One row per step in a Parquet folder; the row with the highest step counts.
+
+    A step belongs to the driver that could create its mark, which the file system lets only one do.
+    """
 
     SCHEMA = "last_extracted timestamp, current_stop timestamp, version string, step long"
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, patience: float = 60.0):
+        """``patience``: seconds after which the row of another driver's mark is not waited for any more."""
+        self.spark, self.path, self.patience = spark, path, patience
+
+    def _mark(self, step: int) -> bool:
+        """Create the step's mark; False if it is there already. Names with an underscore are no data to Spark."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_steps/{step}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).createNewFile(path)
 
     def _write(self, window: Window) -> Window:
         self.spark.createDataFrame([asdict(window)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
@@ -48,11 +63,19 @@ class Checkpoint:
         return Window(**row.asDict())
 
     def claim(self, now: datetime) -> Window:
-        """Open the window up to ``now``; one that a failed run left open stays as it is."""
-        window = self.read()
-        if window.current_stop != window.last_extracted:
-            return window
-        return self._write(Window(window.last_extracted, now, window.version, window.step + 1))
+        """Open the window up to ``now``; one that a failed run left open stays as it is.
+
+        Of two drivers that claim at once one creates the step's mark and writes its row, the other gets that window. If
+        no row comes, the marking driver died before it wrote one, and the window is opened here.
+        """
+        until = time.monotonic() + self.patience
+        while True:
+            window = self.read()
+            if window.current_stop != window.last_extracted:
+                return window
+            if self._mark(window.step + 1) or time.monotonic() > until:
+                return self._write(Window(window.last_extracted, now, window.version, window.step + 1))
+            time.sleep(min(1.0, self.patience / 10))
 
     def advance(self, version: str) -> Window:
         window = self.read()
@@ -75,9 +98,9 @@ def write_version(df: DataFrame, folder: str, version: str) -> None:
 
 
 def append_run(df: DataFrame, folder: str, run: str, day_of: str) -> None:
-    """Append by run and day; the run's own partitions are replaced, so a retry doesn't double rows."""
-    out = df.withColumn("run", F.lit(run)).withColumn("day", F.to_date(day_of))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "day").parquet(folder)
+    """Append by run and day; what an earlier try of the same run wrote goes first, whatever days it had."""
+    remove(df.sparkSession, f"{folder}/run={run}")
+    df.withColumn("run", F.lit(run)).withColumn("day", F.to_date(day_of)).write.mode("append").partitionBy("run", "day").parquet(folder)
 
 
 def remove(spark: SparkSession, folder: str) -> None:
@@ -85,9 +108,17 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def drop_before(spark: SparkSession, folder: str, target: str, cutoff: str, at: str = "load_time") -> None:
-    """Retention: the rows from the cutoff on, written anew."""
-    spark.read.parquet(folder).where(F.col(at) >= F.lit(cutoff).cast("timestamp")).write.mode("errorifexists").parquet(target)
+def drop_before(spark: SparkSession, folder: str, cutoff: str, column: str = "day") -> list[str]:
+    """Retention: delete the partitions of days before the cutoff; returns them. No file is read."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.globStatus(fs_path(f"{folder}/run=*/{column}=*")):
+        path = status.getPath()
+        if path.getName().removeprefix(f"{column}=") < cutoff:
+            files.delete(path, True)
+            gone.append(f"{path.getParent().getName()}/{path.getName()}")
+    return sorted(gone)
 
 
 def add_column(df: DataFrame, name: str, value) -> DataFrame:

@@ -14,9 +14,11 @@ from braidwork.plans.run import run
 
 
 def run_available(spark: SparkSession, options: Options, log: str, clock: Callable[[], datetime], keys: DataFrame | None = None) -> StreamingQuery:
-    """Run once over what has arrived since the last call. The stream only says that there is something new; what is
-    read is the run's own lookback window, so late rows are seen and replays are dropped by content."""
-    arrivals = spark.readStream.schema(spark.read.parquet(options.human_source).schema).parquet(options.human_source)
+    """Run once over what has arrived since the last call, on either side. The stream only says that there is something
+    new; what is read is the run's own lookback window, so late rows are seen and replays are dropped by content. The
+    checkpoint's claim keeps two calls from opening a window each."""
+    sources = [spark.readStream.schema(spark.read.parquet(x).schema).parquet(x).select("created_at") for x in (options.human_source, options.ai_source)]
+    arrivals = sources[0].unionByName(sources[1])
 
     def batch(rows: DataFrame, number: int) -> None:
         if not rows.isEmpty():

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from braidwork.functions import crypto, text, times
-from braidwork.operators import attribution, audit, compare, relational, reporting
+from braidwork.operators import attribution, audit, compare, relational, reporting, views
 from braidwork.plans import schemas
 from braidwork.plans.config import Segment, SubType
 from braidwork.operators.routing import keyed
@@ -28,6 +28,9 @@ def test_timestamps(spark, raw, want):
     assert one(spark, times.normalised(F.lit(raw).cast("string"))) == want
 
 
+GROUPS = {"North": ("%north_wing%", "%nw%"), "South": ("%south%",)}
+
+
 def test_whole_days_are_24_hours(spark):
     start, end = F.lit(D), F.lit(D + timedelta(days=7) - timedelta(seconds=1))
     assert one(spark, times.whole_days(start, end)) == 6 and one(spark, times.seconds_between(start, end)) == 7 * 86400 - 1
@@ -40,7 +43,7 @@ def test_text_columns(spark):
     assert one(spark, text.joined_set(F.lit(["b", "a", "b"]))) == "a;b" and one(spark, text.joined_set(F.array().cast("array<string>"))) is None
     assert one(spark, text.set_of(F.lit("b;;a;b"))) == ["a", "b"] and one(spark, text.whole_number(F.lit("x7"))) == 0
     assert one(spark, text.renamed(F.lit("a.b.c"), [("n", "a.b"), ("m", "a")])) == "n.c" and one(spark, text.renamed(F.lit("ab.c"), [("n", "a")])) == "ab.c"
-    assert one(spark, reporting.processing_group(F.lit("x"), F.lit("team COSTAxRICA"))) == "Costa Rica"
+    assert one(spark, reporting.processing_group([F.lit("x"), F.lit("team NORTHxWING")], GROUPS)) == "North"
 
 
 def test_aes_wrong_key(spark):
@@ -103,18 +106,27 @@ def test_report_star(spark):
     cases = make([("case1", None)], "id string, parent_id string")
     events = make([("e1", "case1", "u1", "7;8", "Document Review", D), ("e2", "case1", "u1", None, "x", D)], "id string, what_id string, owner_id string, confirmation_number string, event_category string, end_at timestamp")
     history = make([("case1", "Owner", "u1", "2026-04-24T10:00:00.000+0000"), ("case1", "Owner", "u1", "2026-04-24T11:00:00.000+0000")], "case_id string, field string, new_value string, created_date string")
-    users = make([("u1", "r1", "A", "B", "costa rica", None, None, None)], "id string, user_role_id string, first_name string, last_name string, location string, company string, department string, division string")
+    users = make([("u1", "r1", "A", "B", "north wing", None, None, None)], "id string, user_role_id string, first_name string, last_name string, location string, company string, department string, division string")
     roles = make([("r1", "n", None, None)], "id string, name string, rollup string, developer_name string")
-    (row,) = reporting.case_processing(images, outcomes, attached, cases, events, history, users, roles).collect()
-    assert row.processing_seconds == 1800 and row.assignment_to_doc_review_seconds == 1800 and row.processing_group == "Costa Rica" and row.user_name == "A B" and row.end_time.hour == 6
+    (row,) = reporting.case_processing(images, outcomes, attached, cases, events, history, users, roles, GROUPS).collect()
+    assert row.processing_seconds == 1800 and row.assignment_to_doc_review_seconds == 1800 and row.processing_group == "North" and row.user_name == "A B" and row.end_time.hour == 6
 
 
 def test_audit_and_guardrails(spark):
     spark.createDataFrame([("2020-01-01T00:00:00Z", 1), ("bad", 2), (None, 3)], "created_at string, v int").createOrReplaceTempView("aud_a")
     spark.createDataFrame([(1,)], "v int").createOrReplaceTempView("aud_b")
-    found, unchecked, errors = audit.audit(spark, scans.columns_of(spark, ["aud_a", "aud_b"]), F.lit(D))
+    tables, columns = scans.tables_of(spark, {"d": ["aud_a", "aud_b"], "_hidden": ["aud_a"]})
+    tables = tables.withColumn("table_type", F.lit("BASE TABLE"))
+    storage = spark.createDataFrame([("d", "aud_a", 3, 1 << 30, False), ("d", "aud_a", 9, 9 << 30, True)], "dataset string, table_name string, total_rows long, total_bytes long, deleted boolean")
+    plan = audit.audit_plan(tables, columns, storage, 0.5, 1.0, 10)
+    found, unchecked, errors = audit.audit(spark, plan, F.lit(D))
     row = found.first()
-    assert (row.n_dated, row.n_old, row.n_unreadable) == (1, 1, 1) and [tuple(r) for r in unchecked.collect()] == [("aud_b", "no date column")] and errors.isEmpty()
+    assert (row.n_dated, row.n_old, row.n_unreadable) == (1, 1, 1) and [(r.table_name, r.reason) for r in unchecked.collect()] == [("aud_b", "no date-like column")] and errors.isEmpty()
+    report = audit.audit_report(found, storage).first()
+    assert (report.pct_old, report.table_gb, report.est_old_gb) == (33.3, 1.0, 0.33)
+    for args, reason in (((2.0, 1.0), "below min_table_gb"), ((0.5, 1e-9), "too large (~0.0 GB estimated scan)")):
+        reasons = {r.table_name: r.reason for r in audit.audit(spark, audit.audit_plan(tables, columns, storage, *args, 10), F.lit(D))[1].collect()}
+        assert reasons["aud_a"] == reason
     batch = spark.createDataFrame([("g/1", "g", D)], "path string, collection_group string, scanned timestamp")
     assert audit.guarded(batch, ["g"], 5, F.col("scanned"), F.lit(D - timedelta(days=1))) is batch
     for bad in ((batch.limit(0), ["g"], 5), (batch, ["h"], 5), (batch, ["g"], 0)):
@@ -122,12 +134,54 @@ def test_audit_and_guardrails(spark):
             audit.guarded(*bad, F.col("scanned"), F.lit(D - timedelta(days=1)))
 
 
-def test_paged_source(spark):
-    spark.dataSource.register(scans.PagedDocuments)
-    df = spark.read.format("paged_documents").option("count", 25).option("pageSize", 4).option("splits", 3).option("collection", "a/x/b").load()
-    assert df.count() == df.distinct().count() == 25 and df.rdd.getNumPartitions() == 3
-    row = df.select(*scans.path_parts()).first()
-    assert (row.collection_group, row.parent, row.depth) == ("b", "a/x", 2)
+def test_a_table_that_fails_when_read_ends_no_other_batch(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    for folder in (good, bad):
+        spark.createDataFrame([(D,)], "created_at timestamp").write.parquet(folder)
+    spark.read.parquet(good).createOrReplaceTempView("audit_good"), spark.read.parquet(bad).createOrReplaceTempView("audit_bad")
+    for file in (tmp_path / "bad").glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    tables, columns = scans.tables_of(spark, {"d": ["audit_good", "audit_bad"]})
+    storage = scans.storage_of(spark, {("d", "audit_good"): good})
+    assert storage.first().total_rows == 1 and storage.first().total_bytes > 100
+    plan = audit.audit_plan(tables.withColumn("table_type", F.lit("SNAPSHOT")), columns, storage, 0, 1, 1)
+    assert [r.tables_in_batch for r in audit.audit_batches(plan).collect()] == ["d.audit_bad", "d.audit_good"]
+    found, unchecked, errors = audit.audit(spark, plan, F.lit(D))
+    assert [r.table_name for r in found.collect()] == ["audit_good"] and [r.tables_in_batch for r in errors.collect()] == ["d.audit_bad"]
+    assert [(r.table_name, r.reason) for r in unchecked.collect()] == [("audit_bad", "batch failed")]
+
+
+def test_listed_documents(spark):
+    body = '{"documents": [{"name": "a/x/b/1", "createTime": "2020-01-01T00:00:00Z", "updateTime": "2021-01-01T00:00:00Z"}, {"name": "a/x/b/2"}], "nextPageToken": "t2"}'
+    pages = spark.createDataFrame([("", body), ("t3", '{"documents": [], "nextPageToken": ""}'), ("t4", "{}")], "page_token string, body string")
+    rows = scans.listed_documents(pages)
+    assert [r.page_token for r in scans.missing_pages(pages).collect()] == ["t2"] and rows.count() == 2
+    row = rows.orderBy("path").select("create_time", *scans.path_parts()).first()
+    assert (row.create_time, row.collection_group, row.parent, row.depth) == (datetime(2020, 1, 1), "b", "a/x", 2)
+    seen = scans.scan_ranges(rows, "path", ["a/x/b/2", "a/x/b/0"], datetime(2022, 1, 1)).collect()
+    assert [(r.path, r.range_no) for r in seen] == [("a/x/b/1", 1)] and scans.key_ranges([]) == [(0, None, None)]
+
+
+def test_numbers_do_not_depend_on_the_borders(spark):
+    df = spark.createDataFrame([(i * 7919 % 1000 // 3, None if i % 50 == 0 else f"k{i % 13}", i) for i in range(1000)], "a int, b string, c int").repartition(7)
+    want = {r.c: i + 1 for i, r in enumerate(df.orderBy("b", "a", "c").collect())}
+    for slots in (1, 5, 64):
+        got = relational.numbered_batches(df, ["b", "a", "c"], 100, slots).collect()
+        assert {r.c: r.n for r in got} == want and all(r.batch == (r.n - 1) // 100 for r in got)
+    assert relational.numbered_batches(df.limit(0), ["a"], 10).count() == 0
+
+
+def test_as_of_keeps_wall_times_apart(spark):
+    """Two wall times that are one moment in a zone with summer time are still in order."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        at = "timestamp_ntz"
+        left = spark.sql(f"SELECT 'a' AS k, {at}'2024-03-10 03:10:00' AS t")
+        right = spark.sql(f"SELECT 'a' AS k, {at}'2024-03-10 02:30:00' AS seen")
+        assert str(relational.as_of_latest(left, right, ["k"], "t", "seen", "out").first().out) == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_state_and_checkpoint(spark, tmp_path):
@@ -139,15 +193,44 @@ def test_state_and_checkpoint(spark, tmp_path):
     assert c.claim(D + timedelta(hours=9)).current_stop == window.current_stop == D + timedelta(hours=3)
     assert c.revert().current_stop == D and c.claim(D + timedelta(hours=4)).current_stop == D + timedelta(hours=4)
     assert c.advance("v1").version == "v1" and c.read().last_extracted == D + timedelta(hours=4)
-    df = spark.createDataFrame([(1, D)], "x int, load_time timestamp")
-    for run in ("r1", "r1", "r2"):
-        state.append_run(df, str(tmp_path / "out"), run, "load_time")
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert c.read().start == c.read().last_extracted - timedelta(hours=1)
+    df = spark.createDataFrame([(1, D), (2, D + timedelta(days=1))], "x int, load_time timestamp")
+    for run, rows in (("r1", df), ("r1", df.where("x = 1")), ("r2", df)):  # the retry of r1 has no rows of the second day
+        state.append_run(rows, str(tmp_path / "out"), run, "load_time")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    parts = {r.partition_id: r.total_rows for r in scans.partitions_of(spark.read.parquet(str(tmp_path / "out")), "day").collect()}
+    assert sorted(parts.values()) == [1, 2]
+    assert state.drop_before(spark, str(tmp_path / "out"), str((D + timedelta(days=1)).date())) == [f"run=r1/day={D.date()}", f"run=r2/day={D.date()}"]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     with pytest.raises(Exception, match="null in key_id"):
         schemas.fitted(spark.createDataFrame([("x",)], "image_id string"), schemas.AI_PENDING).collect()
+
+
+def test_one_of_two_drivers_opens_the_window(spark, tmp_path):
+    path = str(tmp_path / "c")
+    first, second = state.Checkpoint(spark, path), state.Checkpoint(spark, path, patience=0.5)
+    first.seed(D)
+    assert first._mark(1) and not second._mark(1)
+    # the marking driver writes no row: the other one opens the window when its patience ends
+    window = second.claim(D + timedelta(hours=1))
+    assert (window.step, window.current_stop) == (1, D + timedelta(hours=1)) and first.claim(D + timedelta(hours=2)) == window
+
+
+def test_tables_over_what_is_written(spark, tmp_path):
+    row = ("i", "k", "main", None, 1, D, D, "f", None, None, "x", "y", False, D)
+    results = spark.createDataFrame([row], schemas.RESULTS.replace(" not null", ""))
+    state.append_run(results, str(tmp_path / "t"), "r1", "load_time")
     spark.sql(schemas.create_table("comparison_results", str(tmp_path / "t")))
-    assert "load_time_day" in spark.table("comparison_results").columns
-    spark.sql("DROP TABLE comparison_results")
+    try:
+        spark.sql("ALTER TABLE comparison_results RECOVER PARTITIONS")
+        found = spark.table("comparison_results")
+        assert found.count() == 1 and found.first().run == "r1" and {"run", "day"} < set(found.columns)
+        pending = spark.createDataFrame([("human", D)], "pending_type string, first_seen_at timestamp")
+        views.create_views(spark, found, pending)
+        assert spark.table("comparison_results_clean").count() == spark.table("comparison_results_latest").count() == 1
+        assert spark.table("pending_by_age").first().age_bucket == "7+ days"
+    finally:
+        spark.sql("DROP TABLE comparison_results")
 
 
 def test_windowed_stream(spark, tmp_path):
