@@ -28,17 +28,17 @@ from .tokens import encoder
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Pieces that one shard packs; 8,192 waste less than a thousandth of the sequences.
 SHARD_PIECES = 8192
-#: Words in a generation of the encoder; packing is often the last stage of a long job, beside whatever else is held.
+#: Words in a generation of the encoder: packing is often the last stage of a long job, beside whatever else is held.
 REMEMBERED = 150_000
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, text) -> PIECES; ids are little-endian unsigned 32-bit integers, the first piece is the short one."""
     bounded_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, generation=REMEMBERED).encode
+        encode = encoder(tokenizer, generation=remembered).encode
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             rows: list[tuple] = []
@@ -108,8 +108,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIEC
     return dealt.groupBy(dealt_to).applyInArrow(shard, schema)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for the tokens of ``docs``."""
-    pieces = token_pieces(docs, tokenizer, capacity, end_id)
+    pieces = token_pieces(docs, tokenizer, capacity, end_id, remembered)
     narrow = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(narrow, capacity)

@@ -19,7 +19,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), 1024, 2)
+    return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), 1024, 2, remembered=400_000)
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
