@@ -6,14 +6,15 @@ here, once a stage, in Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import jsontree as jt
-from .merging import Policy, Version, join_parts, merge_all, tag_proofs
+from .merging import Policy, Version, join_parts, merge, tag_proofs
 
 FIELDS = "array<struct<field:string,match_key:string,place:int,value:string,case_id:string>>"
 _FIELD = pa.struct([("field", pa.string()), ("match_key", pa.string()), ("place", pa.int32()), ("value", pa.string()), ("case_id", pa.string())])
@@ -115,28 +116,49 @@ def cases_taken(payload: Column) -> Column:
     return run(payload)
 
 
-def folded(versions: Column, segment: Column, policies: Mapping[str, Policy]) -> Column:
-    """Merge an ordered array of struct(payload, at) into struct(payload, at); a payload that is no object counts
-    only if it is the latest."""
-
-    @F.arrow_udf("payload string, at string")
-    def run(lists: pa.Array, segments: pa.Array) -> pa.Array:
-        payloads, times = [], []
-        for items, name in zip(lists, segments.to_pylist(), strict=True):
-            items = items.as_py() or []
-            trees = [(jt.try_object(x["payload"]), x["at"]) for x in items]
-            good = [Version(t, at) for t, at in trees if t is not None]
-            if len(items) == 1 or not good:
-                last = max(items, key=lambda x: x["at"] or "") if items else {"payload": None, "at": None}
-                payload, at = last["payload"], last["at"]
-            else:
-                merged = merge_all(good, policies.get(name, Policy()))
-                payload, at = jt.dump(merged.tree), merged.at
-            payloads.append(payload)
-            times.append(at)
-        return pa.StructArray.from_arrays([pa.array(payloads, pa.string()), pa.array(times, pa.string())], names=["payload", "at"])
-
-    return run(versions, segment)
+def folded(rows: DataFrame, keys: Sequence[str], order: Sequence[str], policies: Mapping[str, Policy], keep: Sequence[str] = ()) -> DataFrame:
+    """rows(keys, keep, segment, payload, at) -> keys, keep (of a key's first row), payload, at: each key's payloads
+    merged in ``order``; one that is no object counts only if there is no other, and then the latest.
+
+    A key's rows pass one after the other in a sorted partition, so a task holds one merged record, however many rows a
+    key has.
+    """
+    columns = [*keys, *keep]
+    ready = rows.repartition(*keys).sortWithinPartitions(*keys, *order).select(*columns, F.col("segment").alias("__segment"), "payload", "at")
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, count, best, merged, head = None, 0, (None, None), None, None
+        out: list[tuple] = []
+
+        def closed() -> tuple:
+            return (*head, *((jt.dump(merged.tree), merged.at) if merged is not None and count > 1 else best))
+
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                name, text, at = row[-3:]
+                if not count or row[:n] != key:
+                    if count:
+                        out.append(closed())
+                    key, count, best, merged, head = row[:n], 0, (text, at), None, row[: len(columns)]
+                tree = jt.try_object(text)
+                if count and (at or "") > (best[1] or ""):
+                    best = (text, at)
+                if tree is not None:
+                    version = Version(tree, at)
+                    merged = version if merged is None else merge(merged, version, policies.get(name, Policy()))
+                count += 1
+            if len(out) >= 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                out = []
+        if count:
+            out.append(closed())
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    result = ready.drop("__segment").schema
+    schema = to_arrow_schema(result)
+    return ready.mapInArrow(run, result)
 
 
 def parts_joined(parts: Column, segment: Column, segments: Mapping[str, object]) -> Column:

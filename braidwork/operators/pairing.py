@@ -89,10 +89,9 @@ def human_state(fresh: DataFrame, pending: DataFrame, segments: Sequence[Segment
     part = F.when(F.col("pending_type") == "human", "default").otherwise(F.expr("substring(pending_type, length('human:') + 1)"))
     old = pending.select(*GROUP, part.alias("sub_type"), "payload", "case_id", "key_id", "created_at", F.lit(True).alias("is_old"))
     rows = old.unionByName(new.select(*GROUP, "sub_type", "payload", "case_id", "key_id", "created_at", F.lit(False).alias("is_old")))
-    entry = F.struct((~F.col("is_old")).alias("late"), F.col("created_at").alias("t"), F.coalesce("case_id", F.lit("")).alias("c"), F.col("payload"), iso(F.col("created_at")).alias("at"), F.col("key_id"))
-    parts = rows.groupBy(*GROUP, "sub_type").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    parts = parts.withColumn("merged", P.folded(F.transform("entries", lambda e: F.struct(e["payload"].alias("payload"), e["at"].alias("at"))), F.col("segment"), policies))
-    parts = parts.select(*GROUP, "sub_type", F.col("merged.payload").alias("payload"), as_timestamp(F.col("merged.at")).alias("created_at"), F.get("entries", F.lit(0))["key_id"].alias("key_id"))
+    versions = rows.withColumn("late", ~F.col("is_old")).withColumn("case_key", F.coalesce("case_id", F.lit(""))).withColumn("at", iso(F.col("created_at")))
+    parts = P.folded(versions, [*GROUP, "sub_type"], ["late", "created_at", "case_key", "payload", "key_id"], policies, ["key_id"])
+    parts = parts.withColumn("created_at", as_timestamp(F.col("at"))).drop("at")
     info = rows.groupBy(*GROUP).agg(F.array_remove(F.collect_set(F.coalesce("case_id", F.lit(""))), "").alias("own_cases"), F.max_by("case_id", F.when(F.col("case_id").isNotNull(), F.struct("created_at", (~F.col("is_old")).alias("new"), "case_id"))).alias("case_id"))
     whole = parts.groupBy(*GROUP).agg(
         F.array_sort(F.collect_list(F.struct(F.col("sub_type").alias("name"), "payload", "created_at", "key_id"))).alias("parts"),

@@ -758,18 +758,14 @@ def aes_round_trip(spark, sf_dir):
 SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status, count(*)::BIGINT AS n_own FROM orders GROUP BY o_custkey""")
 def merge_cases(spark, sf_dir):
     tree = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.map_from_arrays(F.array(F.concat(F.lit("k"), _text("o_orderkey"))), F.array("o_orderpriority")).alias("of")).alias("own")))
-    entry = F.struct(tree.alias("payload"), F.lpad(_text("o_orderkey"), 12, "0").alias("at"))
-    rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0)).alias("versions"))
-    merged = rows.select("o_custkey", P.folded(F.col("versions"), F.lit("plain"), {"plain": Policy()}).alias("m"))
+    merged = _folded(table(spark, sf_dir, "orders").select("o_custkey", tree.alias("payload"), F.lpad(_text("o_orderkey"), 12, "0").alias("at")), Policy(), "o_custkey")
     return merged.select("o_custkey", F.get_json_object("m.payload", "$.status").alias("status"), F.size(F.json_object_keys(F.get_json_object("m.payload", "$.own.of"))).cast("long").alias("n_own"))
 
 
 def _folded(rows: DataFrame, policy: Policy, *keys: str) -> DataFrame:
     """rows(keys, payload, at) -> keys and m, the merged payload of each key."""
-    entry = F.struct("payload", "at")
-    by_time = lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0)
-    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry), by_time).alias("versions"))
-    return grouped.select(*keys, P.folded(F.col("versions"), F.lit("own"), {"own": policy}).alias("m"))
+    found = P.folded(rows.withColumn("segment", F.lit("own")), keys, ["at", "payload"], {"own": policy})
+    return found.select(*keys, F.struct("payload", "at").alias("m"))
 
 
 @query("SELECT l_orderkey, arg_max(l_returnflag || l_linestatus || l_shipmode, (l_linenumber % 2)::VARCHAR || l_returnflag || l_linestatus || l_shipmode) AS winner FROM (SELECT *, (l_partkey % 7)::VARCHAR AS l_shipmode FROM lineitem) GROUP BY l_orderkey")
