@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,19 @@ def bounded_batches(spark: SparkSession, most: str = "8m") -> None:
         spark.conf.set(name, most)
 
 
+def give_back() -> None:
+    """Hand memory that a finished piece of Python work has freed back to the system.
+
+    A worker stays for the tasks after it, of other stages too, and allocators keep what was freed; beside a JVM that
+    has grown to its limit that is what an executor lacks.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def own_folder(spark: SparkSession) -> str:
     """This application's part of the shared folder."""
     return f"{shared_folder(spark)}/braidwork/{spark.sparkContext.applicationId}"

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, stored, unused
+from .common import bounded_batches, give_back, stored, unused
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -57,6 +57,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
                     rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        give_back()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(cut, PIECES)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import wordkernel as wk
-from .common import bounded_batches
+from .common import bounded_batches, give_back
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -155,6 +155,7 @@ def repetition_report(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(p.rows + 1, dtype=np.int32) * shares.shape[1]), pa.array(shares.ravel()))
                 columns = [batch.column(0).slice(p.first, p.rows).cast(pa.int64()), *map(pa.array, found.values()), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *found, "dup_gram_shares"])
+        give_back()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(judge, SCHEMA)
 
@@ -169,5 +170,6 @@ def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
             kept = [measures(p, rules, verdict_only=True)["kept"] for p in wk.parts(batch.column(at))]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordkernel as wk
-from .common import bounded_batches, shuffle_parts, stored, unused, with_row_numbers
+from .common import bounded_batches, give_back, shuffle_parts, stored, unused, with_row_numbers
 from .graph import components
 
 #: Counters of how common shingles are, by the first bits of their hash: at least, at most (64 MB where they are
@@ -110,6 +110,8 @@ def _profile(numbered: DataFrame, size: int, bits: int) -> DataFrame:
             task = pa.array(np.full(len(some), TaskContext.get().partitionId(), np.int32))
             packed = pa.array([many[i * SLICE : (i + 1) * SLICE].tobytes() for i in some], pa.binary())
             yield pa.RecordBatch.from_arrays([*none, pa.array(some, pa.int32()), task, packed], names=names)
+        del many
+        give_back()
 
     return numbered.mapInArrow(profile, "row long, doc_id long, n long, class long, slice int, task int, many binary")
 
@@ -178,6 +180,9 @@ def _prefixes(numbered: DataFrame, rank: np.ndarray, bits: int, size: int, perce
                     keys, owners, held = [], [], 0
         if keys:
             yield out()
+        keys, owners = [], []
+        met.clear()
+        give_back()
 
     return numbered.select("text").mapInArrow(emit, "bucket int, shingles binary, classes binary, sizes binary")
 
@@ -252,7 +257,10 @@ def _meetings(entries: DataFrame, percent: int) -> DataFrame:
         a, b, times = a[o], b[o], times[o]
         first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
         total = np.add.reduceat(times, first) if len(first) else times
-        return pa.table({"a": a[first], "b": b[first], "times": total.astype(np.int64)})
+        found = pa.table({"a": a[first], "b": b[first], "times": total.astype(np.int64)})
+        del join, key, name, packed, n, reach, a, b, times, table
+        give_back()
+        return found
 
     met = entries.groupBy("bucket").applyInArrow(meet, "a long, b long, times long")
     return met.groupBy("a", "b").agg(F.sum("times").alias("times")).where(F.col("times") >= MEETINGS).select("a", "b")
@@ -371,6 +379,8 @@ def _block_links(rows: DataFrame, percent: int) -> DataFrame:
                 before.append(label[own][moved])
                 after.append(now[moved])
         none = np.zeros(0, np.int64)
+        del table, shingles
+        give_back()
         return pa.table({"a": np.concatenate([none, *before]), "b": np.concatenate([none, *after])})
 
     return rows.groupBy("block").applyInArrow(link, "a long, b long").distinct()
@@ -408,6 +418,7 @@ def _groups(numbered: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
                 part = batch.slice(p.first, p.rows)
                 sets = pa.array([s.tobytes() for s in shingle_sets(p, size)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), sets], names=["class", "root", "chunks", "shingles"])
+        give_back()
 
     # one plan at every size: the candidates grow with the input, so they are not broadcast while they happen to be few
     texts = numbered.join(named.hint("merge"), numbered["row"] == named["first_row"]).select("text", "wanted", "root", "chunks")

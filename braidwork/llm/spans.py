@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordkernel as wk
-from .common import bounded_batches, text_blocks, unused
+from .common import bounded_batches, give_back, text_blocks, unused
 from .wordkernel import U64
 
 WINDOW, GRAM = 13, 5
@@ -229,6 +229,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
                     held.clear()
         if held:
             yield out()
+        held.clear()
+        give_back()
 
     def shared(table: pa.Table) -> pa.Table:
         lists = [np.frombuffer(x, np.uint64) for x in table["anchors"].to_pylist()]
@@ -284,6 +286,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         edges = np.concatenate(([0], np.cumsum(size)))
         first, last = _runs(shard // SHARDS)
         cut = lambda x: [x[a:b].tobytes() for a, b in zip(first, last, strict=True)]
+        del texts, found
+        give_back()
         columns = [(shard // SHARDS)[first], np.full(len(first), key[0].as_py(), np.int32), cut(keys), cut((shard % SHARDS).astype(np.uint8)), cut(doc), cut(size.astype(np.uint16)), [words[edges[a] : edges[b]].tobytes() for a, b in zip(first, last, strict=True)]]
         return pa.table({c: pa.array(x, k) for x, (c, k) in zip(columns, names.items(), strict=True)})
 
@@ -316,6 +320,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
         of[o] = np.repeat(np.arange(len(first)), last - first)
         o = np.argsort(block, kind="stable")
         starts, stops = _runs(block[o])
+        del lists
+        give_back()
         rows = {"block": [], "keys": [], "counts": [], "least": []}
         for a, b in zip(starts, stops, strict=True):
             own = of[o[a:b]]
@@ -367,6 +373,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRA
                         a, b = p.bounds[row], p.bounds[row + 1]
                         words = [w for w, g in zip(words, gone[a:b].tolist(), strict=True) if not g]
                     kept.append(b" ".join(words))
+        del known, keys, counts, least
+        give_back()
         out = texts.select(columns)
         found = (pa.array(np.concatenate(n_words)), pa.array(np.concatenate(n_removed)), pa.array(kept, pa.binary()).cast(pa.string()))
         for name, values in zip(names, found, strict=True):
