@@ -139,3 +139,54 @@ def test_encrypted_tables(spark, tmp_path):
     assert {(r.field_name, r.human_value, r.ai_value) for r in world.run(DAY)} == {("img", "a", "a"), ("x", "1", "2")}
     assert "img" not in world.pending()[0].payload
     assert world.run(DAY + timedelta(hours=1)) == []
+
+
+def test_cases_of_one_image(world):
+    """Several cases of an image: fields that only one has, collisions, arrays that unite and arrays that don't; and
+    what a later run adds."""
+    early, late = DAY - timedelta(minutes=50), DAY - timedelta(minutes=30)
+    line = lambda account, code="1": {"accountNumber": account, "customerNumber": "1", "dateOpened": "d", "tradelineRequested": {"disputeCodes": [{"code": code}]}}
+    cases = {
+        "disjoint": ({"x": 1}, {"y": 2}, {"x": 1, "y": 2}),
+        "later": ({"x": 1}, None, {"x": 1, "y": 2}),
+        "collision": ({"z": "foo"}, {"z": "bar"}, {"z": "bar"}),
+        "same": ({"z": "foo"}, {"z": "foo"}, {"z": "foo"}),
+        "united": ({"tradelines": [line("A")]}, {"tradelines": [line("B")]}, {"tradelines": [line("A"), line("B")]}),
+        "replaced": ({"attachments": [{"n": 1}]}, {"attachments": [{"n": 2}]}, {"attachments": [{"n": 2}]}),
+        "same item": ({"tradelines": [line("A", "013")]}, {"tradelines": [line("A", "001")]}, {"tradelines": [line("A", "001")]}),
+    }
+    world.human([("submit", {"img": k} | a, "A", early) for k, (a, _, _) in cases.items()] + [("submit", {"img": k} | b, "B", late) for k, (_, b, _) in cases.items() if b])
+    world.ai([("ai", {"img": k} | c, late) for k, (_, _, c) in cases.items()] + [("ai", {"img": "disjoint", "x": 9}, late - timedelta(minutes=9))])
+
+    def by_image(rows):
+        found = {}
+        for r in rows:
+            if r.field_name != "img":
+                found.setdefault(r.image_id, {})[r.field_name, r.array_key] = r
+        return found
+
+    got = by_image(world.run(DAY))
+    brief = lambda image: {f: (r.human_value, r.is_match, r.case_id) for (f, _), r in got[image].items()}
+    assert brief("disjoint") == {"x": ("1", True, "A"), "y": ("2", True, "B")}
+    assert brief("later")["x"] == ("1", True, "A") and not brief("later")["y"][1] and brief("later")["y"][0] is None
+    assert brief("collision") == {"z": ("bar", True, "B")} and brief("same") == {"z": ("foo", True, "B")}
+    assert {(k, r.case_id) for (f, k), r in got["united"].items() if f == "tradelines.accountNumber"} == {("a-1-d", "A"), ("b-1-d", "B")} and all(r.is_match for r in got["united"].values())
+    assert brief("replaced") == {"attachments.n": ("2", True, "B")}
+    codes = {f: (r.human_value, r.case_id) for (f, _), r in got["same item"].items() if f.endswith("code")}
+    assert codes == {"tradelines.tradelineRequested.disputeCodes.code": ("001", "B")} and sum(f == "tradelines.accountNumber" for f, _ in got["same item"]) == 1
+    # two payloads of an image that came at once are a second apart
+    times = sorted(r.created_at for r in world.pool() if r.image_id == "disjoint")
+    assert len(times) == 2 and times[1] - times[0] == timedelta(seconds=1)
+    signatures = {r.image_id: r.last_compared_signature for r in world.pending()}
+    # only the image with another case is compared again, as its next version; its first rows stay
+    world.human([("submit", {"img": "later", "y": 2}, "B", DAY + timedelta(minutes=30))])
+    got = by_image(world.run(DAY + timedelta(hours=1)))
+    assert set(got) == {"later"} and brief("later") == {"x": ("1", True, "A"), "y": ("2", True, "B")} and {r.ai_iteration for r in got["later"].values()} == {2}
+    assert {r.image_id: r.merged_case_ids for r in world.pending()}["later"] == "A;B"
+    for hours in (2, 3):  # the lookback reads the same rows again
+        assert world.run(DAY + timedelta(hours=hours)) == []
+    after = {r.image_id: r.last_compared_signature for r in world.pending()}
+    assert {k: v for k, v in after.items() if k != "later"} == {k: v for k, v in signatures.items() if k != "later"} and after["later"] != signatures["later"]
+    versions = {r.image_id: r.comparison_version for r in world.pending()}
+    assert versions == {**{k: 1 for k in cases}, "later": 2}
+    assert {r.ai_iteration for r in world.spark.read.parquet(world.options.results).where("image_id = 'later'").collect()} == {1, 2}
