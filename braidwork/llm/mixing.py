@@ -94,7 +94,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     """The mix itself: rows of ``docs`` with all their columns, repeated by epoch; a cut use has its first words only.
 
     Rows are told apart by a number that is stored with them, since two scans of one table may split it differently.
-    Texts are shuffled once, to meet what is taken of them. Rows without a word are not part of a mix and stay as they are.
+    Texts are shuffled once, to meet what is taken of them, and not sorted: the narrow side, one row a number, is the one
+    that is held. Rows without a word are not part of a mix and stay as they are.
     """
     row, each, uses = (unused(n, docs) for n in ("__row", "__use", "__uses"))
     numbered = with_row_numbers(docs, row)
@@ -105,4 +106,4 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     taken = plan.select(F.col("row").alias(row), F.when(F.col("last_words") > 0, F.concat(whole, F.array(last))).otherwise(whole).alias(uses))
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
     text = F.when(F.col(each) < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col(each), F.lit(0))), " "))
-    return numbered.join(taken, row).withColumn(each, F.explode(uses)).withColumn("text", text).select(*docs.columns)
+    return numbered.join(taken.hint("shuffle_hash"), row).withColumn(each, F.explode(uses)).withColumn("text", text).select(*docs.columns)

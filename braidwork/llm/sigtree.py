@@ -420,8 +420,9 @@ def _groups(numbered: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
                 yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), sets], names=["class", "root", "chunks", "shingles"])
         give_back()
 
-    # one plan at every size: the candidates grow with the input, so they are not broadcast while they happen to be few
-    texts = numbered.join(named.hint("merge"), numbered["row"] == named["first_row"]).select("text", "wanted", "root", "chunks")
+    # one plan at every size: the candidates grow with the input, so they are not broadcast while they happen to be few;
+    # their narrow rows are held by partition, and the texts pass unsorted
+    texts = numbered.join(named.hint("shuffle_hash"), numbered["row"] == named["first_row"]).select("text", "wanted", "root", "chunks")
     sets = texts.mapInArrow(read, "class long, root long, chunks int, shingles binary")
     chunk = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     # a whole component, or chunk by chunk together with the first chunk
@@ -476,4 +477,4 @@ def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
     own = numbered.select(F.col(number).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows, classes = _groups(own, size, percent)
     kept = classes.select(F.col("first.row").alias(number)).distinct().union(rows.where(F.col("class").isNull()).select("row"))
-    return numbered.join(stored(kept, "kept"), number, "left_semi").select(*docs.columns)
+    return numbered.join(stored(kept, "kept").hint("shuffle_hash"), number, "left_semi").select(*docs.columns)
