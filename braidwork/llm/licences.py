@@ -4,7 +4,7 @@ A paragraph (line) that has none of the marking words, those that licence statem
 no statement. The others become counts of word 1- to 3-grams with a marking word, and a multinomial logistic
 regression names the licence family, ``unknown`` for a licence of no family here, or ``none``.
 
-The labelled sample is made by rule from the fixed values below (phrasings x names, and single sentences): about 500
+The labelled sample is made by rule from the fixed values below (phrasings x names, and single sentences): about 800
 rows, whatever the corpus's size. One sentence in ``FOLDS``, whole, and all sentences about the licences of
 ``UNSEEN``, whose names no training row has, are held out; on them the threshold is calibrated: the smallest
 probability from which on at least ``PRECISION`` of the answers that name a family are right. An answer below it is
