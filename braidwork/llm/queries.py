@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, mixing, packing, ppm, repetition, sigtree, spans, telephony, tokenfiles, urlfilter
+from . import licences, mixing, packing, ppm, repetition, resampling, sigtree, spans, telephony, tokenfiles, urlfilter
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,6 +58,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(documents(spark, sf_dir), 0.75)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 5, 20, 10_000, 42)
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -140,14 +144,52 @@ m AS (
 SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM h LEFT JOIN m USING (n)
 """
 
+# the CRC of bytes is folded from its table, which is made from the polynomial
+OP12_SQL = r"""
+WITH RECURSIVE bits(n, k, v) AS (
+  SELECT range::UBIGINT, 0, range::UBIGINT FROM range(256)
+  UNION ALL SELECT n, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+tab AS MATERIALIZED (SELECT list(v ORDER BY n) AS t FROM bits WHERE k = 8),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+item AS (
+  SELECT coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM benchmark),
+texts AS (SELECT r, ws FROM doc UNION ALL SELECT 0, ws FROM item),
+feat AS MATERIALIZED (
+  SELECT r, array_to_string(ws[i:i + k - 1], ' ') AS g FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM texts, (VALUES (1), (2), (3)) n(k) WHERE len(ws) >= k)),
+hashed AS MATERIALIZED (
+  SELECT g, (xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(range(octet_length(encode(g))), lambda i: ('0x' || substr(hex(encode(g)), (2 * i + 1)::INT, 2))::UBIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b)::INT + 1]))) % 10000)::INT AS bucket
+  FROM (SELECT DISTINCT g FROM feat), tab),
+fb AS MATERIALIZED (SELECT r, bucket FROM feat JOIN hashed USING (g)),
+cnt AS (SELECT bucket, count(*) FILTER (r > 0) AS s, count(*) FILTER (r = 0) AS t FROM fb GROUP BY bucket),
+tot AS (SELECT count(*) FILTER (r > 0) AS s, count(*) FILTER (r = 0) AS t FROM fb),
+gain AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((c.t + 1)::DOUBLE * (tot.s::DOUBLE + 10000) / ((c.s + 1)::DOUBLE * (tot.t::DOUBLE + 10000))))::BIGINT AS gain FROM cnt c, tot),
+w AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM fb JOIN gain USING (bucket) WHERE r > 0 GROUP BY r),
+d AS (
+  SELECT r, doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT AS h FROM doc LEFT JOIN w USING (r)),
+s AS (
+  SELECT *, weight + floor(-1000.0::DOUBLE * ln(-ln((h::DOUBLE + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score, n_words >= 20 AS eligible FROM d),
+k AS (SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id ASC NULLS LAST) AS place, count(*) FILTER (eligible) OVER () AS n FROM s)
+SELECT doc_id, n_features, weight, score, CASE WHEN eligible AND place <= 5 * n // 100 THEN place END::BIGINT AS rank FROM k
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op4_jaccard_groups, op5_telephony_media,
         op6_automaton_spans, op7_ppm_scores, op8_url_rules, op9_repetition_rules, op10_licence_scan,
+        op12_importance_resampling,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": OP1_SQL, "op4_jaccard_groups": OP4_SQL, "op6_automaton_spans": OP6_SQL, "op8_url_rules": OP8_SQL, "op9_repetition_rules": OP9_SQL}
+    return {
+        "op1_source_mix": OP1_SQL, "op4_jaccard_groups": OP4_SQL, "op6_automaton_spans": OP6_SQL, "op8_url_rules": OP8_SQL, "op9_repetition_rules": OP9_SQL,
+        "op12_importance_resampling": OP12_SQL,
+    }
