@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, mixing, packing, ppm, repetition, resampling, sigtree, spans, telephony, tokenfiles, urlfilter
+from . import exponion, langid, licences, mixing, packing, ppm, repetition, resampling, sigtree, spans, telephony, tokenfiles, urlfilter
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,10 +58,18 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(documents(spark, sf_dir), 0.75)
 
 
+def op11_kneser_ney_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(documents(spark, sf_dir), 4, 2)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 5, 20, 10_000, 42)
 
 
+def op13_exponion_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exponion.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 16, 3, 64, 64.0, 1)
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -179,11 +187,36 @@ SELECT doc_id, n_features, weight, score, CASE WHEN eligible AND place <= 5 * n
 """
 
 
+def op13_sql(rounds: int = 3, k: int = 16, seed: int = 1) -> str:
+    """The rounds one after the other: every distance, the smallest, the new centroids."""
+    head = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+x AS MATERIALIZED (SELECT r, unnest(v) AS x, unnest(range(64)) AS i FROM kept),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(v) AS x, unnest(range(64)) AS i
+  FROM (SELECT v, row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), vec_id NULLS LAST, v) - 1 AS c FROM kept) WHERE c < {k})"""
+    nearest = """,
+a{n} AS MATERIALIZED (
+  SELECT r, c, d FROM (SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS place
+    FROM (SELECT r, c, sum((x.x - c.x) * (x.x - c.x))::BIGINT AS d FROM x JOIN c{n} c USING (i) GROUP BY r, c)) WHERE place = 1)"""
+    move = """,
+m{n} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{n} JOIN x USING (r) GROUP BY c, i),
+c{m} AS MATERIALIZED (SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{n} LEFT JOIN m{n} USING (c, i))"""
+    steps = "".join(nearest.format(n=n) + move.format(n=n, m=n + 1) for n in range(rounds)) + nearest.format(n=rounds)
+    return head + steps + f""",
+h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN h USING (c)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_source_mix, op2_sum_of_squares_packing, op3_token_files, op4_jaccard_groups, op5_telephony_media,
         op6_automaton_spans, op7_ppm_scores, op8_url_rules, op9_repetition_rules, op10_licence_scan,
-        op12_importance_resampling,
+        op11_kneser_ney_languages, op12_importance_resampling, op13_exponion_clusters,
     ]
     return {f.__name__: f for f in found}
 
@@ -191,5 +224,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mix": OP1_SQL, "op4_jaccard_groups": OP4_SQL, "op6_automaton_spans": OP6_SQL, "op8_url_rules": OP8_SQL, "op9_repetition_rules": OP9_SQL,
-        "op12_importance_resampling": OP12_SQL,
+        "op12_importance_resampling": OP12_SQL, "op13_exponion_clusters": op13_sql(),
     }
