@@ -1,7 +1,9 @@
 """One reconciliation run: scan, route, pair, compare, write, advance the checkpoint.
 
-Order of writes: results and dead letters under the run's name, then the new versions of the state, then the
-checkpoint, which names them. Whatever fails before the checkpoint is repeated by the next run over the same window.
+Order of writes: results and dead letters under the run's name, then the new versions of the state, then the commit,
+which names all of them and advances the window in one step. The lease is renewed before each write, so a run that was
+overtaken stops there. Whatever fails before the commit is repeated by the next run over the same window, and what it
+wrote is never seen.
 """
 
 from __future__ import annotations
@@ -48,12 +50,28 @@ class Summary:
     version: str
 
 
-def run(spark: SparkSession, options: Options, as_of: datetime, keys: DataFrame | None = None, run_id: str | None = None) -> Summary:
-    """``keys`` (key_id, dek) decrypts and encrypts payloads and values; without it the tables hold plain text."""
-    checkpoint = state.Checkpoint(spark, options.checkpoint)
+def run(spark: SparkSession, options: Options, as_of: datetime, keys: DataFrame | None = None, run_id: str | None = None, lease_seconds: float = 9000.0) -> Summary:
+    """``keys`` (key_id, dek) decrypts and encrypts payloads and values; without it the tables hold plain text.
+
+    Only one run at a time has the window: ``state.Held`` while another one's lease lasts.
+    """
+    checkpoint = state.Checkpoint(spark, options.checkpoint, lease_seconds)
     window = checkpoint.claim(as_of)
-    # a rerun of an open window has the same name, and so replaces its own rows
-    run_id = run_id or f"{window.step:06d}-{window.current_stop:%Y%m%dT%H%M%S}"
+    held = [window]
+    try:
+        return _run(spark, options, checkpoint, held, keys, run_id)
+    except state.Fenced:
+        raise
+    except BaseException:
+        checkpoint.release(held[-1])
+        raise
+
+
+def _run(spark: SparkSession, options: Options, checkpoint: state.Checkpoint, held: list[state.Window], keys: DataFrame | None, run_id: str | None) -> Summary:
+    """``held`` ends with the lease as last renewed."""
+    window = held[-1]
+    # the claim's number makes the name that of this attempt alone
+    run_id = f"{run_id}-{window.step:06d}" if run_id else f"{window.step:06d}-{window.current_stop:%Y%m%dT%H%M%S}"
     opened = (lambda df: crypto.decrypted(df, keys)) if keys is not None else lambda df: df
     closed = (lambda df, *cs: crypto.encrypted(df, keys, *cs)) if keys is not None else lambda df, *cs: df
     methods = [m for s in options.segments for m in (s.ai_method, s.human_method)]
@@ -69,17 +87,30 @@ def run(spark: SparkSession, options: Options, as_of: datetime, keys: DataFrame
         return spark.read.parquet(f"{work}/{name}")
 
     fresh = routing.keyed(fresh, options.segments, options.image_path, options.filter_path, options.filter_value)
+    held.append(checkpoint.renew(held[-1]))
     routes = pairing.pair(keep(fresh, "fresh"), pending, pool, options.segments, window.current_stop, options.age_limit_days, keep)
     results = results_of(keep(routes.matched, "matched"), options.segments, options.array_keys, options.soft_arrays, window.current_stop)
-    state.append_run(schemas.fitted(closed(results, "human_value", "ai_value"), schemas.RESULTS), options.results, run_id, "load_time")
+    outputs = {}
+    held.append(checkpoint.renew(held[-1]))
+    outputs["results"] = state.append_run(schemas.fitted(closed(results, "human_value", "ai_value"), schemas.RESULTS), options.results, run_id, "load_time")
     stop = F.lit(window.current_stop).cast("timestamp")
     dead = closed(routes.case_aged, "payload").withColumn("reason", F.lit(f"No matching AI iteration within {options.age_limit_days} days"))
     dead_ai = closed(routes.ai_aged, "payload").withColumn("pending_type", F.lit("ai")).withColumn("reason", F.lit(f"No matching human payload within {options.age_limit_days} days"))
     dead = dead.unionByName(dead_ai, allowMissingColumns=True).withColumn("aged_out_at", stop)
-    state.append_run(schemas.fitted(dead, schemas.DEAD_LETTERS), options.dead_letters, run_id, "aged_out_at")
-    version = run_id
-    state.write_version(schemas.fitted(closed(routes.case_pending, "payload"), schemas.PENDING), f"{options.state}/pending", version)
-    state.write_version(schemas.fitted(closed(routes.ai_pending, "payload"), schemas.AI_PENDING), f"{options.state}/pool", version)
-    checkpoint.advance(version)
+    held.append(checkpoint.renew(held[-1]))
+    outputs["dead_letters"] = state.append_run(schemas.fitted(dead, schemas.DEAD_LETTERS), options.dead_letters, run_id, "aged_out_at")
+    held.append(checkpoint.renew(held[-1]))
+    state.write_version(schemas.fitted(closed(routes.case_pending, "payload"), schemas.PENDING), f"{options.state}/pending", run_id)
+    state.write_version(schemas.fitted(closed(routes.ai_pending, "payload"), schemas.AI_PENDING), f"{options.state}/pool", run_id)
+    checkpoint.advance(held[-1], run_id, outputs)
     state.remove(spark, work)
-    return Summary(run_id, window, version)
+    return Summary(run_id, window, run_id)
+
+
+def results(spark: SparkSession, options: Options, at_step: int | None = None) -> DataFrame:
+    """Committed results, as of a commit of the checkpoint."""
+    return state.committed(state.Checkpoint(spark, options.checkpoint), "results", options.results, schemas.RESULTS, at_step)
+
+
+def dead_letters(spark: SparkSession, options: Options, at_step: int | None = None) -> DataFrame:
+    return state.committed(state.Checkpoint(spark, options.checkpoint), "dead_letters", options.dead_letters, schemas.DEAD_LETTERS, at_step)

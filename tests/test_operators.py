@@ -11,6 +11,7 @@ from braidwork.plans import schemas
 from braidwork.plans.config import Segment, SubType
 from braidwork.operators.routing import keyed
 from braidwork.sources import scans, state
+from braidwork.sources.ledger import Ledger
 
 D = datetime(2026, 4, 24, 10, 30)
 
@@ -186,34 +187,77 @@ def test_as_of_keeps_wall_times_apart(spark):
 
 def test_state_and_checkpoint(spark, tmp_path):
     c = state.Checkpoint(spark, str(tmp_path / "c"))
-    with pytest.raises(Exception):
+    with pytest.raises(LookupError):
         c.claim(D)
     c.seed(D)
-    window = c.claim(D + timedelta(hours=3))
-    assert c.claim(D + timedelta(hours=9)).current_stop == window.current_stop == D + timedelta(hours=3)
-    assert c.revert().current_stop == D and c.claim(D + timedelta(hours=4)).current_stop == D + timedelta(hours=4)
-    assert c.advance("v1").version == "v1" and c.read().last_extracted == D + timedelta(hours=4)
-    assert c.read().start == c.read().last_extracted - timedelta(hours=1)
+    window = c.claim(D + timedelta(hours=3), "me")
+    assert c.claim(D + timedelta(hours=9), "me").current_stop == window.current_stop == D + timedelta(hours=3)
+    assert c.revert(c.read()).current_stop == D and c.claim(D + timedelta(hours=4), "me").current_stop == D + timedelta(hours=4)
     df = spark.createDataFrame([(1, D), (2, D + timedelta(days=1))], "x int, load_time timestamp")
-    for run, rows in (("r1", df), ("r1", df.where("x = 1")), ("r2", df)):  # the retry of r1 has no rows of the second day
-        state.append_run(rows, str(tmp_path / "out"), run, "load_time")
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
-    parts = {r.partition_id: r.total_rows for r in scans.partitions_of(spark.read.parquet(str(tmp_path / "out")), "day").collect()}
+    out, ddl = str(tmp_path / "out"), "x int, load_time timestamp"
+    assert state.committed(c, "t", out, ddl).count() == 0
+    state.append_run(df, out, "r1", "load_time")  # an attempt that is never committed
+    assert c.advance(c.read(), "v1", {"t": state.append_run(df.where("x = 1"), out, "r2", "load_time")}).version == "v1"
+    assert c.read().last_extracted == D + timedelta(hours=4) and c.read().start == D + timedelta(hours=3)
+    first = c.read().step
+    c.advance(c.claim(D + timedelta(hours=5)), "v2", {"t": state.append_run(df, out, "r3", "load_time")})
+    assert sorted((r.x, r.run) for r in state.committed(c, "t", out, ddl).collect()) == [(1, "r2"), (1, "r3"), (2, "r3")]
+    assert [r.run for r in state.committed(c, "t", out, ddl, first).collect()] == ["r2"]  # as of the first commit
+    assert state.vacuum(c, out) == [] and state.vacuum(c, out, timedelta(0)) == ["run=r1"]
+    parts = {r.partition_id: r.total_rows for r in scans.partitions_of(state.committed(c, "t", out, ddl), "day").collect()}
     assert sorted(parts.values()) == [1, 2]
-    assert state.drop_before(spark, str(tmp_path / "out"), str((D + timedelta(days=1)).date())) == [f"run=r1/day={D.date()}", f"run=r2/day={D.date()}"]
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert state.drop_before(spark, out, str((D + timedelta(days=1)).date())) == [f"run=r2/day={D.date()}", f"run=r3/day={D.date()}"]
+    assert state.committed(c, "t", out, ddl).count() == 1
+    state.remove(spark, f"{out}/run=r2")
+    assert state.committed(c, "t", out, ddl).count() == 1
     with pytest.raises(Exception, match="null in key_id"):
         schemas.fitted(spark.createDataFrame([("x",)], "image_id string"), schemas.AI_PENDING).collect()
 
 
-def test_one_of_two_drivers_opens_the_window(spark, tmp_path):
-    path = str(tmp_path / "c")
-    first, second = state.Checkpoint(spark, path), state.Checkpoint(spark, path, patience=0.5)
+def test_one_driver_has_the_window(spark, tmp_path):
+    path, now = str(tmp_path / "c"), [1000.0]
+    first, second = (state.Checkpoint(spark, path, 60.0, lambda: now[0]) for _ in range(2))
     first.seed(D)
-    assert first._mark(1) and not second._mark(1)
-    # the marking driver writes no row: the other one opens the window when its patience ends
-    window = second.claim(D + timedelta(hours=1))
-    assert (window.step, window.current_stop) == (1, D + timedelta(hours=1)) and first.claim(D + timedelta(hours=2)) == window
+    mine = first.claim(D + timedelta(hours=1), "first")
+    with pytest.raises(state.Held):
+        second.claim(D + timedelta(hours=2), "second")
+    now[0] += 50
+    mine = first.renew(mine)
+    now[0] += 50  # renewed, so the lease still holds
+    with pytest.raises(state.Held):
+        second.claim(D + timedelta(hours=2), "second")
+    now[0] += 20  # the first driver is silent for longer than its lease: the window goes over, as it was
+    taken = second.claim(D + timedelta(hours=2), "second")
+    assert taken.current_stop == mine.current_stop and taken.step > mine.step
+    for late in (lambda: first.renew(mine), lambda: first.advance(mine, "v1", {"t": "run=x"}), lambda: first.revert(mine)):
+        with pytest.raises(state.Fenced):
+            late()
+    first.release(mine)
+    with pytest.raises(state.Held):  # a release behind the loss changes nothing
+        first.claim(D + timedelta(hours=3), "first")
+    second.advance(taken, "v2", {"t": "run=y"})
+    assert [c["outputs"] for c in first.commits()] == [{"t": "run=y"}] and first.read().version == "v2"
+
+
+def test_many_drivers_claim_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "c")
+    state.Checkpoint(spark, path).seed(D)
+
+    def claim(n):
+        try:
+            return state.Checkpoint(spark, path).claim(D + timedelta(hours=n + 1), f"d{n}").owner
+        except state.Held:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        got = [x for x in pool.map(claim, range(16)) if x]
+    assert len(got) == 1 and state.Checkpoint(spark, path).read().owner == got[0]
+    ledger = Ledger(spark, str(tmp_path / "l"))
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda n: ledger.append({"n": n}), range(24)))
+    assert sorted(numbers) == list(range(24)) == ledger.numbers() and sorted(ledger.get(i)["n"] for i in range(24)) == list(range(24))
 
 
 def test_tables_over_what_is_written(spark, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from braidwork.functions import crypto
 from braidwork.plans import schemas
 from braidwork.plans.config import Options, parse_segments
-from braidwork.plans.run import run
+from braidwork.plans.run import dead_letters, results, run
 from braidwork.sources import state
 
 SEGMENTS = json.dumps(
@@ -48,18 +48,12 @@ class World:
 
     def run(self, at):
         self.last = run(self.spark, self.options, at, self.keys)
-        rows = self.spark.read.parquet(self.options.results).where(F.col("run") == self.last.run) if self._has_rows() else None
-        if rows is not None and self.keys is not None:
+        rows = results(self.spark, self.options).where(F.col("run") == self.last.run)
+        if self.keys is not None:
             rows = crypto.with_keys(rows, self.keys)
             for name in ("human_value", "ai_value"):
                 rows = rows.withColumn(name, crypto.decrypt(F.col(name), F.col("dek")))
-        return [] if rows is None else rows.collect()
-
-    def _has_rows(self):
-        try:
-            return not self.spark.read.parquet(self.options.results).isEmpty()
-        except Exception:
-            return False
+        return rows.collect()
 
     def pending(self):
         return state.read_version(self.spark, f"{self.options.state}/pending", self.last.version, schemas.PENDING).collect()
@@ -103,7 +97,7 @@ def test_compare_then_quiet_then_new_case_then_age(world):
     world.options = Options(**{**world.options.__dict__, "human_lookback_days": 1})
     assert world.run(DAY + timedelta(days=7, hours=3)) == []
     assert world.pending() == [] and world.pool() == []
-    dead = world.spark.read.parquet(world.options.dead_letters).groupBy("pending_type").count().collect()
+    dead = dead_letters(world.spark, world.options).groupBy("pending_type").count().collect()
     assert {r.pending_type: r["count"] for r in dead} == {"human": 1, "ai": 2}
 
 
@@ -128,7 +122,52 @@ def test_failed_run_repeats_its_window(world, monkeypatch):
     monkeypatch.undo()
     assert len(world.run(DAY + timedelta(hours=5))) == 2  # img and x, once
     assert world.last.window.current_stop == DAY
-    assert world.spark.read.parquet(world.options.results).count() == 2
+    assert results(world.spark, world.options).count() == 2 < world.spark.read.parquet(world.options.results).count()
+
+
+def test_two_runs_at_once(world, monkeypatch):
+    """One of two concurrent runs is refused, while the other one works; the results are there once."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    world.human([("submit", {"img": "a", "x": 1}, "c", DAY - timedelta(minutes=30))])
+    world.ai([("ai", {"img": "a", "x": 2}, DAY - timedelta(minutes=30))])
+    together = Barrier(2)
+
+    def one(_):
+        together.wait()
+        try:
+            return run(world.spark, world.options, DAY)
+        except state.Held:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        got = list(pool.map(one, range(2)))
+    assert sum(x is not None for x in got) == 1 and results(world.spark, world.options).count() == 2
+
+
+def test_an_overtaken_run_is_never_seen(world, monkeypatch):
+    """A driver that stood still past its lease: another one takes the window over, and readers see its rows alone."""
+    world.human([("submit", {"img": "a", "x": 1}, "c", DAY - timedelta(minutes=30))])
+    world.ai([("ai", {"img": "a", "x": 2}, DAY - timedelta(minutes=30))])
+    append, seen = state.append_run, []
+
+    def slow(df, folder, name, day):
+        wrote = append(df, folder, name, day)
+        if folder == world.options.results and not seen:
+            monkeypatch.setattr(state, "append_run", append)
+            seen.append(results(world.spark, world.options).count())  # between the write and the commit
+            seen.append(run(world.spark, world.options, DAY + timedelta(hours=1)))
+        return wrote
+
+    monkeypatch.setattr(state, "append_run", slow)
+    with pytest.raises(state.Fenced):
+        run(world.spark, world.options, DAY, lease_seconds=0.0)
+    assert seen[0] == 0 and seen[1].window.current_stop == DAY
+    rows = results(world.spark, world.options).collect()
+    assert len(rows) == 2 and {r.run for r in rows} == {seen[1].run}
+    assert len(state.vacuum(state.Checkpoint(world.spark, world.options.checkpoint), world.options.results, timedelta(0))) == 1
+    assert results(world.spark, world.options).count() == 2
 
 
 def test_encrypted_tables(spark, tmp_path):
@@ -189,4 +228,4 @@ def test_cases_of_one_image(world):
     assert {k: v for k, v in after.items() if k != "later"} == {k: v for k, v in signatures.items() if k != "later"} and after["later"] != signatures["later"]
     versions = {r.image_id: r.comparison_version for r in world.pending()}
     assert versions == {**{k: 1 for k in cases}, "later": 2}
-    assert {r.ai_iteration for r in world.spark.read.parquet(world.options.results).where("image_id = 'later'").collect()} == {1, 2}
+    assert {r.ai_iteration for r in results(world.spark, world.options).where("image_id = 'later'").collect()} == {1, 2}
