@@ -40,36 +40,62 @@ def with_mappings(rows: DataFrame, mappings: Sequence[tuple[str, str]], where: C
     return moved.withColumn("field", F.col("__new")).select(*rows.columns)
 
 
-def soft_keys(rows: DataFrame, array: str, parent: str) -> DataFrame:
-    """``rows`` plus new_key, the key of a soft array's item by both sides; null for all other rows.
+def _overlap(a: str, b: str) -> bool:
+    return a != b and (a.startswith(f"{b}.") or b.startswith(f"{a}."))
+
+
+def _apart(arrays: Mapping[str, str]) -> list[dict[str, str]]:
+    """Batches of arrays whose paths don't lie in each other, nor their parents' paths: one pass each."""
+    batches: list[dict[str, str]] = []
+    for array, parent in arrays.items():
+        fits = (b for b in batches if not any(_overlap(array, x) or _overlap(parent, y) for x, y in b.items()))
+        found = next(fits, None)
+        if found is None:
+            batches.append({array: parent})
+        else:
+            found[array] = parent
+    return batches
+
+
+def _first_under(paths: Sequence[str]) -> Column:
+    """The number of the path that a field lies under; null if there is none."""
+    return F.coalesce(*[F.when(under(F.col("field"), p), i) for i, p in enumerate(paths)], F.lit(None).cast("int"))
+
+
+def soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+    """``rows`` plus new_key, the key of a soft array's item by both sides; null for all other rows. ``arrays`` are the
+    arrays' paths with their parents', none of which lies in another.
 
     Within a parent, items whose key is on both sides pair up; the others pair by rank of their sorted keys, and what
     is left stands against XXX. A parent has to be there as a key of its own, on either side. Everything happens
-    within a pair, in one shuffle.
+    within a pair, in one shuffle, for all arrays at once.
     """
-    key = F.col("match_key")
-    item = F.coalesce(under(F.col("field"), array) & (F.instr("match_key", "-") > 0), F.lit(False))
-    role = lambda k, own: F.struct(k.alias("__key"), F.lit(own).alias("__own"))
-    above = F.regexp_replace(key, "-[^-]*$", "")
-    roles = F.when(F.col("__item"), F.array(role(above, False), role(key, True))).otherwise(F.array(role(key, True)))
-    met = rows.repartition("pair").withColumn("__item", item).withColumn("__role", F.explode(roles)).select("*", "__role.*").drop("__role")
+    key, parents = F.col("match_key"), list(dict.fromkeys(arrays.values()))
+    which = F.when(F.instr("match_key", "-") > 0, _first_under(list(arrays)))
+    of_array = F.get(F.array(*[F.lit(parents.index(p)) for p in arrays.values()]), F.col("__which"))
+    role = lambda k, own, parent: F.struct(k.alias("__key"), F.lit(own).alias("__own"), parent.alias("__parent"))
+    above, own = F.regexp_replace(key, "-[^-]*$", ""), role(key, True, _first_under(parents))
+    roles = F.when(F.col("__which").isNotNull(), F.array(role(above, False, of_array), own)).otherwise(F.array(own))
+    met = rows.repartition("pair").withColumn("__which", which).withColumn("__role", F.explode(roles)).select("*", "__role.*").drop("__role")
     # an item's row stands at its own key, where it may be another item's parent, and at its parent's, where it stays
-    is_parent = F.col("__own") & under(F.col("field"), parent) & F.col("__key").isNotNull()
-    met = met.withColumn("__found", F.max(F.coalesce(is_parent, F.lit(False))).over(Window.partitionBy("pair", "__key")))
-    met = met.where(F.col("__own") != F.col("__item")).withColumn("__child", F.col("__item") & F.col("__found"))
-    has = lambda side: F.max(F.col("__child") & (F.col("side") == side)).over(Window.partitionBy("pair", "match_key"))
+    is_parent = F.col("__own") & F.col("__parent").isNotNull() & F.col("__key").isNotNull()
+    met = met.withColumn("__found", F.max(is_parent).over(Window.partitionBy("pair", "__key", "__parent")))
+    met = met.where(F.col("__own") == F.col("__which").isNull()).withColumn("__child", F.col("__which").isNotNull() & F.col("__found"))
+    has = lambda side: F.max(F.col("__child") & (F.col("side") == side)).over(Window.partitionBy("pair", "match_key", "__which"))
     met = met.withColumn("__human", has("human")).withColumn("__ai", has("ai"))
-    kind = ["pair", "__key", "__child", "__human", "__ai"]
+    kind = ["pair", "__key", "__which", "__child", "__human", "__ai"]
     met = met.withColumn("__rank", F.dense_rank().over(Window.partitionBy(*kind).orderBy("match_key")))
-    slot = Window.partitionBy("pair", "__key", "__child", F.col("__human") & F.col("__ai"), "__rank")
+    slot = Window.partitionBy("pair", "__key", "__which", "__child", F.col("__human") & F.col("__ai"), "__rank")
     code = lambda side: F.coalesce(last_part(F.max(F.when(F.col("side") == side, key)).over(slot)), F.lit("XXX"))
     new = F.when(F.col("__child"), F.concat_ws("-", "__key", code("ai"), code("human")))
     return met.withColumn("new_key", new).select(*rows.columns, "new_key")
 
 
-def with_soft_keys(rows: DataFrame, array: str, parent: str) -> DataFrame:
-    """The rows with their new keys, in the array's own paths only."""
-    return soft_keys(rows, array, parent).withColumn("match_key", F.coalesce("new_key", "match_key")).select(*rows.columns)
+def with_soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+    """The rows with their new keys, in the arrays' own paths only; arrays that lie in others come in further passes."""
+    for batch in _apart(arrays):
+        rows = soft_keys(rows, batch).withColumn("match_key", F.coalesce("new_key", "match_key")).select(*rows.columns)
+    return rows
 
 
 def matched_fields(rows: DataFrame, segment_types: Mapping[str, str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,45 @@ def fan_out_safe(rows: DataFrame, dims: Sequence[str], key: str, measures: dict[
     return one.groupBy(*dims).agg(*[m.alias(name) for name, m in measures.items()])
 
 
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate over one row a ``key``: count, sum, average, min or max of ``column``."""
+
+    key: str
+    kind: str = "count"
+    column: str | None = None
+
+
+def symmetric_measures(rows: DataFrame, dims: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    """Measures of several primary keys of one star in one pass, each over the distinct values of its own key in a group.
+
+    Every row is expanded to one small row a key, with that key's columns only; a group's rows of one key meet once and
+    leave a single row, before the shuffle already, so neither fan-out nor a hot group reaches one task. A null key is no
+    row of its table and counts nowhere.
+    """
+    keys = list(dict.fromkeys(m.key for m in measures.values()))
+    columns = {k: list(dict.fromkeys(m.column for m in measures.values() if m.key == k and m.column)) for k in keys}
+    wanted = list(dict.fromkeys(c for cs in columns.values() for c in cs))
+    types = dict(rows.dtypes)
+    each = [
+        F.struct(F.lit(i).alias("which"), F.col(k).cast("string").alias("id"), *[(F.col(c) if c in columns[k] else F.lit(None).cast(types[c])).alias(f"v{j}") for j, c in enumerate(wanted)])
+        for i, k in enumerate(keys)
+    ]
+    names = [F.col(d).alias(f"d{i}") for i, d in enumerate(dims)]
+    own = [f"d{i}" for i in range(len(dims))]
+    expanded = rows.select(*names, F.inline(F.array(*each)))
+    # rows of a group without any key stay, so that the group is there
+    one = expanded.groupBy(*own, "which", "id").agg(*[F.min(f"v{j}").alias(f"v{j}") for j in range(len(wanted))] or [F.count(F.lit(1)).alias("n")])
+    functions = {"sum": F.sum, "average": F.avg, "min": F.min, "max": F.max}
+
+    def total(m: Measure) -> Column:
+        mine = (F.col("which") == keys.index(m.key)) & F.col("id").isNotNull()
+        return F.count_if(mine) if m.kind == "count" else functions[m.kind](F.when(mine, F.col(f"v{wanted.index(m.column)}")))
+
+    found = one.groupBy(*own).agg(*[total(m).alias(name) for name, m in measures.items()])
+    return found.withColumnsRenamed(dict(zip(own, dims, strict=True)))
+
+
 def processing_group(columns: Sequence[Column], patterns: Mapping[str, Sequence[str]], default: str = "Other") -> Column:
     """The group whose LIKE patterns fit a location, role or company text; which groups there are is configuration."""
     return first_label(columns, patterns, default)

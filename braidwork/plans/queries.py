@@ -352,7 +352,7 @@ def soft_match(spark, sf_dir):
     sides = [(side, F.concat_ws("-", line, (F.col(code) % 10).cast("string"))) for side, code in (("human", "l_partkey"), ("ai", "l_suppkey"))]
     values = [v for side, key in sides for v in (value(side, "lines.codes.code", key), value(side, "lines.line", line))]
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pair"), F.inline(F.array(*values)))
-    return compare.soft_keys(rows, "lines.codes", "lines").where("new_key is not null").select("pair", "side", "match_key", "new_key").distinct()
+    return compare.soft_keys(rows, {"lines.codes": "lines"}).where("new_key is not null").select("pair", "side", "match_key", "new_key").distinct()
 
 
 @query("""

@@ -32,8 +32,7 @@ def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: di
     fields = compare.both_sides(rows, "human_fields", "ai_fields")
     for s in segments:
         fields = compare.with_mappings(fields, s.field_mappings, (F.col("side") == "ai") & (F.col("pair.segment") == s.name))
-    for array, parent in soft_arrays.items():
-        fields = compare.with_soft_keys(fields, array, parent)
+    fields = compare.with_soft_keys(fields, soft_arrays)
     labels = {root: label for s in segments for root, label in s.segment_types}
     found = compare.matched_fields(fields, labels)
     canonical = rows.select("pair", F.col("case_id").alias("canonical_case_id"))
