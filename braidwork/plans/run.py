@@ -91,7 +91,7 @@ def _run(spark: SparkSession, options: Options, checkpoint: state.Checkpoint, he
     results = results_of(keep(routes.matched, "matched"), options.segments, options.array_keys, options.soft_arrays, window.current_stop)
     outputs = {}
     held.append(checkpoint.renew(held[-1]))
-    outputs["results"] = state.append_run(schemas.fitted(closed(results, "human_value", "ai_value"), schemas.RESULTS), options.results, run_id, "load_time")
+    outputs["results"] = state.append_run(schemas.fitted(closed(results, "human_value", "ai_value"), schemas.RESULTS), options.results, run_id, "load_time", ["image_id", "field_name"])
     stop = F.lit(window.current_stop).cast("timestamp")
     dead = closed(routes.case_aged, "payload").withColumn("reason", F.lit(f"No matching AI iteration within {options.age_limit_days} days"))
     dead_ai = closed(routes.ai_aged, "payload").withColumn("pending_type", F.lit("ai")).withColumn("reason", F.lit(f"No matching human payload within {options.age_limit_days} days"))

@@ -10,7 +10,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidwork.operators import reporting
+from braidwork.functions import payload as P
+from braidwork.functions.merging import Policy
+from braidwork.operators import attribution, reporting
 from braidwork.operators.reporting import Measure
 from braidwork.plans import run as runs
 from braidwork.plans import schemas
@@ -183,3 +185,72 @@ def aged_groups_stream(spark, sf_dir):
     aged = ageing.aged_groups(events.withColumn("side", F.when(F.col("event_type") == "view", "ai").otherwise("human")), "user_id", "side", "ts")
     aged.writeStream.format("parquet").option("path", f"{folder}/aged").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("key string, first_seen_at timestamp, n_ai long, n_human long").parquet(f"{folder}/aged").withColumn("first_seen_at", F.col("first_seen_at").cast("timestamp_ntz"))
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS pair, 'k' || l_linenumber AS k, l_partkey, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE 'c' || (l_suppkey % 2) END AS item_case FROM lineitem),
+o AS (SELECT pair, k, min(item_case) AS lo FROM l GROUP BY pair, k),
+a AS (SELECT pair, min(lo) AS alo, max(lo) AS ahi FROM o GROUP BY pair)
+SELECT o.pair, 'lines.part' AS field_name, k AS array_key, CASE WHEN lo IS NOT NULL THEN lo WHEN alo IS NULL THEN 'noted' WHEN alo = ahi THEN alo END AS case_id FROM o JOIN a USING (pair)
+UNION ALL SELECT o_orderkey, 'a.b', NULL, CASE WHEN o_orderkey % 2 = 0 THEN 'inner' ELSE 'outer' END FROM orders UNION ALL SELECT o_orderkey, 'plain', NULL, 'main' FROM orders""")
+def attributed_cases(spark, sf_dir):
+    """A field's case: an item's own; of an item that only the AI has, its array's if that is of one case (none if of
+    several); else the nearest note, else the pair's."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    case = F.when(F.col("l_linenumber") % 4 != 0, F.concat(F.lit("c"), (F.col("l_suppkey") % 2).cast("string")))
+    items = lines.groupBy(F.col("l_orderkey").alias("pair"), F.concat(F.lit("k"), F.col("l_linenumber").cast("string")).alias("array_key")).agg(F.min(case).alias("human_case"), F.min("l_partkey").cast("string").alias("ai_value"))
+    items = items.select("pair", F.lit("lines.part").alias("field_name"), "array_key", F.when(F.col("human_case").isNotNull(), F.col("ai_value")).alias("human_value"), "ai_value", "human_case")
+    plain = orders.select(F.col("o_orderkey").alias("pair"), F.explode(F.array(F.lit("a.b"), F.lit("plain"))).alias("field_name"), F.lit(None).cast("string").alias("array_key"), F.lit("x").alias("human_value"), F.lit("x").alias("ai_value"), F.lit(None).cast("string").alias("human_case"))
+    even = F.col("o_orderkey") % 2 == 0
+    notes = orders.select(F.col("o_orderkey").alias("pair"), F.inline(F.array(F.struct(F.lit("a").alias("path"), F.lit("outer").alias("case_id")), F.struct(F.when(even, "a.b").otherwise("other").alias("path"), F.lit("inner").alias("case_id")), F.struct(F.lit("lines").alias("path"), F.lit("noted").alias("case_id")))))
+    found = attribution.with_case(items.unionByName(plain), notes, orders.select(F.col("o_orderkey").alias("pair"), F.lit("main").alias("canonical_case_id")))
+    return found.select("pair", "field_name", "array_key", "case_id")
+
+
+@query("""
+SELECT o_orderkey AS pair, path, case_id FROM orders, (VALUES ('status', 'A'), ('extra.deep', 'A'), ('priority', 'B'), ('extra.more', 'B')) n(path, case_id) WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, path, 'A' FROM orders, (VALUES ('status'), ('priority'), ('extra'), ('extra.deep')) n(path) WHERE o_orderkey % 3 <> 0""")
+def noted_cases(spark, sf_dir):
+    """The case of every field, from the notes that payloads carry through a merge: a later case takes the field that
+    both have and adds its own."""
+    orders = table(spark, sf_dir, "orders")
+    first = F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.struct(F.lit(1).alias("deep")).alias("extra")))
+    second = F.to_json(F.struct(F.lit("changed").alias("priority"), F.struct(F.lit(2).alias("more")).alias("extra")))
+    version = lambda payload, case, at: F.struct(payload.alias("payload"), F.lit(case).alias("case_id"), F.lit(at).alias("at"))
+    versions = F.when(F.col("o_orderkey") % 3 == 0, F.array(version(first, "A", "1"), version(second, "B", "2"))).otherwise(F.array(version(first, "A", "1")))
+    rows = orders.select(F.col("o_orderkey").alias("pair"), F.lit("main").alias("segment"), F.inline(versions))
+    rows = rows.withColumn("payload", P.stamped(F.col("payload"), F.col("case_id"), {"main": Policy()}, F.col("segment")))
+    merged = P.folded(rows, ["pair"], ["at"], {"main": Policy()})
+    return merged.select("pair", F.inline(P.cases_taken(F.col("payload")).getField("notes")))
+
+
+@query("""
+WITH i AS (SELECT o_orderkey::VARCHAR AS file_name, o_orderdate AS load_date FROM orders WHERE o_orderkey % 5 <> 0),
+ev AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_orderkey, l_linenumber, l_suppkey % 3 AS u, l_shipdate AS end_at FROM lineitem WHERE l_linenumber <> 2),
+h AS (SELECT o_orderkey, n AS u, o_orderdate + to_days(3 * n) AS seen FROM orders, (VALUES (0), (1), (2)) t(n)),
+t AS (SELECT ev.*, (SELECT max(seen) FROM h WHERE h.o_orderkey = ev.l_orderkey AND h.u = ev.u AND h.seen < ev.end_at) AS assigned FROM ev)
+SELECT file_name, id AS event_id, (epoch(end_at) - epoch(assigned))::BIGINT AS processing_seconds, CASE u WHEN 0 THEN 'North' WHEN 1 THEN 'South' ELSE 'Other' END AS processing_group, 'U ' || u AS user_name
+FROM t JOIN i ON i.file_name = t.l_orderkey::VARCHAR WHERE assigned IS NOT NULL AND l_orderkey % 7 <> 0""")
+def processed_cases(spark, sf_dir):
+    """The case-processing report over the orders as images, each a case of its own, and their lines as events."""
+    orders, lines, text = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), lambda c: F.col(c).cast("string")
+    key, own = text("o_orderkey"), F.concat(F.lit("case"), F.col("o_orderkey").cast("string"))
+    loads = F.explode(F.array(F.col("o_orderdate"), F.col("o_orderdate") - F.expr("INTERVAL 1 DAY")))
+    images = orders.select(key.alias("file_name"), loads.alias("load_date"))
+    outcomes = orders.where("o_orderkey % 5 <> 0").select(key.alias("file_name"), F.lit("done").alias("final_action"))
+    attached = orders.select(key.alias("name"), own.alias("case_id"))
+    cases = orders.select(own.alias("id"), F.when(F.col("o_orderkey") % 7 == 0, "parent").alias("parent_id"))
+    events = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.concat(F.lit("case"), text("l_orderkey")).alias("what_id"), (F.col("l_suppkey") % 3).cast("string").alias("owner_id"),
+        F.when(F.col("l_linenumber") != 2, text("l_partkey")).alias("confirmation_number"), F.lit("Document Review").alias("event_category"), F.col("l_shipdate").cast("timestamp").alias("end_at"),
+    )
+    numbers = F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("u")
+    history = orders.select(own.alias("case_id"), "o_orderdate", numbers)
+    history = history.select("case_id", F.lit("Owner").alias("field"), text("u").alias("new_value"), F.date_format(F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(3 * F.col("u")), "yyyy-MM-dd'T'HH:mm:ss.SSS+0000").alias("created_date"))
+    none = F.lit(None).cast("string")
+    wings = F.create_map(*[F.lit(x) for x in ("0", "the north wing", "1", "the south wing")])
+    who = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 3).cast("string").alias("id")).distinct()
+    users = who.select("id", F.lit("r").alias("user_role_id"), F.lit("U").alias("first_name"), F.col("id").alias("last_name"), wings[F.col("id")].alias("location"), none.alias("company"), none.alias("department"), none.alias("division"))
+    roles = spark.createDataFrame([("r", "n", None, None)], "id string, name string, rollup string, developer_name string")
+    found = reporting.case_processing(images, outcomes, attached, cases, events, history, users, roles, {"North": ["%north%"], "South": ["%south%"]})
+    return found.select("file_name", "event_id", F.col("processing_seconds").cast("long"), "processing_group", "user_name")

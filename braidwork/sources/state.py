@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
@@ -173,12 +173,17 @@ def write_version(df: DataFrame, folder: str, version: str) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/v={version}")
 
 
-def append_run(df: DataFrame, folder: str, run: str, day_of: str) -> str:
+def append_run(df: DataFrame, folder: str, run: str, day_of: str, clustered_by: Sequence[str] = ()) -> str:
     """Write a run's rows by day into its own folder, whose name it returns; a commit makes them visible.
 
-    Nothing that may be visible is deleted: a run's name holds its claim's number, so another attempt has another folder.
+    With ``clustered_by`` each file holds a range of these columns, in their order, so that a reader's filter on them
+    skips files and row groups. Nothing that may be visible is deleted: a run's name holds its claim's number, so another
+    attempt has another folder.
     """
-    df.withColumn("run", F.lit(run)).withColumn("day", F.to_date(day_of)).write.mode("append").partitionBy("run", "day").parquet(folder)
+    rows = df.withColumn("run", F.lit(run)).withColumn("day", F.to_date(day_of))
+    if clustered_by:
+        rows = rows.repartitionByRange("day", *clustered_by).sortWithinPartitions("run", "day", *clustered_by)
+    rows.write.mode("append").partitionBy("run", "day").parquet(folder)
     return f"run={run}"
 
 
