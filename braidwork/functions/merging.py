@@ -57,6 +57,49 @@ def merge_all(versions: list[Version], policy: Policy) -> Version:
     return reduce(lambda x, y: merge(x, y, policy), versions)
 
 
+def shape_of(tree: dict, policy: Policy) -> dict[str, str] | None:
+    """The kind of value at each path that a merge looks at; None where an array has two items of one key.
+
+    Versions whose shapes agree on their common paths, and whose times rise strictly, merge associatively: at each leaf
+    and atomic object the last one counts, arrays without keys join in order, of keyed items the last one of a key (with
+    its priority field, if any has it), and what is noted for a field goes with its value. Where a path is an object in one
+    version and a leaf in another, where only some versions are noted, or where items of one key pair up by count, the
+    result depends on what is merged first.
+    """
+    found: dict[str, str] = {}
+
+    def walk(node: dict, path: str) -> bool:
+        notes = _notes(node)
+        for name, child in node.items():
+            if name == CASE_BY_FIELD:
+                continue
+            at = f"{path}.{name}" if path else name
+            noted = "noted" if name in notes else "bare"
+            if at in policy.arrays and isinstance(child, list):
+                kind, spec = "array", policy.item_keys.get(at)
+                if spec is not None and len({match_key(x, spec) for x in child}) < len(child):
+                    return False
+            elif at in policy.atomic and isinstance(child, dict):
+                kind = f"atomic {noted}"
+            elif isinstance(child, dict):
+                kind = "object"
+                if not walk(child, at):
+                    return False
+            else:
+                kind = f"leaf {noted}"
+            if found.setdefault(at, kind) != kind:
+                return False
+        return True
+
+    return found if walk(tree, "") else None
+
+
+def joint_shape(a: dict[str, str] | None, b: dict[str, str] | None) -> dict[str, str] | None:
+    if a is None or b is None or any(b.get(path, kind) != kind for path, kind in a.items()):
+        return None
+    return a | b
+
+
 def _notes(node: dict) -> dict:
     found = node.get(CASE_BY_FIELD)
     return found if isinstance(found, dict) else {}

@@ -6,15 +6,19 @@ here, once a stage, in Arrow batches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from braidwork.sources.ledger import shared_folder
 
 from . import jsontree as jt
-from .merging import Policy, Version, join_parts, merge, tag_proofs
+from .merging import Policy, Version, join_parts, joint_shape, merge, shape_of, tag_proofs
 
 FIELDS = "array<struct<field:string,match_key:string,place:int,value:string,case_id:string>>"
 _FIELD = pa.struct([("field", pa.string()), ("match_key", pa.string()), ("place", pa.int32()), ("value", pa.string()), ("case_id", pa.string())])
@@ -116,10 +120,142 @@ def cases_taken(payload: Column) -> Column:
     return run(payload)
 
 
-def folded(rows: DataFrame, keys: Sequence[str], order: Sequence[str], policies: Mapping[str, Policy], keep: Sequence[str] = ()) -> DataFrame:
+def folded(rows: DataFrame, keys: Sequence[str], order: Sequence[str], policies: Mapping[str, Policy], keep: Sequence[str] = (), hot_rows: int = 100_000, ranges: int | None = None) -> DataFrame:
     """rows(keys, keep, segment, payload, at) -> keys, keep (of a key's first row), payload, at: each key's payloads
     merged in ``order``; one that is no object counts only if there is no other, and then the latest.
 
+    Keys of more than ``hot_rows`` rows are cut into consecutive ranges of their order, which are merged side by side, and
+    then the ranges' results in order, one record each. That gives what a merge row by row gives where ``merging.shape_of``
+    says so; a hot key that is not of that kind is merged row by row after all.
+    """
+    spark, columns = rows.sparkSession, [*keys, *keep]
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows).drop("__n")
+    if hot.isEmpty():
+        return _folded_in_order(rows, keys, order, policies, keep)
+    folder = shared_folder(spark)
+    hot.write.parquet(f"{folder}/hot")
+    hot = spark.read.schema(hot.schema).parquet(f"{folder}/hot")
+
+    def these(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        own = some.toDF(*[f"__k{i}" for i in range(len(keys))])
+        return df.join(own, [df[k].eqNullSafe(own[f"__k{i}"]) for i, k in enumerate(keys)], how)
+
+    needed = list(dict.fromkeys([*columns, *order, "segment", "payload", "at"]))
+    many = these(rows.select(needed), hot, "left_semi")
+    many.write.parquet(f"{folder}/rows")
+    many = spark.read.schema(many.schema).parquet(f"{folder}/rows")
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ready = many.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order).select(*columns, F.col("segment").alias("__segment"), "payload", "at")
+    _partial(ready, len(keys), policies).write.parquet(f"{folder}/ranges")
+    partials = spark.read.schema(_partial_schema(ready)).parquet(f"{folder}/ranges")
+    _joined(partials, keys, keep, policies).write.parquet(f"{folder}/joined")
+    joined = spark.read.schema(_joined(partials, keys, keep, policies).schema).parquet(f"{folder}/joined")
+    rest = these(many, joined.where("not __regular").select(*keys), "left_semi")
+    out = _folded_in_order(these(rows, hot, "left_anti"), keys, order, policies, keep)
+    out = out.unionByName(joined.where("__regular").drop("__regular"))
+    return out if joined.where("not __regular").isEmpty() else out.unionByName(_folded_in_order(rest, keys, order, policies, keep))
+
+
+def _partial_schema(ready: DataFrame) -> StructType:
+    own = StructType([f for f in ready.schema.fields if f.name not in ("payload", "at")])
+    more = "payload string, at string, __part int, __first string, __last string, __rows long, __best string, __best_at string, __shape string"
+    return StructType([*own.fields, *StructType.fromDDL(more).fields])
+
+
+class _Range:
+    """The merge of consecutive rows of one key, as far as it has come."""
+
+    def __init__(self, policy: Policy):
+        self.policy, self.rows, self.version, self.best = policy, 0, None, (None, None)
+        self.first = self.last = None
+        self.shape: dict[str, str] | None = {}
+
+    def add(self, version: Version | None, rows: int, best: tuple, first: str | None, last: str | None, shape: dict[str, str] | None) -> None:
+        if not self.rows or (best[1] or "") > (self.best[1] or ""):
+            self.best = best
+        self.rows += rows
+        if version is None:
+            return
+        rises = self.version is None or (first is not None and self.last is not None and first > self.last)
+        self.shape = joint_shape(self.shape, shape) if rises and last is not None else None
+        self.version = version if self.version is None else merge(self.version, version, self.policy)
+        self.first, self.last = (first if self.first is None else self.first), last
+
+    def record(self) -> tuple[str | None, str | None]:
+        """The key's payload and time: a single row's own text, else the merged one."""
+        return (jt.dump(self.version.tree), self.version.at) if self.version is not None and self.rows > 1 else self.best
+
+
+def _in_batches(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
+def _partial(ready: DataFrame, n: int, policies: Mapping[str, Policy]) -> DataFrame:
+    """A record per key and partition; times of rows that are objects, and their shape, null where a merge is not associative."""
+    result = _partial_schema(ready)
+    schema = to_arrow_schema(result)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, key, head, range_, out = TaskContext.get().partitionId(), None, None, None, []
+
+        def closed() -> tuple:
+            tree = None if range_.version is None else jt.dump(range_.version.tree)
+            at = None if range_.version is None else range_.version.at
+            return (*head, tree, at, part, range_.first, range_.last, range_.rows, *range_.best, None if range_.shape is None else json.dumps(range_.shape))
+
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                name, text, at = row[-3:]
+                if range_ is None or row[:n] != key:
+                    if range_ is not None:
+                        out.append(closed())
+                    key, head, range_ = row[:n], row[:-2], _Range(policies.get(name, Policy()))
+                tree = jt.try_object(text)
+                range_.add(None if tree is None else Version(tree, at), 1, (text, at), at, at, None if tree is None else shape_of(tree, range_.policy))
+            if len(out) >= 1000:
+                yield _in_batches(out, schema)
+                out = []
+        if range_ is not None:
+            out.append(closed())
+        if out:
+            yield _in_batches(out, schema)
+
+    return ready.mapInArrow(run, result)
+
+
+def _joined(partials: DataFrame, keys: Sequence[str], keep: Sequence[str], policies: Mapping[str, Policy]) -> DataFrame:
+    """Ranges of a key merged in their order: at most one a partition, so a task holds few records."""
+    columns, n = [*keys, *keep], len(keys)
+    result = StructType([*partials.select(*columns).schema.fields, *StructType.fromDDL("payload string, at string, __regular boolean").fields])
+    schema = to_arrow_schema(result)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, head, range_, out = None, None, None, []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                name, tree, at, _, first, last, rows, best, best_at, shape = row[len(columns) :]
+                if range_ is None or row[:n] != key:
+                    if range_ is not None:
+                        out.append((*head, *range_.record(), range_.shape is not None))
+                    key, head, range_ = row[:n], row[: len(columns)], _Range(policies.get(name, Policy()))
+                version = None if tree is None else Version(jt.parse(tree), at)
+                range_.add(version, rows, (best, best_at), first, last, None if shape is None else json.loads(shape))
+            if len(out) >= 1000:
+                yield _in_batches(out, schema)
+                out = []
+        if range_ is not None:
+            out.append((*head, *range_.record(), range_.shape is not None))
+        if out:
+            yield _in_batches(out, schema)
+
+    return partials.repartition(*keys).sortWithinPartitions(*keys, "__part").mapInArrow(run, result)
+
+
+def _folded_in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str], policies: Mapping[str, Policy], keep: Sequence[str]) -> DataFrame:
+    """``folded`` row by row.
+
     A key's rows pass one after the other in a sorted partition, so a task holds one merged record, however many rows a
     key has.
     """

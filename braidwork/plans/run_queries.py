@@ -254,3 +254,17 @@ def processed_cases(spark, sf_dir):
     roles = spark.createDataFrame([("r", "n", None, None)], "id string, name string, rollup string, developer_name string")
     found = reporting.case_processing(images, outcomes, attached, cases, events, history, users, roles, {"North": ["%north%"], "South": ["%south%"]})
     return found.select("file_name", "event_id", F.col("processing_seconds").cast("long"), "processing_group", "user_name")
+
+
+@query("""
+WITH l AS (SELECT DISTINCT l_returnflag AS flag, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem),
+v AS (SELECT flag, 'f' || (l_partkey % 20) AS field, l_suppkey::VARCHAR AS value, lpad(l_orderkey::VARCHAR, 12, '0') || '-' || lpad(l_linenumber::VARCHAR, 4, '0') || '-' || lpad(l_partkey::VARCHAR, 9, '0') || '-' || lpad(l_suppkey::VARCHAR, 9, '0') AS at_ FROM l)
+SELECT flag, field, arg_max(value, at_) AS value FROM v GROUP BY flag, field""")
+def merge_hot_keys(spark, sf_dir):
+    """All lines' payloads merged into one record a flag: a third of all rows and more to a key, merged by ranges."""
+    part = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
+    field = F.to_json(F.create_map(F.concat(F.lit("f"), (F.col("l_partkey") % 20).cast("string")), F.col("l_suppkey")))
+    rows = lines.select("flag", F.lit("main").alias("segment"), field.alias("payload"), F.concat_ws("-", part("l_orderkey", 12), part("l_linenumber", 4), part("l_partkey", 9), part("l_suppkey", 9)).alias("at"))
+    merged = P.folded(rows, ["flag"], ["at"], {"main": Policy()}, hot_rows=500)
+    return merged.select("flag", F.inline(P.flattened(F.col("payload"), {}))).select("flag", "field", "value")
