@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from braidwork.functions import payload as P
 from braidwork.functions.times import as_timestamp
 from braidwork.operators.relational import first_of_each
+from braidwork.sources.scans import qualified
 
 DATE_NAME = r"date|time|_at$|_dt$|_ts$"
 _DATED = ("timestamp", "timestamp_ntz", "date")
@@ -83,7 +84,7 @@ def audit(spark: SparkSession, plan: DataFrame, cutoff: Column) -> tuple[DataFra
     found, errors, failed = [], [], []
     for row in audit_batches(plan).collect():
         try:
-            parts = [ages(spark.table(t.table_name), t.table_name, t.names, cutoff).select(F.lit(t.dataset).alias("dataset"), "*") for t in row.tables]
+            parts = [ages(spark.table(qualified(spark, t.dataset, t.table_name)), t.table_name, t.names, cutoff).select(F.lit(t.dataset).alias("dataset"), "*") for t in row.tables]
             found += reduce(lambda a, b: a.unionByName(b), parts).collect()
         except Exception as problem:  # whatever a table's files raise
             errors.append((row.batch_no, row.tables_in_batch, str(problem)[:200]))

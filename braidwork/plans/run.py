@@ -89,6 +89,7 @@ def _run(spark: SparkSession, options: Options, checkpoint: state.Checkpoint, he
     held.append(checkpoint.renew(held[-1]))
     routes = pairing.pair(keep(fresh, "fresh"), pending, pool, options.segments, window.current_stop, options.age_limit_days, keep)
     results = results_of(keep(routes.matched, "matched"), options.segments, options.array_keys, options.soft_arrays, window.current_stop)
+    results = keep(results, "results")  # the clustered write reads its rows twice, once for the borders of its ranges
     outputs = {}
     held.append(checkpoint.renew(held[-1]))
     outputs["results"] = state.append_run(schemas.fitted(closed(results, "human_value", "ai_value"), schemas.RESULTS), options.results, run_id, "load_time", ["image_id", "field_name"])

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from braidwork.functions import payload as P
 from braidwork.functions.merging import Policy
-from braidwork.operators import attribution, reporting
+from braidwork.operators import attribution, audit, reporting
 from braidwork.operators.reporting import Measure
 from braidwork.plans import run as runs
 from braidwork.plans import schemas
 from braidwork.plans.config import Options, Segment
 from braidwork.plans.migrations import Database, migrations
 from braidwork.plans.queries import query, table
-from braidwork.sources import state
+from braidwork.sources import scans, state
 from braidwork.sources.clustered import ClusteredTable
 from braidwork.sources.ledger import shared_folder
 from braidwork.streaming import ageing
@@ -268,3 +268,18 @@ def merge_hot_keys(spark, sf_dir):
     rows = lines.select("flag", F.lit("main").alias("segment"), field.alias("payload"), F.concat_ws("-", part("l_orderkey", 12), part("l_linenumber", 4), part("l_partkey", 9), part("l_suppkey", 9)).alias("at"))
     merged = P.folded(rows, ["flag"], ["at"], {"main": Policy()}, hot_rows=500)
     return merged.select("flag", F.inline(P.flattened(F.col("payload"), {}))).select("flag", "field", "value")
+
+
+@query("""
+SELECT 'orders' AS table_name, count(*) AS total_rows, true AS has_bytes, NULL::VARCHAR AS reason FROM orders
+UNION ALL SELECT 'labels', count(*), true, 'no date-like column' FROM labels""")
+def planned_by_storage(spark, sf_dir):
+    """An audit plan by the sizes that the stored files themselves have."""
+    folder, names = shared_folder(spark), ("orders", "labels")
+    for name in names:
+        table(spark, sf_dir, name).write.parquet(f"{folder}/{name}")
+        spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(f"sized_{name}")
+    tables, columns = scans.tables_of(spark, {"main": [f"sized_{n}" for n in names]})
+    storage = scans.storage_of(spark, {("main", f"sized_{n}"): f"{folder}/{n}" for n in names})
+    plan = audit.audit_plan(tables.withColumn("table_type", F.lit("BASE TABLE")), columns, storage, 0.0, 1000.0, 50)
+    return plan.select(F.substring("table_name", 7, 99).alias("table_name"), "total_rows", (F.col("table_gb") > 0).alias("has_bytes"), "reason")

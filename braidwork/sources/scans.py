@@ -30,12 +30,18 @@ def dataset_options(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "database string, location string, table_name string, table_type string, is_temporary boolean")
 
 
+def qualified(spark: SparkSession, dataset: str, table: str) -> str:
+    """The name by which the session finds a dataset's table: below its database, or a view of the session itself."""
+    own = f"`{dataset}`.`{table}`"
+    return own if spark.catalog.databaseExists(dataset) and spark.catalog.tableExists(own) else table
+
+
 def tables_of(spark: SparkSession, tables: dict[str, list[str]]) -> tuple[DataFrame, DataFrame]:
     """Of tables or views by dataset: (dataset, table_name, table_type) and (dataset, table_name, column_name, data_type,
     position)."""
-    kind = lambda t: "VIEW" if spark.catalog.getTable(t).tableType in ("VIEW", "TEMPORARY") else "BASE TABLE"
-    names = [(d, t, kind(t)) for d, all_ in tables.items() for t in all_]
-    columns = [(d, t, f.name, f.dataType.simpleString(), i) for d, all_ in tables.items() for t in all_ for i, f in enumerate(spark.table(t).schema.fields)]
+    kind = lambda d, t: "VIEW" if spark.catalog.getTable(qualified(spark, d, t)).tableType in ("VIEW", "TEMPORARY") else "BASE TABLE"
+    names = [(d, t, kind(d, t)) for d, all_ in tables.items() for t in all_]
+    columns = [(d, t, f.name, f.dataType.simpleString(), i) for d, all_ in tables.items() for t in all_ for i, f in enumerate(spark.table(qualified(spark, d, t)).schema.fields)]
     return (
         spark.createDataFrame(names, "dataset string, table_name string, table_type string"),
         spark.createDataFrame(columns, "dataset string, table_name string, column_name string, data_type string, position int"),

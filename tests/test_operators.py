@@ -152,6 +152,23 @@ def test_a_table_that_fails_when_read_ends_no_other_batch(spark, tmp_path):
     assert [(r.table_name, r.reason) for r in unchecked.collect()] == [("audit_bad", "batch failed")]
 
 
+def test_tables_of_one_name(spark, tmp_path):
+    """Two datasets with a table of one name are read apart."""
+    try:
+        for name, n in (("aud_one", 2), ("aud_two", 5)):
+            spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+            spark.range(n).select(F.lit("2020-01-01T00:00:00Z").alias("created_at")).write.saveAsTable(f"{name}.same", path=f"{tmp_path}/{name}/same")
+        tables, columns = scans.tables_of(spark, {"aud_one": ["same"], "aud_two": ["same"]})
+        storage = scans.storage_of(spark, {(d, "same"): f"{tmp_path}/{d}/same" for d in ("aud_one", "aud_two")})
+        found, unchecked, errors = audit.audit(spark, audit.audit_plan(tables, columns, storage, 0.0, 1.0, 1), F.lit(D))
+        assert {r.dataset: r.n_dated for r in found.collect()} == {"aud_one": 2, "aud_two": 5} and unchecked.isEmpty() and errors.isEmpty()
+        listed = {(r.database, r.table_name): r.location for r in scans.dataset_options(spark).collect()}
+        assert listed["aud_one", "same"].endswith("/aud_one") and ("aud_two", "same") in listed
+    finally:
+        for name in ("aud_one", "aud_two"):
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def test_listed_documents(spark):
     body = '{"documents": [{"name": "a/x/b/1", "createTime": "2020-01-01T00:00:00Z", "updateTime": "2021-01-01T00:00:00Z"}, {"name": "a/x/b/2"}], "nextPageToken": "t2"}'
     pages = spark.createDataFrame([("", body), ("t3", '{"documents": [], "nextPageToken": ""}'), ("t4", "{}")], "page_token string, body string")
