@@ -172,9 +172,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, file_ids
         if parts:
             yield file()
 
-    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    parts = shuffle_parts(docs.sparkSession)
-    ordered = own.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.crc32("text"))
+    # the number splits what has one id, and one text too, over several ranges
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("n"))
+    order = ["doc_id", F.crc32("text"), "n"]
+    ordered = own.repartitionByRange(shuffle_parts(docs.sparkSession), *order).sortWithinPartitions(*order).drop("n")
     return stored(ordered.mapInArrow(encode, FILES), "token-files")
 
 

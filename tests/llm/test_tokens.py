@@ -95,3 +95,20 @@ def test_token_files(docs, rows, tokenizer, empty):
     assert files.count() > 5
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(empty, PATH)).count() == 0
     assert packing.packed_documents(empty, PATH).count() == 0
+
+
+def test_ids_of_many_rows_lie_in_several_files(spark, tokenizer):
+    """A third of the rows has no id, another third is one row again and again: no range holds them all, and starts run on."""
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, "the same row")] * 300 + [(100 + i, f"other {i}") for i in range(300)]
+    files = tokenfiles.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), PATH)
+    sizes = [sum(len(r.doc_ids) for r in files.collect() if r.part == p) for p in {r.part for r in files.collect()}]
+    assert sum(sizes) == 900 and len(sizes) == 4 and max(sizes) < 420
+    got = sorted(map(tuple, tokenfiles.read_token_files(files).collect()), key=lambda r: r[1])
+    at = 0
+    for _, start, n, _ in got:
+        assert start == at
+        at += n
+    order = [r[0] for r in got]
+    assert order == sorted(order, key=lambda x: (x is not None, x or 0))
+    want = Counter((i, len(ids_of(tokenizer, t)) + 1, zlib.crc32(np.array([*ids_of(tokenizer, t), 0], "<u4").tobytes())) for i, t in rows)
+    assert Counter((r[0], r[2], r[3]) for r in got) == want
