@@ -35,15 +35,16 @@ def flattened(payload: Column, keys: Mapping[str, str]) -> Column:
 
     @F.arrow_udf(FIELDS)
     def run(texts: pa.Array) -> pa.Array:
-        found, ends = [], []
+        columns: tuple[list, ...] = ([], [], [], [], [])
+        ends = []
         for text in texts.to_pylist():
             try:
                 if text is not None and text.strip():
-                    found += jt.flatten(jt.parse(text), keys)
+                    jt.flatten_into(columns, jt.parse(text), keys)
             except ValueError:
                 pass
-            ends.append(len(found))
-        return _lists(ends, [list(c) for c in zip(*found, strict=True)] or [[]] * len(_FIELD), _FIELD)
+            ends.append(len(columns[0]))
+        return _lists(ends, list(columns), _FIELD)
 
     return run(payload)
 
