@@ -90,14 +90,15 @@ def plain_grams(w, n):
     return [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
 
 
-def judge(model, line):
+def judge(model, weights, line):
     """Family and confirmed families of a line, from the model's weights alone."""
     w = plain_words(line)
     if not set(w) & set(model.content):
         return "none", []
+    vocabulary, matrix, intercept = weights
     has = {g for n in (1, 2, 3) for g in plain_grams(w, n)}
-    x = np.array([v in has for v in model.vectors.vocabulary], float)
-    z = model.model.coefficientMatrix.toArray() @ x + model.model.interceptVector.toArray()
+    x = np.array([v in has for v in vocabulary], float)
+    z = matrix @ x + intercept
     p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
     family = model.families[int(p.argmax())]
     sure = []
@@ -118,8 +119,9 @@ def test_scan_equals_brute_force(spark, model):
     rows = [(i, "\n".join(["plain words stand here", *(r.text for r in labelled[i : i + 9])])) for i in range(0, len(labelled), 9)]
     rows += [(i, t) for i, t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60).collect()]
     want = Counter()
+    weights = model.vectors.vocabulary, model.model.coefficientMatrix.toArray(), model.model.interceptVector.toArray()
     for i, text in rows:
-        found = [judge(model, x) for x in (text or "").split("\n") if x.strip(" ")]
+        found = [judge(model, weights, x) for x in (text or "").split("\n") if x.strip(" ")]
         families = sorted({f for _, sure in found for f in sure})
         unknown = sum(family != "none" and not sure for family, sure in found)
         verdict = families[0] if len(families) == 1 else "several" if families else "unknown" if unknown else "none"
