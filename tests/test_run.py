@@ -152,8 +152,8 @@ def test_an_overtaken_run_is_never_seen(world, monkeypatch):
     world.ai([("ai", {"img": "a", "x": 2}, DAY - timedelta(minutes=30))])
     append, seen = state.append_run, []
 
-    def slow(df, folder, name, day):
-        wrote = append(df, folder, name, day)
+    def slow(df, folder, name, day, *more):
+        wrote = append(df, folder, name, day, *more)
         if folder == world.options.results and not seen:
             monkeypatch.setattr(state, "append_run", append)
             seen.append(results(world.spark, world.options).count())  # between the write and the commit
@@ -229,3 +229,21 @@ def test_cases_of_one_image(world):
     versions = {r.image_id: r.comparison_version for r in world.pending()}
     assert versions == {**{k: 1 for k in cases}, "later": 2}
     assert {r.ai_iteration for r in results(world.spark, world.options).where("image_id = 'later'").collect()} == {1, 2}
+
+
+def test_arrivals_trigger_runs(world):
+    """What has arrived on either side since the last call is taken in one run; without arrivals there is none."""
+    from braidwork.streaming.micro import run_available
+
+    world.human([("submit", {"img": f"i{n}", "x": n}, "c", DAY - timedelta(minutes=30)) for n in range(30)])
+    world.ai([("ai", {"img": f"i{n}", "x": n % 7}, DAY - timedelta(minutes=20)) for n in range(30)])
+    steps = iter(range(9))
+    call = lambda: run_available(world.spark, world.options, f"{world.root}/log", lambda: DAY + timedelta(hours=next(steps))).awaitTermination(240)
+    assert call() and results(world.spark, world.options).count() == 60
+    commits = len(state.Checkpoint(world.spark, world.options.checkpoint).commits())
+    assert commits >= 1 and call() and len(state.Checkpoint(world.spark, world.options.checkpoint).commits()) == commits
+    # each file of the results holds a range of images, in order
+    rows = results(world.spark, world.options).select("image_id", "field_name", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).orderBy("file", "at").collect()
+    for file in {r.file for r in rows}:
+        own = [(r.image_id, r.field_name) for r in rows if r.file == file]
+        assert own == sorted(own)
