@@ -18,16 +18,10 @@ from pyspark.sql.types import StructType
 from braidwork.sources.ledger import shared_folder
 
 from . import jsontree as jt
+from .jsonscan import flatten_texts, lists_of
 from .merging import Policy, Version, join_parts, joint_shape, merge, shape_of, tag_proofs
 
 FIELDS = "array<struct<field:string,match_key:string,place:int,value:string,case_id:string>>"
-_FIELD = pa.struct([("field", pa.string()), ("match_key", pa.string()), ("place", pa.int32()), ("value", pa.string()), ("case_id", pa.string())])
-
-
-def _lists(ends: list[int], columns: list[list], kind: pa.StructType) -> pa.Array:
-    """Arrow lists of structs from the structs' columns and where each list ends."""
-    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
-    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
 
 
 def flattened(payload: Column, keys: Mapping[str, str]) -> Column:
@@ -35,16 +29,7 @@ def flattened(payload: Column, keys: Mapping[str, str]) -> Column:
 
     @F.arrow_udf(FIELDS)
     def run(texts: pa.Array) -> pa.Array:
-        columns: tuple[list, ...] = ([], [], [], [], [])
-        ends = []
-        for text in texts.to_pylist():
-            try:
-                if text is not None and text.strip():
-                    jt.flatten_into(columns, jt.parse(text), keys)
-            except ValueError:
-                pass
-            ends.append(len(columns[0]))
-        return _lists(ends, list(columns), _FIELD)
+        return flatten_texts(texts, keys)
 
     return run(payload)
 
@@ -116,7 +101,7 @@ def cases_taken(payload: Column) -> Column:
                 cases += notes.values()
             payloads.append(text)
             ends.append(len(paths))
-        return pa.StructArray.from_arrays([pa.array(payloads, pa.string()), _lists(ends, [paths, cases], note)], names=["payload", "notes"])
+        return pa.StructArray.from_arrays([pa.array(payloads, pa.string()), lists_of(ends, [paths, cases], note)], names=["payload", "notes"])
 
     return run(payload)
 
