@@ -20,7 +20,7 @@ from . import jsontree as jt
 FIELD = pa.struct([("field", pa.string()), ("match_key", pa.string()), ("place", pa.int32()), ("value", pa.string()), ("case_id", pa.string())])
 
 #: Bytes of texts that are indexed together, and the depth beyond which a text is left to the tree.
-PIECE, MOST_DEPTH = 1 << 20, 40
+PIECE, MOST_DEPTH = 1 << 18, 40
 
 _SPACE, _OBJECT, _ARRAY, _END_OBJECT, _END_ARRAY, _COLON, _COMMA, _TEXT, _SCALAR, _NOTHING = range(10)
 _KINDS = np.full(256, _SCALAR, np.uint8)
@@ -223,20 +223,24 @@ class _Index:
         place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where((at >= 0) & (self.kind[at] == _OBJECT) & (self.codes[place] == code), self.coded[place], -1)
 
-    def match_keys(self, items: np.ndarray, spec: str) -> list[str]:
-        """``jsontree.match_key`` of each item."""
+    def match_keys(self, items: np.ndarray, spec: str) -> pa.StringArray:
+        """``jsontree.match_key`` of each item; what Python does to a text, it does once for equal ones."""
         parts = []
         for path in jt.key_paths(spec):
             at = items
             for name in path:
                 at = self._child(self._first_of(at), name)
             at = self._first_of(at)
-            there = np.flatnonzero((at >= 0) & ~self.is_null[at])
-            part = ["null"] * len(items)
-            for i, container, text in zip(there, self.kind[at[there]] <= _ARRAY, self.cut(at[there]).to_pylist(), strict=True):
-                part[i] = text if container else jt.without_space(text)
-            parts.append(part)
-        return ["-".join(x).lower() for x in zip(*parts, strict=True)]
+            there = (at >= 0) & ~self.is_null[at]
+            found = at[there]
+            container = self.kind[found] <= _ARRAY
+            coded = pc.if_else(pa.array(container), "c", "t")
+            coded = pc.binary_join_element_wise(coded, self.cut(found), "").dictionary_encode()
+            texts = [x[1:].lower() if x[0] == "c" else jt.without_space(x[1:]).lower() for x in coded.dictionary.to_pylist()]
+            place = np.full(len(items), len(texts), np.int64)
+            place[there] = coded.indices.to_numpy()
+            parts.append(pa.array([*texts, "null"]).take(pa.array(place)))
+        return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, "-")
 
     def fields(self) -> tuple[np.ndarray, pa.ListArray]:
         """Which texts are indexed without fault, and their fields."""
@@ -251,9 +255,9 @@ class _Index:
         own_case[parent[told]] = told
 
         paths, path_number = [""], {"": 0}
-        path, case, key = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        path, case, key = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.zeros(n, np.int64)
         keyed, item = np.zeros(n, bool), np.zeros(n, bool)
-        key_texts: list[str] = []
+        key_texts, known = [pa.array([None], pa.string())], 1
         for depth in range(self.depths + 1):
             nodes = np.flatnonzero(is_value & (self.inner == depth))
             above = parent[nodes]
@@ -270,13 +274,19 @@ class _Index:
             with_key = some[item[some] | ((kind[some] == _OBJECT) & (path[some] > 0))]
             for number in np.unique(path[with_key]):
                 mine = with_key[path[with_key] == number]
-                begin = len(key_texts)
-                outer = [None if k < 0 else key_texts[k] for k in key[mine]]
-                key_texts += [m if o is None else f"{o}-{m}" for o, m in zip(outer, self.match_keys(mine, self.keys[paths[number]]), strict=True)]
-                key[mine] = np.arange(begin, len(key_texts))
+                own = self.match_keys(mine, self.keys[paths[number]])
+                outer = key[mine]
+                if outer.any():
+                    behind = pa.concat_arrays(key_texts).take(pa.array(outer))
+                    own = pc.coalesce(pc.binary_join_element_wise(behind, own, "-"), own)
+                key_texts.append(own)
+                key[mine] = np.arange(known, known + len(mine))
+                known += len(mine)
 
         leaves = np.flatnonzero(leaf)
-        leaves = leaves[np.argsort(self._visited(leaf, keyed)[leaves], kind="stable")]
+        visited = self._visited(leaf, keyed)
+        if visited is not None:
+            leaves = leaves[np.argsort(visited[leaves], kind="stable")]
         value = self.cut(leaves)
         null = self.is_null[leaves]
         if null.any():
@@ -285,7 +295,7 @@ class _Index:
         cases = pc.if_else(pa.array(told < 0), pa.scalar(None, pa.string()), self.cut(np.maximum(told, 0))) if len(told) else pa.array([], pa.string())
         columns = [
             pa.array(paths, pa.string()).take(pa.array(path[leaves])),
-            pa.array([*key_texts, None], pa.string()).take(pa.array(np.where(key[leaves] < 0, len(key_texts), key[leaves]))),
+            pa.concat_arrays(key_texts).take(pa.array(key[leaves])),
             pa.array(_places(self.text[leaves] * len(paths) + path[leaves]), pa.int32()),
             value,
             cases.take(pa.array(np.searchsorted(told, case[leaves]))),
@@ -306,14 +316,14 @@ class _Index:
             numbers.append(path_number[own])
         path[nodes] = np.array(numbers, np.int64)[codes] if numbers else 0
 
-    def _visited(self, leaf: np.ndarray, keyed: np.ndarray) -> np.ndarray:
-        """The order of tokens with the items of arrays without keys ordered by their JSON."""
+    def _visited(self, leaf: np.ndarray, keyed: np.ndarray) -> np.ndarray | None:
+        """The order of tokens with the items of arrays without keys ordered by their JSON; None if it is theirs already."""
         before = np.cumsum(leaf) - leaf
         items = np.flatnonzero(self.is_value & ~self.in_object & ~keyed[self.parent] & (self.inner > 0) & self.good[self.text])
         many = np.bincount(self.parent[items], minlength=1)[self.parent[items]] > 1
         items = items[many]
         if not len(items):
-            return before
+            return None
         above = self.parent[items]
         order = pc.sort_indices(pa.table({"a": above, "b": self.cut(items, True).cast(pa.binary())}), [("a", "ascending"), ("b", "ascending")]).to_numpy()
         items, above = items[order], above[order]
