@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from .jsontree import CASE_BY_FIELD, SOURCE_CASE, canonical, dump, match_key, text_of, without_provenance
+from .jsontree import CASE_BY_FIELD, SOURCE_CASE, canonical, content_text, dump, match_key, text_of
 
 
 @dataclass(frozen=True)
@@ -34,14 +34,17 @@ class Version:
 
 
 def _content(node: Any) -> str:
-    return dump(canonical(without_provenance(node)))
+    return content_text(node)
 
 
 def _older_first(a: Version, b: Version) -> tuple[Version, Version]:
     """(loser, winner): the later time wins, a known one over none, the greater canonical text on a tie."""
-    bare = [{k: v for k, v in x.tree.items() if k != CASE_BY_FIELD} for x in (a, b)]
-    rank = [(x.at is not None, x.at or "", dump(canonical(t)) if a.at is not None else "") for x, t in zip((a, b), bare, strict=True)]
-    return (b, a) if rank[0] > rank[1] or (rank[0] == rank[1] and a.at is not None) else (a, b)
+    if a.at != b.at:
+        return (b, a) if b.at is None or (a.at is not None and a.at > b.at) else (a, b)
+    if a.at is None:
+        return a, b
+    text = [dump(canonical({k: v for k, v in x.tree.items() if k != CASE_BY_FIELD})) for x in (a, b)]
+    return (b, a) if text[0] >= text[1] else (a, b)
 
 
 def merge(a: Version, b: Version, policy: Policy) -> Version:
@@ -95,9 +98,12 @@ def shape_of(tree: dict, policy: Policy) -> dict[str, str] | None:
 
 
 def joint_shape(a: dict[str, str] | None, b: dict[str, str] | None) -> dict[str, str] | None:
-    if a is None or b is None or any(b.get(path, kind) != kind for path, kind in a.items()):
+    if a is None or b is None:
         return None
-    return a | b
+    few, many = (b, a) if len(b) < len(a) else (a, b)
+    if any(many.get(path, kind) != kind for path, kind in few.items()):
+        return None
+    return many if few.keys() <= many.keys() else a | b
 
 
 def _notes(node: dict) -> dict:
@@ -107,6 +113,8 @@ def _notes(node: dict) -> dict:
 
 def _objects(a: dict, b: dict, a_wins: bool, policy: Policy, path: str) -> dict:
     noted = _notes(a), _notes(b)
+    if not noted[0] and not noted[1]:
+        return _bare_objects(a, b, a_wins, policy, path)
     best, other = noted if a_wins else noted[::-1]
     out: dict[str, Any] = {}
     notes: dict[str, Any] = {}
@@ -140,6 +148,26 @@ def _objects(a: dict, b: dict, a_wins: bool, policy: Policy, path: str) -> dict:
     return out
 
 
+def _bare_objects(a: dict, b: dict, a_wins: bool, policy: Policy, path: str) -> dict:
+    """``_objects`` where nothing is noted: only the fields of both are looked at."""
+    out = a | b
+    out.pop(CASE_BY_FIELD, None)
+    few, many = (b, a) if len(b) < len(a) else (a, b)
+    for name in few:
+        if name not in many or name == CASE_BY_FIELD:
+            continue
+        at, x, y = f"{path}.{name}" if path else name, a[name], b[name]
+        if at in policy.arrays and isinstance(x, list) and isinstance(y, list):
+            out[name] = _arrays(x, y, (None, None), a_wins, policy, at)
+        elif at in policy.atomic and isinstance(x, dict) and isinstance(y, dict):
+            out[name] = _atomic(*((x, y) if a_wins else (y, x)), None, policy.atomic[at])
+        elif isinstance(x, dict) and isinstance(y, dict):
+            out[name] = _objects(x, y, a_wins, policy, at)
+        else:
+            out[name] = x if a_wins else y
+    return out
+
+
 def _case(notes: dict, name: str) -> str | None:
     found = notes.get(name)
     return None if found is None or isinstance(found, (dict, list)) else text_of(found)
