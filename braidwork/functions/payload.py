@@ -39,7 +39,8 @@ def _per_text(kind: str, function):
 
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([function(x) for x in texts.to_pylist()], types[kind])
+        coded = texts.dictionary_encode("encode")  # equal texts once
+        return pa.array([function(x) for x in coded.dictionary.to_pylist()], types[kind]).take(coded.indices)
 
     return run
 
@@ -62,7 +63,7 @@ def content_signature(payload: Column) -> Column:
 
     def one(text):
         tree = jt.try_object(text)
-        return None if tree is None else jt.dump(jt.canonical(jt.without_provenance(tree)))
+        return None if tree is None else jt.content_text(tree)
 
     plain = _per_text("string", one)(payload)
     return F.coalesce(F.sha2(plain, 256), F.btrim(payload))
@@ -74,8 +75,8 @@ def stamped(payload: Column, case_id: Column, policies: Mapping[str, Policy], se
     @F.arrow_udf("string")
     def run(texts: pa.Array, cases: pa.Array, segments: pa.Array) -> pa.Array:
         def one(text, case, name):
-            tree = jt.try_object(text)
-            if tree is None or not case:
+            tree = jt.try_object(text) if case else None
+            if tree is None:
                 return text
             return jt.dump(jt.stamp(tree, case, frozenset(policies[name].atomic) if name in policies else frozenset()))
 
@@ -85,7 +86,7 @@ def stamped(payload: Column, case_id: Column, policies: Mapping[str, Policy], se
 
 
 def cases_taken(payload: Column) -> Column:
-    """struct(payload without case notes, notes: map path -> case)."""
+    """struct(payload without case notes, notes: map path -> case); a payload that has none is left as it is written."""
 
     note = pa.struct([("path", pa.string()), ("case_id", pa.string())])
 
@@ -93,7 +94,7 @@ def cases_taken(payload: Column) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         payloads, paths, cases, ends = [], [], [], []
         for text in texts.to_pylist():
-            tree = jt.try_object(text)
+            tree = jt.try_object(text) if text is not None and jt.may_have_notes(text) else None
             if tree is not None:
                 tree, notes = jt.take_cases(tree)
                 text = jt.dump(tree)
@@ -250,7 +251,7 @@ def _folded_in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     n = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, count, best, merged, head = None, 0, (None, None), None, None
+        key, count, best, merged, head, waiting = None, 0, (None, None), None, None, None
         out: list[tuple] = []
 
         def closed() -> tuple:
@@ -262,13 +263,15 @@ def _folded_in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
                 if not count or row[:n] != key:
                     if count:
                         out.append(closed())
-                    key, count, best, merged, head = row[:n], 0, (text, at), None, row[: len(columns)]
-                tree = jt.try_object(text)
-                if count and (at or "") > (best[1] or ""):
+                    # a key's first payload is parsed when a second one comes; alone, it is the result as it is
+                    key, count, best, merged, head, waiting = row[:n], 1, (text, at), None, row[: len(columns)], (text, at)
+                    continue
+                if (at or "") > (best[1] or ""):
                     best = (text, at)
-                if tree is not None:
-                    version = Version(tree, at)
-                    merged = version if merged is None else merge(merged, version, policies.get(name, Policy()))
+                for text, at in ((waiting, (text, at)) if count == 1 else ((text, at),)):  # noqa: PLW2901
+                    if (tree := jt.try_object(text)) is not None:
+                        version = Version(tree, at)
+                        merged = version if merged is None else merge(merged, version, policies.get(name, Policy()))
                 count += 1
             if len(out) >= 1000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
@@ -284,12 +287,15 @@ def _folded_in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def parts_joined(parts: Column, segment: Column, segments: Mapping[str, object]) -> Column:
-    """One record of an array of struct(name, payload), by the segment's sub-types."""
+    """One record of an array of struct(name, payload), by the segment's sub-types; null of a null array."""
 
     @F.arrow_udf("string")
     def run(lists: pa.Array, names: pa.Array) -> pa.Array:
         out = []
         for items, name in zip(lists.to_pylist(), names.to_pylist(), strict=True):
+            if items is None:
+                out.append(None)
+                continue
             own = segments[name]
             trees = {x["name"]: jt.try_object(x["payload"]) for x in items}
             trees = {k: v for k, v in trees.items() if v is not None}

@@ -104,7 +104,9 @@ def human_state(fresh: DataFrame, pending: DataFrame, segments: Sequence[Segment
     complete = (F.size(merged_part) > 0) | (F.size(F.array_except(required, F.transform("parts", lambda p: p["name"]))) == 0)
     single = F.when(F.size(merged_part) > 0, F.get(merged_part, F.lit(0))).when(F.size(required) == 1, F.get("parts", F.lit(0)))
     whole = whole.withColumn("complete", complete).withColumn("single", single)
-    joined = P.parts_joined(F.transform("parts", lambda p: F.struct(p["name"].alias("name"), p["payload"].alias("payload"))), F.col("segment"), by_name)
+    # a function of Python is called for every row, so groups that need no joining pass it a null
+    several = F.when(F.col("single").isNull() & F.col("complete"), F.transform("parts", lambda p: F.struct(p["name"].alias("name"), p["payload"].alias("payload"))))
+    joined = P.parts_joined(several, F.col("segment"), by_name)
     out = whole.withColumn("payload", F.when(F.col("single").isNotNull(), F.col("single.payload")).when(F.col("complete"), joined))
     many = F.size(required) > 1
     return out.join(info, GROUP).select(
