@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 from braidwork.functions.text import last_part, renamed, same_text, under
 
 
+def parts_for(rows: DataFrame, most: int) -> int | None:
+    """How many partitions hold ``rows`` with at most about ``most`` in each, None if Spark's own number is enough. It
+    counts the rows, so they should be stored ones."""
+    n = -(-rows.count() // most)
+    return n if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def both_sides(rows: DataFrame, human: str, ai: str) -> DataFrame:
     """Flattened values of the two array columns of the same rows, tagged by side."""
     sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).alias("fields")) for side, c in (("human", human), ("ai", ai))])
@@ -62,13 +69,14 @@ def _first_under(paths: Sequence[str]) -> Column:
     return F.coalesce(*[F.when(under(F.col("field"), p), i) for i, p in enumerate(paths)], F.lit(None).cast("int"))
 
 
-def soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+def soft_keys(rows: DataFrame, arrays: Mapping[str, str], parts: int | None = None) -> DataFrame:
     """``rows`` plus new_key, the key of a soft array's item by both sides; null for all other rows. ``arrays`` are the
     arrays' paths with their parents', none of which lies in another.
 
     Within a parent, items whose key is on both sides pair up; the others pair by rank of their sorted keys, and what
     is left stands against XXX. A parent has to be there as a key of its own, on either side. Everything happens
-    within a pair, in one shuffle, for all arrays at once.
+    within a pair, in one shuffle, for all arrays at once; it sorts a partition several times, so ``parts``, the number
+    of partitions, has to follow the input for a task's memory not to (``spark.sql.shuffle.partitions`` if not given).
     """
     key, parents = F.col("match_key"), list(dict.fromkeys(arrays.values()))
     which = F.when(F.instr("match_key", "-") > 0, _first_under(list(arrays)))
@@ -76,7 +84,7 @@ def soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
     role = lambda k, own, parent: F.struct(k.alias("__key"), F.lit(own).alias("__own"), parent.alias("__parent"))
     above, own = F.regexp_replace(key, "-[^-]*$", ""), role(key, True, _first_under(parents))
     roles = F.when(F.col("__which").isNotNull(), F.array(role(above, False, of_array), own)).otherwise(F.array(own))
-    met = rows.repartition("pair").withColumn("__which", which).withColumn("__role", F.explode(roles)).select("*", "__role.*").drop("__role")
+    met = (rows.repartition("pair") if parts is None else rows.repartition(parts, "pair")).withColumn("__which", which).withColumn("__role", F.explode(roles)).select("*", "__role.*").drop("__role")
     # an item's row stands at its own key, where it may be another item's parent, and at its parent's, where it stays
     is_parent = F.col("__own") & F.col("__parent").isNotNull() & F.col("__key").isNotNull()
     met = met.withColumn("__found", F.max(is_parent).over(Window.partitionBy("pair", "__key", "__parent")))
@@ -91,10 +99,10 @@ def soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
     return met.withColumn("new_key", new).select(*rows.columns, "new_key")
 
 
-def with_soft_keys(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+def with_soft_keys(rows: DataFrame, arrays: Mapping[str, str], parts: int | None = None) -> DataFrame:
     """The rows with their new keys, in the arrays' own paths only; arrays that lie in others come in further passes."""
     for batch in _apart(arrays):
-        rows = soft_keys(rows, batch).withColumn("match_key", F.coalesce("new_key", "match_key")).select(*rows.columns)
+        rows = soft_keys(rows, batch, parts).withColumn("match_key", F.coalesce("new_key", "match_key")).select(*rows.columns)
     return rows
 
 

@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 AS_OF = datetime(2001, 8, 2)
+#: Lines that a task sorts or aggregates at once, where a query says how many partitions it takes.
+LINES_A_TASK = 150_000
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -351,8 +353,9 @@ def soft_match(spark, sf_dir):
     value = lambda side, field, key: F.struct(F.lit(side).alias("side"), F.lit(field).alias("field"), key.alias("match_key"))
     sides = [(side, F.concat_ws("-", line, (F.col(code) % 10).cast("string"))) for side, code in (("human", "l_partkey"), ("ai", "l_suppkey"))]
     values = [v for side, key in sides for v in (value(side, "lines.codes.code", key), value(side, "lines.line", line))]
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pair"), F.inline(F.array(*values)))
-    return compare.soft_keys(rows, {"lines.codes": "lines"}).where("new_key is not null").select("pair", "side", "match_key", "new_key").distinct()
+    lines = table(spark, sf_dir, "lineitem")
+    rows = lines.select(F.col("l_orderkey").alias("pair"), F.inline(F.array(*values)))
+    return compare.soft_keys(rows, {"lines.codes": "lines"}, compare.parts_for(lines, LINES_A_TASK)).where("new_key is not null").select("pair", "side", "match_key", "new_key").distinct()
 
 
 @query("""
