@@ -12,11 +12,15 @@ from braidwork.functions.text import first_label
 from braidwork.functions.times import as_timestamp, local_time, month_of, seconds_between
 from braidwork.operators.relational import as_of_latest, latest_with_ties
 
-def star(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
-    """The fact left-joined with each (table, own column, its key); columns have to differ in name."""
+def star(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]], parts: int | None = None) -> DataFrame:
+    """The fact left-joined with each (table, own column, its key); columns have to differ in name.
+
+    ``parts``: how many partitions the rows are dealt to before each join, so that what a task sorts stays bounded; for
+    joins whose tables are too large to be broadcast.
+    """
     out = fact
     for table, own, key in joins:
-        out = out.join(table, out[own] == table[key], "left")
+        out = (out if parts is None else out.repartition(parts, own)).join(table, out[own] == table[key], "left")
     return out
 
 
@@ -39,12 +43,15 @@ class Measure:
     column: str | None = None
 
 
-def symmetric_measures(rows: DataFrame, dims: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+def symmetric_measures(rows: DataFrame, dims: Sequence[str], measures: Mapping[str, Measure], parts: int | None = None) -> DataFrame:
     """Measures of several primary keys of one star in one pass, each over the distinct values of its own key in a group.
 
     Every row is expanded to one small row a key, with that key's columns only; a group's rows of one key meet once and
     leave a single row, before the shuffle already, so neither fan-out nor a hot group reaches one task. A null key is no
     row of its table and counts nowhere.
+
+    ``parts``: how many partitions the rows of all keys are dealt to by their key, before they are aggregated; a task's
+    memory then follows their number. Without it Spark aggregates its own partitions first.
     """
     keys = list(dict.fromkeys(m.key for m in measures.values()))
     columns = {k: list(dict.fromkeys(m.column for m in measures.values() if m.key == k and m.column)) for k in keys}
@@ -57,6 +64,7 @@ def symmetric_measures(rows: DataFrame, dims: Sequence[str], measures: Mapping[s
     names = [F.col(d).alias(f"d{i}") for i, d in enumerate(dims)]
     own = [f"d{i}" for i in range(len(dims))]
     expanded = rows.select(*names, F.inline(F.array(*each)))
+    expanded = expanded if parts is None else expanded.repartition(parts, *own, "which", "id")
     # rows of a group without any key stay, so that the group is there
     one = expanded.groupBy(*own, "which", "id").agg(*[F.min(f"v{j}").alias(f"v{j}") for j in range(len(wanted))] or [F.count(F.lit(1)).alias("n")])
     functions = {"sum": F.sum, "average": F.avg, "min": F.min, "max": F.max}

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from braidwork.functions import payload as P
 from braidwork.functions.merging import Policy
-from braidwork.operators import attribution, audit, reporting
+from braidwork.operators import attribution, audit, compare, reporting
 from braidwork.operators.reporting import Measure
 from braidwork.plans import run as runs
 from braidwork.plans import schemas
 from braidwork.plans.config import Options, Segment
 from braidwork.plans.migrations import Database, migrations
-from braidwork.plans.queries import query, table
+from braidwork.plans.queries import LINES_A_TASK, query, table
 from braidwork.sources import scans, state
 from braidwork.sources.clustered import ClusteredTable
 from braidwork.sources.ledger import shared_folder
@@ -163,12 +163,13 @@ SELECT flag, n_lines, n_orders, n_customers, n_suppliers, order_total::DECIMAL(2
 def symmetric_measures(spark, sf_dir):
     """Counts and sums by four primary keys of one star, each as if its table stood alone."""
     lines, orders, customers = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
-    rows = reporting.star(lines, [(orders, "l_orderkey", "o_orderkey"), (customers, "o_custkey", "c_custkey")])
+    parts = compare.parts_for(lines, LINES_A_TASK)
+    rows = reporting.star(lines, [(orders, "l_orderkey", "o_orderkey"), (customers, "o_custkey", "c_custkey")], parts)
     rows = rows.select(F.col("l_returnflag").alias("flag"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"), "l_orderkey", "o_custkey", "l_suppkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "c_acctbal")
     found = reporting.symmetric_measures(rows, ["flag"], {
         "n_lines": Measure("line"), "n_orders": Measure("l_orderkey"), "n_customers": Measure("o_custkey"), "n_suppliers": Measure("l_suppkey"), "order_total": Measure("l_orderkey", "sum", "price"),
         "largest_order": Measure("l_orderkey", "max", "price"), "average_balance": Measure("o_custkey", "average", "c_acctbal"),
-    })
+    }, parts)
     return found.withColumn("average_balance", F.round("average_balance", 4))
 
 
