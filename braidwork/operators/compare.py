@@ -22,8 +22,14 @@ def parts_for(rows: DataFrame, most: int) -> int | None:
     return n if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def both_sides(rows: DataFrame, human: str, ai: str) -> DataFrame:
-    """Flattened values of the two array columns of the same rows, tagged by side."""
+def both_sides(rows: DataFrame, human: str, ai: str, parts: int | None = None) -> DataFrame:
+    """Flattened values of the two array columns of the same rows, tagged by side, all of a pair in one partition.
+
+    The arrays are shuffled as they are and unfold behind that, so what follows within a pair needs no further shuffle.
+    ``parts``: how many partitions, ``spark.sql.shuffle.partitions`` if not given.
+    """
+    rows = rows.select("pair", human, ai)
+    rows = rows.repartition("pair") if parts is None else rows.repartition(parts, "pair")
     sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).alias("fields")) for side, c in (("human", human), ("ai", ai))])
     return rows.select("pair", F.inline(sides)).select("pair", "side", F.inline("fields"))
 

@@ -307,7 +307,7 @@ def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _payloads(spark, sf_dir)
     keys = {"lines": "line"}
     flat = rows.select("pair", P.flattened(F.col("human"), keys).alias("human"), P.flattened(F.col("ai"), keys).alias("ai"))
-    return compare.matched_fields(compare.both_sides(flat, "human", "ai"), {"lines": "positions"})
+    return compare.matched_fields(compare.both_sides(flat, "human", "ai", compare.parts_for(table(spark, sf_dir, "orders"), LINES_A_TASK // 6)), {"lines": "positions"})
 
 
 @query(f"{_COMPARE_SQL} SELECT * FROM c")

@@ -28,15 +28,16 @@ PAIRS_A_TASK = 20_000
 
 
 def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: dict[str, str], soft_arrays: dict[str, str], load_time: datetime) -> DataFrame:
-    """Field rows of matched pairs (plain text); counts ``matched`` where there are soft arrays."""
+    """Field rows of matched pairs (plain text); counts ``matched``, which should be a stored table."""
+    parts = compare.parts_for(matched, PAIRS_A_TASK)
     rows = matched.withColumn("pair", F.struct("image_id", "segment"))
     rows = rows.withColumn("taken", P.cases_taken(F.col("payload")))
     rows = rows.withColumn("human_fields", P.flattened(F.col("taken.payload"), array_keys)).withColumn("ai_fields", P.flattened(F.col("ai_payload"), array_keys))
     notes = rows.select("pair", F.inline("taken.notes"))
-    fields = compare.both_sides(rows, "human_fields", "ai_fields")
+    fields = compare.both_sides(rows, "human_fields", "ai_fields", parts)
     for s in segments:
         fields = compare.with_mappings(fields, s.field_mappings, (F.col("side") == "ai") & (F.col("pair.segment") == s.name))
-    fields = compare.with_soft_keys(fields, soft_arrays, compare.parts_for(matched, PAIRS_A_TASK) if soft_arrays else None)
+    fields = compare.with_soft_keys(fields, soft_arrays, parts)
     labels = {root: label for s in segments for root, label in s.segment_types}
     found = compare.matched_fields(fields, labels)
     canonical = rows.select("pair", F.col("case_id").alias("canonical_case_id"))
