@@ -41,7 +41,7 @@ def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: di
     labels = {root: label for s in segments for root, label in s.segment_types}
     found = compare.matched_fields(fields, labels)
     canonical = rows.select("pair", F.col("case_id").alias("canonical_case_id"))
-    found = attribution.with_case(found, notes, canonical)
+    found = attribution.with_case(found, notes, canonical, parts)
     meta = rows.select("pair", "key_id", F.col("comparison_version").cast("int").alias("ai_iteration"), "ai_created_at", F.col("created_at").alias("human_created_at"))
     found = found.join(meta, "pair")
     return found.select("pair.image_id", "pair.segment", "*", F.lit(load_time).cast("timestamp").alias("load_time")).drop("pair", "ordinal", "human_case", "ai_case")

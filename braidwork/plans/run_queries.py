@@ -204,7 +204,7 @@ def attributed_cases(spark, sf_dir):
     plain = orders.select(F.col("o_orderkey").alias("pair"), F.explode(F.array(F.lit("a.b"), F.lit("plain"))).alias("field_name"), F.lit(None).cast("string").alias("array_key"), F.lit("x").alias("human_value"), F.lit("x").alias("ai_value"), F.lit(None).cast("string").alias("human_case"))
     even = F.col("o_orderkey") % 2 == 0
     notes = orders.select(F.col("o_orderkey").alias("pair"), F.inline(F.array(F.struct(F.lit("a").alias("path"), F.lit("outer").alias("case_id")), F.struct(F.when(even, "a.b").otherwise("other").alias("path"), F.lit("inner").alias("case_id")), F.struct(F.lit("lines").alias("path"), F.lit("noted").alias("case_id")))))
-    found = attribution.with_case(items.unionByName(plain), notes, orders.select(F.col("o_orderkey").alias("pair"), F.lit("main").alias("canonical_case_id")))
+    found = attribution.with_case(items.unionByName(plain), notes, orders.select(F.col("o_orderkey").alias("pair"), F.lit("main").alias("canonical_case_id")), compare.parts_for(lines, LINES_A_TASK))
     return found.select("pair", "field_name", "array_key", "case_id")
 
 
