@@ -13,9 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,39 +31,40 @@ class Waiting(StatefulProcessor):
         # seconds, ai and human are arrays beside each other; passed: end of the last wait that was emitted
         self.state = handle.getValueState("waiting", "passed long, seconds array<long>, ai array<long>, human array<long>")
 
-    def _load(self) -> tuple[int, pd.DataFrame]:
-        if not self.state.exists():
-            return -(1 << 62), pd.DataFrame({"second": [], "ai": [], "human": []}, dtype="int64")
-        passed, seconds, ai, human = self.state.get()
-        return passed, pd.DataFrame({"second": seconds, "ai": ai, "human": human}, dtype="int64")
-
-    def _store(self, passed: int, rows: pd.DataFrame) -> None:
-        self.state.update((passed, rows["second"].tolist(), rows["ai"].tolist(), rows["human"].tolist()))
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        if len(rows):
-            self.handle.registerTimer((int(rows["second"].iloc[0]) + self.age) * 1000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _load(self) -> tuple[int, dict[int, list[int]]]:
+        passed, seconds, ai, human = self.state.get() or (-(1 << 62), (), (), ())
+        return passed, {s: [a, h] for s, a, h in zip(seconds, ai, human, strict=True)}  # in the order of seconds
+
+    def _store(self, passed: int, rows: list[tuple[int, list[int]]], timer: int | None) -> None:
+        """``timer``: the second that the group's timer is set to, None if it has none or that one has gone off."""
+        self.state.update((passed, [s for s, _ in rows], [n[0] for _, n in rows], [n[1] for _, n in rows]))
+        due = rows[0][0] + self.age if rows else None
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer * 1000)
+            if due is not None:
+                self.handle.registerTimer(due * 1000)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         passed, known = self._load()
-        for batch in rows:
-            human = (batch["side"] == "human").to_numpy().astype("int64")
-            fresh = pd.DataFrame({"second": batch["second"].to_numpy("int64"), "ai": 1 - human, "human": human})
-            known = pd.concat([known, fresh[fresh["second"] >= passed]]).groupby("second", as_index=False).sum()
-        self._store(passed, known)
-        yield pd.DataFrame({"key": [], "first_seen": [], "n_ai": [], "n_human": []}).astype({"key": str, "first_seen": "int64", "n_ai": "int64", "n_human": "int64"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        timer = next(iter(known)) + self.age if known else None
+        for row in rows:
+            if row.second >= passed:
+                known.setdefault(row.second, [0, 0])[row.human] += 1
+        self._store(passed, sorted(known.items()), timer)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         passed, known = self._load()
-        seconds, ai, human = (known[c].to_numpy("int64") for c in ("second", "ai", "human"))
-        out, at = [], 0
-        while at < len(seconds) and (seconds[at] + self.age) * 1000 <= now:
-            end = int(np.searchsorted(seconds, seconds[at] + self.age))
-            out.append((str(key[0]), int(seconds[at]), int(ai[at:end].sum()), int(human[at:end].sum())))
-            passed, at = int(seconds[at]) + self.age, end
-        self._store(passed, known.iloc[at:])
-        yield pd.DataFrame(out, columns=["key", "first_seen", "n_ai", "n_human"]).astype({"key": str, "first_seen": "int64", "n_ai": "int64", "n_human": "int64"})
+        rows, at = list(known.items()), 0
+        while at < len(rows) and (rows[at][0] + self.age) * 1000 <= now:
+            first = rows[at][0]
+            passed, ai, human = first + self.age, 0, 0
+            while at < len(rows) and rows[at][0] < passed:
+                ai, human, at = ai + rows[at][1][0], human + rows[at][1][1], at + 1
+            yield Row(key=str(key[0]), first_seen=first, n_ai=ai, n_human=human)
+        self._store(passed, rows[at:], None)
 
     def close(self) -> None:
         pass
@@ -77,8 +76,8 @@ def aged_groups(rows: DataFrame, key: str, side: str, at: str, age_days: int = 7
     Rows without a key or a time are in no group. The session needs the state store of ``with_state_store``.
     """
     own = rows.select(F.col(key).cast("string").alias("key"), F.col(side).alias("side"), F.col(at).cast("timestamp").alias("at")).where("key is not null and at is not null")
-    timed = own.withWatermark("at", late).withColumn("second", F.unix_seconds("at"))
-    aged = timed.groupBy("key").transformWithStateInPandas(Waiting(age_days * 86400), AGED, "Append", "EventTime")
+    timed = own.withWatermark("at", late).select("key", "at", F.unix_seconds("at").alias("second"), F.coalesce(F.col("side") == "human", F.lit(False)).cast("int").alias("human"))
+    aged = timed.groupBy("key").transformWithState(Waiting(age_days * 86400), AGED, "Append", "EventTime")
     return aged.select("key", F.timestamp_seconds("first_seen").alias("first_seen_at"), "n_ai", "n_human")
 
 
