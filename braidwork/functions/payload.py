@@ -58,6 +58,35 @@ def top_keys(payload: Column) -> Column:
     return _per_text("array<string>", lambda text: list(jt.try_object(text) or {}))(payload)
 
 
+def opened(payload: Column, wrapped: Column, image_path: str, filter_path: str | None = None) -> Column:
+    """struct(payload, unwrapped where ``wrapped``; the texts at two paths of it, image and filter; its keys), in one pass
+    that parses a payload once."""
+
+    @F.arrow_udf("payload string, image string, filter string, keys array<string>")
+    def run(texts: pa.Array, flags: pa.Array) -> pa.Array:
+        seen: dict[tuple, tuple] = {}  # equal texts once
+
+        def one(text, flag):
+            tree = jt.try_object(text)
+            if tree is None and flag:
+                text = jt.unwrap(text)
+                tree = jt.try_object(text)
+            if tree is None:
+                return text, None, None, []
+            return text, jt.extract(tree, image_path), jt.extract(tree, filter_path) if filter_path else None, list(tree)
+
+        out = []
+        for x in zip(texts.to_pylist(), flags.to_pylist(), strict=True):
+            if x not in seen:
+                seen[x] = one(*x)
+            out.append(seen[x])
+        kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))
+        columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+        return pa.StructArray.from_arrays(columns, names=["payload", "image", "filter", "keys"])
+
+    return run(payload, wrapped)
+
+
 def content_signature(payload: Column) -> Column:
     """SHA-256 of the canonical JSON without provenance; of a text that is no object, the trimmed text itself."""
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from braidwork.functions import payload as P
 from braidwork.functions.text import joined_set, set_of
 from braidwork.functions.times import as_timestamp, iso, whole_days
-from braidwork.operators.relational import first_by, latest_by
 from braidwork.plans.config import POLICIES, Segment
 
 GROUP = ["image_id", "segment"]
@@ -32,6 +31,11 @@ def pool_reconciled(pool: DataFrame) -> DataFrame:
     ).select(*GROUP, "content_key", "one.payload", "one.key_id", "created_at", "first_seen_at", "last_retried_at", "retry_count")
 
 
+def _stepped(known_at: Column, n: Column, start: Column) -> Column:
+    step = F.when(known_at.isNull(), n - 1).otherwise(n) * STEP_SECONDS
+    return F.timestamp_add("SECOND", step, F.coalesce(known_at, start))
+
+
 def stepped_times(new: DataFrame, pooled: DataFrame, as_of: Column, keys: Sequence[str] = GROUP) -> DataFrame:
     """``new`` with created_at replaced so that discovery order is time order.
 
@@ -41,22 +45,27 @@ def stepped_times(new: DataFrame, pooled: DataFrame, as_of: Column, keys: Sequen
     order = Window.partitionBy(*keys).orderBy(F.col("created_at").asc_nulls_first(), F.col("payload"))
     latest = pooled.groupBy(*keys).agg(F.max("created_at").alias("known_at"))
     own = new.withColumn("n", F.row_number().over(order)).withColumn("start", F.coalesce(F.first("created_at").over(order), as_of))
-    step = F.when(F.col("known_at").isNull(), F.col("n") - 1).otherwise(F.col("n")) * STEP_SECONDS
-    at = F.timestamp_add("SECOND", step, F.coalesce("known_at", "start"))
+    at = _stepped(F.col("known_at"), F.col("n"), F.col("start"))
     return own.join(latest, list(keys), "left").withColumn("created_at", at).drop("n", "start", "known_at")
 
 
 def ai_state(fresh: DataFrame, pool: DataFrame, as_of: Column) -> DataFrame:
     """All AI payloads of the groups after this run; replays of known content bring nothing new."""
-    known = pool_reconciled(pool)
-    new = fresh.where("side = 'ai'").withColumn("content_key", P.content_signature(F.col("payload")))
-    new = first_by(new, [*GROUP, "content_key"], [F.col("created_at").asc_nulls_first(), F.col("payload")])
-    new = new.join(known.select(*GROUP, "content_key"), [*GROUP, "content_key"], "left_anti")
-    new = stepped_times(new, known, as_of)
-    columns = [*GROUP, "content_key", "payload", "key_id", "created_at"]
-    fresh_rows = new.select(*columns, as_of.alias("first_seen_at"), as_of.alias("last_retried_at"), F.lit(0).cast("long").alias("retry_count"))
-    old_rows = known.select(*columns, F.coalesce("first_seen_at", as_of).alias("first_seen_at"), as_of.alias("last_retried_at"), (F.coalesce("retry_count", F.lit(0)) + 1).cast("long").alias("retry_count"))
-    return old_rows.unionByName(fresh_rows)
+    columns = [*GROUP, "payload", "key_id", "created_at"]
+    rows = pool.select(*columns, "first_seen_at", "retry_count", F.lit(True).alias("known")).unionByName(fresh.where("side = 'ai'").select(*columns, F.lit(False).alias("known")), allowMissingColumns=True)
+    # one pass over all payloads and one shuffle, by group: what follows stays within
+    rows = rows.withColumn("content_key", P.content_signature(F.col("payload"))).repartition(*GROUP)
+    old = lambda c: F.when(F.col("known"), F.col(c))
+    one = F.min_by(F.struct("payload", "key_id", "created_at"), F.struct(~F.col("known"), F.col("created_at"), F.col("payload"), F.col("key_id"))).alias("one")
+    rows = rows.groupBy(*GROUP, "content_key").agg(
+        one, F.max("known").alias("known"), F.min(old("created_at")).alias("old_at"), F.min(old("first_seen_at")).alias("first_seen_at"), F.max(old("retry_count")).alias("retry_count")
+    ).select(*GROUP, "content_key", "one.payload", "one.key_id", F.when(F.col("known"), F.col("old_at")).otherwise(F.col("one.created_at")).alias("created_at"), "known", "first_seen_at", "retry_count")
+    order = Window.partitionBy(*GROUP, "known").orderBy(F.col("created_at").asc_nulls_first(), F.col("payload"))
+    rows = rows.withColumn("n", F.row_number().over(order)).withColumn("start", F.coalesce(F.first("created_at").over(order), as_of))
+    rows = rows.withColumn("known_at", F.max(old("created_at")).over(Window.partitionBy(*GROUP)))
+    at = F.when(F.col("known"), F.col("created_at")).otherwise(_stepped(F.col("known_at"), F.col("n"), F.col("start")))
+    retries = F.when(F.col("known"), F.coalesce("retry_count", F.lit(0)) + 1).otherwise(0).cast("long")
+    return rows.select(*GROUP, "content_key", "payload", "key_id", at.alias("created_at"), F.coalesce("first_seen_at", as_of).alias("first_seen_at"), as_of.alias("last_retried_at"), retries.alias("retry_count"))
 
 
 def latest_ai(rows: DataFrame) -> DataFrame:
@@ -83,19 +92,25 @@ def human_state(fresh: DataFrame, pending: DataFrame, segments: Sequence[Segment
     """
     by_name = {s.name: s for s in segments}
     policies = {s.name: POLICIES.get(s.name, s.policy) for s in segments}
-    new = fresh.where("side = 'human'").withColumn("case_key", F.coalesce("case_id", F.lit("")))
-    new = latest_by(new, [*GROUP, "case_key", "sub_type"], "created_at", ["payload"])
-    new = new.withColumn("payload", P.stamped(F.col("payload"), F.col("case_id"), policies, F.col("segment")))
+    columns = [*GROUP, "sub_type", "payload", "case_id", "key_id", "created_at"]
     part = F.when(F.col("pending_type") == "human", "default").otherwise(F.expr("substring(pending_type, length('human:') + 1)"))
     old = pending.select(*GROUP, part.alias("sub_type"), "payload", "case_id", "key_id", "created_at", F.lit(True).alias("is_old"))
-    rows = old.unionByName(new.select(*GROUP, "sub_type", "payload", "case_id", "key_id", "created_at", F.lit(False).alias("is_old")))
-    versions = rows.withColumn("late", ~F.col("is_old")).withColumn("case_key", F.coalesce("case_id", F.lit(""))).withColumn("at", iso(F.col("created_at")))
-    parts = P.folded(versions, [*GROUP, "sub_type"], ["late", "created_at", "case_key", "payload", "key_id"], policies, ["key_id"])
+    rows = old.unionByName(fresh.where("side = 'human'").select(*columns, F.lit(False).alias("is_old"))).withColumn("case_key", F.coalesce("case_id", F.lit("")))
+    # one shuffle, by group, for the latest payload of a case's part and for what is said of the whole group
+    rows = rows.repartition(*GROUP)
+    rank = F.row_number().over(Window.partitionBy(*GROUP, "is_old", "case_key", "sub_type").orderBy(F.col("created_at").desc_nulls_last(), F.col("payload").asc()))
+    group = Window.partitionBy(*GROUP)
+    rows = rows.withColumn("rank", rank).where("is_old or rank = 1").drop("rank")
+    rows = rows.withColumn("own_cases", F.array_sort(F.array_remove(F.collect_set("case_key").over(group), "")))
+    rows = rows.withColumn("group_case", F.max_by("case_id", F.when(F.col("case_id").isNotNull(), F.struct("created_at", (~F.col("is_old")).alias("new"), "case_id"))).over(group))
+    rows = rows.withColumn("payload", P.stamped(F.col("payload"), F.when(~F.col("is_old"), F.col("case_id")), policies, F.col("segment")))
+    versions = rows.withColumn("late", ~F.col("is_old")).withColumn("at", iso(F.col("created_at")))
+    parts = P.folded(versions, [*GROUP, "sub_type"], ["late", "created_at", "case_key", "payload", "key_id"], policies, ["key_id", "own_cases", "group_case"])
     parts = parts.withColumn("created_at", as_timestamp(F.col("at"))).drop("at")
-    info = rows.groupBy(*GROUP).agg(F.array_remove(F.collect_set(F.coalesce("case_id", F.lit(""))), "").alias("own_cases"), F.max_by("case_id", F.when(F.col("case_id").isNotNull(), F.struct("created_at", (~F.col("is_old")).alias("new"), "case_id"))).alias("case_id"))
     whole = parts.groupBy(*GROUP).agg(
         F.array_sort(F.collect_list(F.struct(F.col("sub_type").alias("name"), "payload", "created_at", "key_id"))).alias("parts"),
         F.min("created_at").alias("earliest"), F.max("created_at").alias("latest"),
+        F.first("own_cases").alias("own_cases"), F.first("group_case").alias("case_id"),  # the same in all parts
     )
     required = F.lit(None)
     for s in segments:
@@ -106,10 +121,10 @@ def human_state(fresh: DataFrame, pending: DataFrame, segments: Sequence[Segment
     whole = whole.withColumn("complete", complete).withColumn("single", single)
     # a function of Python is called for every row, so groups that need no joining pass it a null
     several = F.when(F.col("single").isNull() & F.col("complete"), F.transform("parts", lambda p: F.struct(p["name"].alias("name"), p["payload"].alias("payload"))))
-    joined = P.parts_joined(several, F.col("segment"), by_name)
+    joined = P.parts_joined(several, F.col("segment"), by_name) if any(len(s.required) > 1 for s in segments) else F.lit(None).cast("string")
     out = whole.withColumn("payload", F.when(F.col("single").isNotNull(), F.col("single.payload")).when(F.col("complete"), joined))
     many = F.size(required) > 1
-    return out.join(info, GROUP).select(
+    return out.select(
         *GROUP, "complete", "parts", "payload", F.coalesce("single.created_at", "earliest").alias("created_at"), F.coalesce("single.key_id", F.get("parts", F.lit(0))["key_id"]).alias("key_id"),
         F.when(many, "human:merged").otherwise("human").alias("pending_type"), "case_id", "own_cases",
     )
@@ -132,7 +147,7 @@ def pair(fresh: DataFrame, pending: DataFrame, pool: DataFrame, segments: Sequen
     ai = keep(ai_state(fresh, pool, now), "ai")
     human = human_state(fresh, pending, segments)
     state = human.join(pending_reconciled(pending), GROUP, "left").join(latest_ai(ai), GROUP, "left")
-    current = F.when(F.col("complete") & F.col("ai").isNotNull(), F.concat_ws("|", P.content_signature(F.col("payload")), "ai.content_key"))
+    current = F.when(F.col("complete") & F.col("ai").isNotNull(), F.concat_ws("|", P.content_signature(F.when(F.col("complete") & F.col("ai").isNotNull(), F.col("payload"))), "ai.content_key"))
     fired = F.col("current").isNotNull() & ~F.col("current").eqNullSafe(F.col("signature"))
     state = state.withColumn("current", current).withColumn("fired", fired)
     state = state.withColumn("comparison_version", (F.coalesce("version", F.lit(0)) + F.col("fired").cast("int")).cast("long"))

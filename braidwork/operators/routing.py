@@ -46,10 +46,12 @@ def keyed(rows: DataFrame, segments: Sequence[Segment], image_path: str, filter_
     out = routed(rows, segments)
     if "case_id" not in out.columns:
         out = out.withColumn("case_id", F.lit(None).cast("string"))
-    out = out.withColumn("payload", F.when(F.col("side") == "human", P.unwrapped(F.col("payload"))).otherwise(F.col("payload")))
+    # unfolded, so that a filter on what was read does not read it again below
+    read = F.inline(F.array(P.opened(F.col("payload"), F.col("side") == "human", image_path, filter_path))).alias("payload", "__image", "__filter", "__keys")
+    out = out.select(*[c for c in out.columns if c != "payload"], read)
     if filter_path:
-        out = out.where((F.col("side") == "ai") | F.coalesce(P.extracted(F.col("payload"), filter_path) == filter_value, F.lit(False)))
-    out = out.withColumn("image_id", image_key(P.extracted(F.col("payload"), image_path))).withColumn("__keys", P.top_keys(F.col("payload")))
+        out = out.where((F.col("side") == "ai") | F.coalesce(F.col("__filter") == filter_value, F.lit(False)))
+    out = out.withColumn("image_id", image_key(F.col("__image")))
     part = F.lit(None).cast("string")
     for s in segments:
         part = F.when(F.col("segment") == s.name, sub_type(F.col("__keys"), s)).otherwise(part)
