@@ -188,8 +188,11 @@ class Trie:
             whole = np.zeros(len(g))
             step = np.zeros(len(g))
             if len(self.contexts[k]):
-                whole = np.where(first, self.log_whole[k][at], self.log_rest[k + 1][after[open_]] if k < self.order else 0.0)
-                step = np.where(first, self.escape_first[k][at], self.escape_next[k + 1][after[open_]] if k < self.order else 0.0)
+                whole, step = self.log_whole[k][at], self.escape_first[k][at]
+                # a branch whose n-grams are all of texts that aren't learned from has no longer contexts to escape from
+                if k < self.order and len(self.contexts[k + 1]):
+                    whole = np.where(first, whole, self.log_rest[k + 1][after[open_]])
+                    step = np.where(first, step, self.escape_next[k + 1][after[open_]])
                 out[open_[hit]] += self.log_count[k][edge[hit]] - whole[hit]
             miss = has & ~hit
             out[open_[miss]] += step[miss]

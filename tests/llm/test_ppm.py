@@ -85,3 +85,12 @@ def test_rare_edges_count_in_a_large_corpus(spark):
             level[context].update(edges)
     got = {r.doc_id: r.score for r in ppm.ppm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[ids[-1]] == pytest.approx(score(counts, rare, 4)) and got[test] == pytest.approx(score(counts, rows[-1][1], 4))
+
+
+def test_endings_that_only_held_out_texts_have(spark):
+    # their parts of the trie have no learned n-grams, only the low levels
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    texts = {i: "".join(chr(65 + (i + j) % 26) * 3 for j in range(9)) if held(i) else "one two\nthree" for i in range(60)}
+    counts = model([t for i, t in texts.items() if not held(i)], 4)
+    got = {r.doc_id: r.score for r in ppm.ppm_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == pytest.approx({i: score(counts, t, 4) for i, t in texts.items()})
