@@ -29,6 +29,13 @@ def _note_of(notes: Column, path: Column) -> Column:
     return F.when(found["path"] == path, found["case_id"])
 
 
+def nearest_of(notes: Column, path: Column) -> Column:
+    """The case noted for the longest ancestor of a path, itself first, in an array of struct(path, case_id) by path."""
+    parts = F.split(path, r"\.")
+    above = F.transform(F.sequence(F.size(parts) - 1, F.lit(1), F.lit(-1)), lambda n: _note_of(notes, F.array_join(F.slice(parts, F.lit(1), n), ".")))
+    return F.when((F.size(notes) > 0) & path.isNotNull(), F.coalesce(_note_of(notes, path), F.when(F.size(parts) > 1, F.get(F.filter(above, lambda x: x.isNotNull()), F.lit(0)))))
+
+
 def with_case(compared: DataFrame, notes: DataFrame, canonical: DataFrame, parts: int | None = None) -> DataFrame:
     """``compared`` plus case_id: the item's own, else for AI-only items the case that their item or array has alone
     (null if several), else the nearest note, else the pair's canonical case. ``canonical`` has a row for a pair.
@@ -45,9 +52,7 @@ def with_case(compared: DataFrame, notes: DataFrame, canonical: DataFrame, parts
     own = F.when(F.col("pair").isNotNull() & F.col("__array").isNotNull() & F.col("array_key").isNotNull(), F.col("human_case"))
     for name, keys in (("__", ["pair", "__array", "array_key"]), ("__array_", ["pair", "__array"])):
         rows = rows.withColumn(f"{name}low", F.min(own).over(Window.partitionBy(*keys))).withColumn(f"{name}high", F.max(own).over(Window.partitionBy(*keys)))
-    parts_of = F.split("field_name", r"\.")
-    steps = F.transform(F.sequence(F.size(parts_of), F.lit(1), F.lit(-1)), lambda n: _note_of(F.col("__notes"), F.array_join(F.slice(parts_of, F.lit(1), n), ".")))
-    nearest = F.when((F.size("__notes") > 0) & F.col("field_name").isNotNull(), F.get(F.filter(steps, lambda x: x.isNotNull()), F.lit(0)))
+    nearest = nearest_of(F.col("__notes"), F.col("field_name"))
     alone = F.when(F.col("__low") == F.col("__high"), F.col("__low")).when(F.col("__low").isNull() & (F.col("__array_low") == F.col("__array_high")), F.col("__array_low"))
     inferred = F.col("array_key").isNotNull() & F.col("__array_low").isNotNull() & F.col("human_case").isNull() & F.col("human_value").isNull()
     case = F.when(F.col("human_case").isNotNull(), F.col("human_case")).when(inferred, alone).otherwise(F.coalesce(nearest, F.col("__main")))

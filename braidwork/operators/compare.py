@@ -131,6 +131,32 @@ def matched_fields(rows: DataFrame, segment_types: Mapping[str, str] | None = No
     )
 
 
+def is_plain(fields: Column) -> Column:
+    """Whether no value of ``payload.flattened`` has a key and no path comes twice."""
+    return F.forall(fields, lambda x: x["match_key"].isNull() & (x["place"] == 0))
+
+
+def lined_up(human: Column, ai: Column) -> Column:
+    """The values of two arrays that are plain, by path: array of struct(field, side: 0 human, 1 AI, value, case_id)."""
+    side = lambda fields, n: F.transform(fields, lambda x: F.struct(x["field"].alias("field"), F.lit(n).alias("side"), x["value"].alias("value"), x["case_id"].alias("case_id")))
+    return F.array_sort(F.concat(side(human, 0), side(ai, 1)))
+
+
+def plain_fields(rows: DataFrame, lined: str, segment_types: Mapping[str, str] | None = None) -> DataFrame:
+    """``rows`` plus field_name, array_key, human_value, ai_value, is_match, segment_type and human_case, as ``matched_fields``
+    gives them, for pairs of plain arrays: each is compared within its row. ``lined``: a stored column of ``lined_up``."""
+    at = lambda i: F.get(F.col(lined), i)
+
+    def met(x: Column, i: Column) -> Column:
+        both, human = at(i + 1)["field"].eqNullSafe(x["field"]), x["side"] == 0
+        found = F.struct(x["field"].alias("field_name"), F.when(human, x["value"]).alias("human_value"), F.when(both, at(i + 1)["value"]).when(~human, x["value"]).alias("ai_value"), F.when(human, x["case_id"]).alias("human_case"))
+        return F.when((i == 0) | (at(i - 1)["field"] != x["field"]), found)
+
+    out = rows.select("*", F.inline(F.filter(F.transform(F.col(lined), met), lambda x: x.isNotNull())))
+    key = F.lit(None).cast("string")
+    return out.select("*", key.alias("array_key"), same_text(F.col("human_value"), F.col("ai_value")).alias("is_match"), segment_type(F.col("field_name"), key, segment_types or {}).alias("segment_type"))
+
+
 def compared(human: DataFrame, ai: DataFrame, segment_types: Mapping[str, str] | None = None) -> DataFrame:
     """``matched_fields`` of two frames."""
     return matched_fields(sided(human, ai), segment_types)

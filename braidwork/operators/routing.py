@@ -41,13 +41,14 @@ def sub_type(keys, segment: Segment):
 def keyed(rows: DataFrame, segments: Sequence[Segment], image_path: str, filter_path: str | None = None, filter_value: str | None = None) -> DataFrame:
     """Plain-text payload rows -> image_id, segment, side, sub_type, payload (unwrapped), case_id, key_id, created_at.
 
-    Rows without an image or (on the human side) without a known part go. The payload filter is for the human side.
+    Rows without an image or (on the human side) without a known part go. The payload filter is for the human side. An AI
+    payload's ``content_signature`` comes along as content_key.
     """
     out = routed(rows, segments)
     if "case_id" not in out.columns:
         out = out.withColumn("case_id", F.lit(None).cast("string"))
     # unfolded, so that a filter on what was read does not read it again below
-    read = F.inline(F.array(P.opened(F.col("payload"), F.col("side") == "human", image_path, filter_path))).alias("payload", "__image", "__filter", "__keys")
+    read = F.inline(F.array(P.opened(F.col("payload"), F.col("side") == "human", image_path, filter_path))).alias("payload", "__image", "__filter", "__keys", "content_key")
     out = out.select(*[c for c in out.columns if c != "payload"], read)
     if filter_path:
         out = out.where((F.col("side") == "ai") | F.coalesce(F.col("__filter") == filter_value, F.lit(False)))
@@ -57,4 +58,4 @@ def keyed(rows: DataFrame, segments: Sequence[Segment], image_path: str, filter_
         part = F.when(F.col("segment") == s.name, sub_type(F.col("__keys"), s)).otherwise(part)
     out = out.withColumn("sub_type", F.when(F.col("side") == "human", part))
     out = out.where(F.col("image_id").isNotNull() & ((F.col("side") == "ai") | F.col("sub_type").isNotNull()))
-    return out.select("image_id", "segment", "side", "sub_type", "payload", "case_id", "key_id", "created_at")
+    return out.select("image_id", "segment", "side", "sub_type", "payload", "case_id", "key_id", "created_at", "content_key")

@@ -27,24 +27,42 @@ from braidwork.sources import scans, state
 PAIRS_A_TASK = 20_000
 
 
-def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: dict[str, str], soft_arrays: dict[str, str], load_time: datetime) -> DataFrame:
-    """Field rows of matched pairs (plain text); counts ``matched``, which should be a stored table."""
-    parts = compare.parts_for(matched, PAIRS_A_TASK)
-    rows = matched.withColumn("pair", F.struct("image_id", "segment"))
-    rows = rows.withColumn("taken", P.cases_taken(F.col("payload")))
-    rows = rows.withColumn("human_fields", P.flattened(F.col("taken.payload"), array_keys)).withColumn("ai_fields", P.flattened(F.col("ai_payload"), array_keys))
-    notes = rows.select("pair", F.inline("taken.notes"))
+_RESULT = ["image_id", "segment", "key_id", "case_id", "ai_iteration", "ai_created_at", "human_created_at", "field_name", "array_key", "segment_type", "human_value", "ai_value", "is_match"]
+
+
+def results_of(matched: DataFrame, segments: tuple[Segment, ...], array_keys: dict[str, str], soft_arrays: dict[str, str], load_time: datetime, keep=lambda df, name: df) -> DataFrame:
+    """Field rows of matched pairs (plain text). ``keep(df, name)`` may store their flattened fields, which are read by both
+    ways of comparing: pairs without keyed, repeated or renamed fields are compared within their row, the others by pair."""
+    labels = {root: label for s in segments for root, label in s.segment_types}
+    rows = matched.select("*", F.inline(F.array(P.both_flattened(F.col("payload"), F.col("ai_payload"), array_keys))).alias("notes", "human_fields", "ai_fields")).drop("payload", "ai_payload")
+    renamed = [s.name for s in segments if s.field_mappings]
+    plain = compare.is_plain(F.col("human_fields")) & compare.is_plain(F.col("ai_fields"))
+    rows = rows.withColumn("plain", plain & ~F.col("segment").isin(renamed) if renamed else plain)
+    notes = F.array_sort(F.filter("notes", lambda x: x["path"].isNotNull() & x["case_id"].isNotNull()))
+    rows = rows.withColumn("notes", F.when(F.col("plain"), notes).otherwise(F.col("notes"))).withColumn("lined", F.when(F.col("plain"), compare.lined_up(F.col("human_fields"), F.col("ai_fields"))))
+    for side in ("human_fields", "ai_fields"):
+        rows = rows.withColumn(side, F.when(~F.col("plain"), F.col(side)))
+    rows = keep(rows.withColumnsRenamed({"comparison_version": "ai_iteration", "created_at": "human_created_at"}).withColumn("ai_iteration", F.col("ai_iteration").cast("int")), "fields")
+    found = compare.plain_fields(rows.where("plain").drop("human_fields", "ai_fields"), "lined", labels)
+    found = found.withColumn("case_id", F.coalesce("human_case", attribution.nearest_of(F.col("notes"), F.col("field_name")), "case_id")).select(*_RESULT)
+    others = rows.where("not plain")
+    if not others.isEmpty():
+        found = found.unionByName(_by_pair(others, segments, soft_arrays, labels).select(*_RESULT))
+    return found.withColumn("load_time", F.lit(load_time).cast("timestamp"))
+
+
+def _by_pair(rows: DataFrame, segments: tuple[Segment, ...], soft_arrays: dict[str, str], labels: dict[str, str]) -> DataFrame:
+    parts = compare.parts_for(rows, PAIRS_A_TASK)
+    rows = rows.withColumn("pair", F.struct("image_id", "segment"))
+    notes = rows.select("pair", F.inline("notes"))
     fields = compare.both_sides(rows, "human_fields", "ai_fields", parts)
     for s in segments:
         fields = compare.with_mappings(fields, s.field_mappings, (F.col("side") == "ai") & (F.col("pair.segment") == s.name))
     fields = compare.with_soft_keys(fields, soft_arrays, parts)
-    labels = {root: label for s in segments for root, label in s.segment_types}
     found = compare.matched_fields(fields, labels)
     canonical = rows.select("pair", F.col("case_id").alias("canonical_case_id"))
     found = attribution.with_case(found, notes, canonical, parts)
-    meta = rows.select("pair", "key_id", F.col("comparison_version").cast("int").alias("ai_iteration"), "ai_created_at", F.col("created_at").alias("human_created_at"))
-    found = found.join(meta, "pair")
-    return found.select("pair.image_id", "pair.segment", "*", F.lit(load_time).cast("timestamp").alias("load_time")).drop("pair", "ordinal", "human_case", "ai_case")
+    return found.join(rows.select("pair", "image_id", "segment", "key_id", "ai_iteration", "ai_created_at", "human_created_at"), "pair")
 
 
 @dataclass
@@ -93,7 +111,7 @@ def _run(spark: SparkSession, options: Options, checkpoint: state.Checkpoint, he
     fresh = routing.keyed(fresh, options.segments, options.image_path, options.filter_path, options.filter_value)
     held.append(checkpoint.renew(held[-1]))
     routes = pairing.pair(keep(fresh, "fresh"), pending, pool, options.segments, window.current_stop, options.age_limit_days, keep)
-    results = results_of(keep(routes.matched, "matched"), options.segments, options.array_keys, options.soft_arrays, window.current_stop)
+    results = results_of(routes.matched, options.segments, options.array_keys, options.soft_arrays, window.current_stop, keep)
     results = keep(results, "results")  # the clustered write reads its rows twice, once for the borders of its ranges
     outputs = {}
     held.append(checkpoint.renew(held[-1]))

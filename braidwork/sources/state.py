@@ -180,10 +180,11 @@ def append_run(df: DataFrame, folder: str, run: str, day_of: str, clustered_by:
     skips files and row groups. Nothing that may be visible is deleted: a run's name holds its claim's number, so another
     attempt has another folder.
     """
-    rows = df.withColumn("run", F.lit(run)).withColumn("day", F.to_date(day_of))
+    rows = df.withColumn("day", F.to_date(day_of))
     if clustered_by:
-        rows = rows.repartitionByRange("day", *clustered_by).sortWithinPartitions("run", "day", *clustered_by)
-    rows.write.mode("append").partitionBy("run", "day").parquet(folder)
+        # run is the folder's name alone: with a constant to partition by, the writer would sort anew, by that and day only
+        rows = rows.repartitionByRange("day", *clustered_by).sortWithinPartitions("day", *clustered_by)
+    rows.write.mode("append").partitionBy("day").parquet(f"{folder}/run={run}")
     return f"run={run}"
 
 
